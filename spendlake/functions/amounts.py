@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# 18 integer and 12 fraction digits; a sum of it still has 26 integer digits.
-AMOUNT = T.DecimalType(30, 12)
+# 15 integer and 12 fraction digits. A sum has 25 integer digits, and the difference of two
+# sums still fits 38 digits, beyond which Spark would round fractions off.
+AMOUNT = T.DecimalType(27, 12)
 
 
 def exact(column: Column, dtype: T.DataType) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,14 @@ def flatten_resources(documents: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def literal_table(
+    spark: SparkSession, names: Sequence[str], rows: Sequence[tuple[str, ...]]
+) -> DataFrame:
+    """A small table of texts that is part of the plan itself, so its size is known."""
+    structs = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def arn_account(arn: Column) -> Column:
     """Fifth part of an ARN; NULL when there are fewer."""
     return F.get(F.split(arn, ":"), F.lit(4))
@@ -73,7 +81,7 @@ def arn_account(arn: Column) -> Column:
 
 def untagged_resources(
     resources: DataFrame,
-    regions: DataFrame,
+    regions: Sequence[tuple[str, str]] | DataFrame,
     aliases: DataFrame,
     monitored: Sequence[str] | DataFrame = MONITORED_TYPES,
     excluded_patterns: Sequence[str] = EXCLUDED_PATTERNS,
@@ -82,10 +90,13 @@ def untagged_resources(
 ) -> DataFrame:
     """Watched resources with the label of their region and the alias of their account.
 
-    ``regions`` is ``(region, label)``, ``aliases`` is ``(account_id, alias)``. An account
-    without alias shows its own id. Neither side is forced to broadcast: the planner does so
-    while it is small, and otherwise splits a hot account at run time.
+    ``regions`` are pairs or a table ``(region, label)``, ``aliases`` is a table
+    ``(account_id, alias)``. An account without alias shows its own id. Tables are not forced
+    to broadcast: the planner does so while they are small, and otherwise splits a hot account
+    at run time.
     """
+    if not isinstance(regions, DataFrame):
+        regions = F.broadcast(literal_table(resources.sparkSession, ("region", "label"), regions))
     arn, owner = F.col("Arn"), F.col("OwningAccountId")
     kept = resources.where(
         ~arn_account(arn).eqNullSafe(excluded_account) & ~owner.eqNullSafe(excluded_account)

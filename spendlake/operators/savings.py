@@ -92,9 +92,10 @@ def _savings(rows, period, ids, id_column, keys, sums, by_period) -> DataFrame:
             late_ids = ids
         else:
             rows = matches_any_id(rows, id_column, ids)
+    for key in keys:  # a line without one of its keys belongs to no group
+        rows = rows.where(F.col(key).isNotNull())
     grouped = (
-        rows.dropna(subset=list(keys))
-        .groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(
             *(
                 amounts.total(F.col(source), rows.schema[source].dataType).alias(name)
@@ -146,20 +147,15 @@ def account_plan_detail(
 def with_grand_total(
     details: DataFrame, keys: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:
-    """Details and one row over all of them, told apart by ``is_total``.
+    """Details and one row over all of them (zeros when there are none), by ``is_total``.
 
-    Grouping sets over the details, which are already small, so the lines are read once.
+    Both sides read the same aggregate, which the planner shuffles once.
     """
-    both = details.groupingSets([[F.col(k) for k in keys], []], *keys).agg(
-        F.when(F.grouping_id() == 0, 0).otherwise(1).alias("is_total"),
-        *(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures),
-    )
-    total = F.col("is_total") == 1
     labels = [
-        F.when(total, F.lit(GRAND_TOTAL if i == 0 else "")).otherwise(F.col(k)).alias(k)
-        for i, k in enumerate(keys)
+        F.lit(GRAND_TOTAL if i == 0 else "").alias(key) for i, key in enumerate(keys)
     ]
-    return both.select("is_total", *labels, *measures)
+    total = overall_totals(details, measures).select(F.lit(1).alias("is_total"), *labels, *measures)
+    return details.select(F.lit(0).alias("is_total"), *keys, *measures).unionByName(total)
 
 
 def overall_totals(details: DataFrame, measures: Sequence[str]) -> DataFrame:

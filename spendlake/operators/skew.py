@@ -25,6 +25,9 @@ def salted_join(
     does not cover these joins, since their right side is an aggregate and not a bare
     shuffle; it may still turn them into broadcast joins when the right side proves small.
     """
-    salted = left.withColumn(_SALT, F.pmod(F.xxhash64(*salt_by), F.lit(slices)).cast("int"))
+    # The coalesce says that a salt is never NULL. Otherwise the planner filters ``left`` by
+    # it, and no longer sees that ``right`` may be built on the same rows.
+    salt = F.coalesce(F.pmod(F.xxhash64(*salt_by), F.lit(slices)).cast("int"), F.lit(0))
+    salted = left.withColumn(_SALT, salt)
     copies = right.withColumn(_SALT, F.explode(F.array(*(F.lit(i) for i in range(slices)))))
     return salted.join(copies, [*on, _SALT], how).drop(_SALT)

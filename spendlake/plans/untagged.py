@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from spendlake.operators.inventory import (
@@ -19,7 +21,7 @@ def run(
     inventory: str,
     report: str,
     aliases: DataFrame,
-    regions: DataFrame | None = None,
+    regions: Sequence[tuple[str, str]] | DataFrame = REGION_LABELS,
     suffix: str = ".notag",
     **filters,
 ) -> DataFrame:
@@ -27,8 +29,6 @@ def run(
 
     ``filters`` are those of ``untagged_resources``.
     """
-    if regions is None:
-        regions = spark.createDataFrame(REGION_LABELS, "region string, label string")
     resources = flatten_resources(read_inventory(spark, inventory, suffix))
     untagged = untagged_resources(resources, regions, aliases, **filters)
     write_text_report(untagged, report)

@@ -12,7 +12,6 @@ from spendlake.registry.views import (
     UNTAGGED_SQL,
     aliases,
     inventory_documents,
-    regions,
 )
 from spendlake.sinks.reports import write_text_report
 from spendlake.sources.files import scratch
@@ -26,7 +25,7 @@ def _untagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     resources = I.flatten_resources(inventory_documents(spark, sf_dir))
     return I.untagged_resources(
         resources,
-        regions(spark),
+        I.REGION_LABELS,
         aliases(spark, sf_dir),
         excluded_account=EXCLUDED_ACCOUNT,
     )

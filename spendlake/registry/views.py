@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlake.operators.inventory import REGION_LABELS
 from spendlake.operators.typed import TIME_COLUMNS
 
 PERIOD = "2000-04"
@@ -182,10 +181,6 @@ def inventory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def regions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGION_LABELS, "region string, label string")
-
-
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account aliases: customers, some of whom have none."""
     customers = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 0)

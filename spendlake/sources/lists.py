@@ -37,8 +37,5 @@ def read_inventory(
     spark: SparkSession, path: str, suffix: str = ".notag", whole_files: bool = True
 ) -> DataFrame:
     """Inventory documents of the files with a suffix: one per file, or one per line."""
-    return (
-        spark.read.option("pathGlobFilter", f"*{suffix}")
-        .option("wholetext", whole_files)
-        .text(path)
-    )
+    reader = spark.read.option("pathGlobFilter", f"*{suffix}")
+    return reader.text(path, wholetext=whole_files)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,14 +30,26 @@ def read_table(
     if "/" not in source:
         rows = spark.table(source)
     else:
-        reader = spark.read.schema(schema or cur_schema(partitions=True))
-        rows = reader.option("pathGlobFilter", "*.parquet").parquet(source)
+        rows = _read_files(spark, source, schema or cur_schema(partitions=True))
         path = F.col("_metadata.file_path")
         for part in excluded_parts:
             rows = rows.where(~path.contains(part))
     return rows.where(predicate) if predicate else rows
 
 
+def _read_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+    # Partition directories only: any other one beside them would make the layout ambiguous.
+    partitions = f"{root.rstrip('/')}/*=*"
+    try:
+        return reader.option("basePath", root).parquet(partitions)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+    return reader.parquet(root)
+
+
 def create_table(
     spark: SparkSession,
     name: str,

@@ -17,16 +17,20 @@ def ingest_incremental(
     transform: Callable[[DataFrame], DataFrame] = lambda lines: lines,
     partition_by: str | None = "usage_period",
     files_per_batch: int | None = None,
+    base_path: str | None = None,
 ) -> None:
     """Appends what is new in ``source`` since the last run to ``target``.
 
     Progress lives in ``checkpoint`` (on shared storage), and the file sink commits each
     batch once, so a lost executor or a run that is repeated adds no row twice. ``transform``
-    has to be stateless, as the billing ETL is.
+    has to be stateless, as the billing ETL is. For a partitioned source ``base_path`` is its
+    root when ``source`` is a pattern for its partition directories.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if base_path is not None:
+        reader = reader.option("basePath", base_path)
     writer = (
         transform(reader.parquet(source))
         .writeStream.format("parquet")
