@@ -47,44 +47,35 @@ def _nulls(column: Column, dtype: T.DataType) -> Column:
     return F.count_if(missing)
 
 
-def column_profile(table: DataFrame) -> DataFrame:
+def column_profile(table: DataFrame, nulls: bool = True, sizes: bool = True) -> DataFrame:
     """One row per column: type, rows, NULLs, value bytes and share of all value bytes.
 
     All columns are measured in one aggregate pass that carries one row per task to the
-    final step; the rows per column are unfolded from that one row.
+    final step; the rows per column are unfolded from that one row. ``nulls`` and ``sizes``
+    leave out what is not needed.
     """
-    measures = []
+    measures, rows, total = [], [], F.lit(0).cast("bigint")
     for i, f in enumerate(table.schema.fields):
         column = F.col(f"`{f.name}`")
-        measures.append(_nulls(column, f.dataType).alias(f"nulls_{i}"))
-        measures.append(_value_bytes(column, f.dataType).alias(f"bytes_{i}"))
+        row = [F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type")]
+        if nulls:
+            measures.append(_nulls(column, f.dataType).alias(f"nulls_{i}"))
+            row.append(F.col(f"nulls_{i}").alias("nulls"))
+        if sizes:
+            measures.append(_value_bytes(column, f.dataType).alias(f"bytes_{i}"))
+            row.append(F.col(f"bytes_{i}").alias("value_bytes"))
+            total = total + F.col(f"bytes_{i}")
+        rows.append(F.struct(*row))
     summed = table.agg(F.count(F.lit(1)).alias("n_rows"), *measures)
-    fields = list(enumerate(table.schema.fields))
-    total = sum((F.col(f"bytes_{i}") for i, _ in fields), F.lit(0)).alias("total")
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("type"),
-                F.col(f"nulls_{i}").alias("nulls"),
-                F.col(f"bytes_{i}").alias("value_bytes"),
-            )
-            for i, f in fields
-        )
-    )
-    return (
-        summed.select("n_rows", total, F.explode(rows).alias("c"))
-        .select("c.column", "c.type", "n_rows", "c.nulls", "c.value_bytes", "total")
-        .select(
-            "column",
-            "type",
-            "n_rows",
-            "nulls",
-            _percent(F.col("nulls"), F.col("n_rows")).alias("null_percent"),
-            "value_bytes",
-            _percent(F.col("value_bytes"), F.col("total")).alias("share_percent"),
-        )
-    )
+    unfolded = summed.select("n_rows", total.alias("total"), F.explode(F.array(*rows)).alias("c"))
+    columns = [F.col("c.column"), F.col("c.type"), F.col("n_rows")]
+    if nulls:
+        percent = _percent(F.col("c.nulls"), F.col("n_rows"))
+        columns += [F.col("c.nulls"), percent.alias("null_percent")]
+    if sizes:
+        share = _percent(F.col("c.value_bytes"), F.col("total"))
+        columns += [F.col("c.value_bytes"), share.alias("share_percent")]
+    return unfolded.select(*columns)
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -94,7 +85,7 @@ def _percent(part: Column, whole: Column) -> Column:
 def null_profile(table: DataFrame, top: int = 10) -> DataFrame:
     """The columns with most NULLs; ties by name."""
     return (
-        column_profile(table)
+        column_profile(table, sizes=False)
         .select("column", "nulls", "n_rows", "null_percent")
         .orderBy(F.desc("nulls"), "column")
         .limit(top)
@@ -104,7 +95,7 @@ def null_profile(table: DataFrame, top: int = 10) -> DataFrame:
 def value_bytes(table: DataFrame) -> DataFrame:
     """Bytes per column, largest first, with their share."""
     return (
-        column_profile(table)
+        column_profile(table, nulls=False)
         .select("column", "type", "value_bytes", "share_percent")
         .orderBy(F.desc("value_bytes"), "column")
     )

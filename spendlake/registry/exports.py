@@ -33,8 +33,21 @@ from spendlake.sources.lists import read_ids
 COST = "line_item_unblended_cost"
 
 
+# Exports come in files of limited size.
+ROWS_PER_FILE = 500_000
+
+
 def _write_csv(rows: DataFrame, target: str, by: str | None = None) -> None:
-    writer = time_text(rows).write.option("header", True).option("compression", "gzip")
+    """Gzipped CSV in as many files as the session has shuffle partitions, or more."""
+    files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = (
+        time_text(rows)
+        .repartition(files)
+        .write.option("header", True)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .option("escape", '"')
+    )
     (writer.partitionBy(by) if by else writer).csv(target)
 
 
@@ -281,14 +294,7 @@ FROM documents GROUP BY lang, source""")
 def csv_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with quotes, commas and line breaks survive gzipped CSV whole."""
     source = scratch(spark, "texts")
-    (
-        table(spark, sf_dir, "documents")
-        .write.option("header", True)
-        .option("compression", "gzip")
-        .option("quoteAll", True)
-        .option("escape", '"')
-        .csv(source)
-    )
+    _write_csv(table(spark, sf_dir, "documents"), source)
     lines = read_exports(spark, list_files(spark, source, "*.csv.gz")).lines
     return lines.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"),

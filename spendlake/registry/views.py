@@ -39,7 +39,8 @@ def cur(spark: SparkSession, sf_dir: str) -> DataFrame:
         "-", F.year("o_orderdate").cast(text), F.format_string("%02d", F.month("o_orderdate"))
     )
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    # Both sides grow with the data: join them as they have to be joined when large.
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.lpad(F.col("o_custkey").cast(text), 12, "0").alias("line_item_usage_account_id"),
         F.lpad((F.col("l_suppkey") % PAYERS).cast(text), 12, "0").alias("bill_payer_account_id"),
         line_type.alias("line_item_line_item_type"),
