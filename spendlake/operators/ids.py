@@ -12,6 +12,8 @@ from spendlake.operators.skew import salted_join
 # Up to this many ids are tested one by one inside generated code.
 INLINE_IDS = 32
 
+LINE_ID = "identity_line_item_id"
+
 
 def contains_any(column: Column, ids: Sequence[str]) -> Column:
     """True where the text contains one of a few ids; NULL text never matches."""
@@ -74,15 +76,17 @@ def matches_any_id(
     """Rows whose ``column`` contains any id; rows are never duplicated.
 
     ``ids`` is a list, or a DataFrame of one column. A long list becomes a DataFrame. A hot
-    value is spread over ``slices`` tasks by a hash of ``salt_by`` (default: every column
-    that can be hashed).
+    value is spread over ``slices`` tasks by a hash of ``salt_by`` (default: the identity of
+    a line item, or every column that can be hashed).
     """
     if not isinstance(ids, DataFrame):
         if len(ids) <= INLINE_IDS:
             return rows.where(contains_any(F.col(column), ids))
         ids = ids_frame(rows.sparkSession, ids)
     hits = matching_values(rows, column, ids)
-    if salt_by is None:
+    if salt_by is None and LINE_ID in rows.columns:
+        salt_by = [LINE_ID]
+    elif salt_by is None:
         salt_by = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
     return salted_join(rows, hits, [column], "left_semi", salt_by, slices)
 

@@ -54,8 +54,8 @@ def find_exports(
 def scan_headers(listing: DataFrame, verify: bool = True) -> DataFrame:
     """Header and state of every listed file.
 
-    ``verify`` reads files to their end, which is the only way to know that a gzip is whole.
-    It is a second pass over the bytes; without it a broken file fails the read instead.
+    ``verify`` reads files to their end, which is the only way to know that a gzip is whole
+    and its text is UTF-8. It is a second pass over the bytes; without it a broken file fails the read instead.
     Tasks hold files of about equal total size, and a file streams through a small buffer.
     """
 
@@ -76,7 +76,7 @@ def _scan_file(path: str, verify: bool) -> tuple[list[str] | None, str | None]:
             if not header:
                 return None, "no header"
             if verify:
-                while data.read(1 << 20):
+                while text.read(1 << 20):  # fails on a gzip cut short and on broken UTF-8
                     pass
             return header, None
     except Exception as e:  # whatever is wrong with one file must not stop the others
@@ -99,19 +99,10 @@ def read_exports(
     header and a column that a file lacks is NULL. ``tags`` maps directory prefixes to a
     value for the column ``tag_name``.
 
-    What reaches the driver is one line per file, which a file listing needs anyway.
+    What reaches the driver is one short line per file, which a read of listed files needs
+    anyway, and one header per layout.
     """
-    files = scan_headers(listing, verify).collect()
-    rejected, layouts = [], {}
-    for f in files:
-        problem = f["problem"]
-        if problem is None and wanted is not None:
-            missing = missing_columns(f["header"], wanted)
-            problem = missing_message(missing) if missing else None
-        if problem is None:
-            layouts.setdefault(tuple(f["header"]), []).append(f["path"])
-        else:
-            rejected.append((f["path"], f["length"], problem))
+    rejected, layouts = _layouts(scan_headers(listing, verify), wanted)
     if not layouts:
         raise ValueError("No valid results found: every file was rejected")
 
@@ -139,6 +130,30 @@ def read_exports(
     return Exports(lines, spark.createDataFrame(rejected, "path string, length long, problem string"))
 
 
+def _layouts(
+    scanned: DataFrame, wanted: Sequence[str] | None
+) -> tuple[list[tuple[str, int, str]], dict[tuple[str, ...], list[str]]]:
+    """Rejected files, and the paths of the others by their header."""
+    # Kept so that files are read once for both lists; what is lost is scanned again.
+    marked = scanned.withColumn("layout", F.sha2(F.to_json("header"), 256)).persist()
+    headers = {
+        r["layout"]: tuple(r["header"])
+        for r in marked.where("problem IS NULL").select("layout", "header").distinct().collect()
+    }
+    files = marked.select("path", "length", "layout", "problem").collect()
+    marked.unpersist()
+    rejected, layouts = [], {}
+    for path, length, layout, problem in files:
+        if problem is None and wanted is not None:
+            missing = missing_columns(headers[layout], wanted)
+            problem = missing_message(missing) if missing else None
+        if problem is None:
+            layouts.setdefault(headers[layout], []).append(path)
+        else:
+            rejected.append((path, length, problem))
+    return rejected, layouts
+
+
 def _layout_columns(
     header: Sequence[str], wanted: Sequence[str] | None, optional: Sequence[str]
 ) -> list[Column]:

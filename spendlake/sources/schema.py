@@ -161,14 +161,16 @@ def _field(name: str, type_name: str) -> T.StructField:
     return T.StructField(name, _TYPES[type_name])
 
 
-def cur_schema(partitions: bool = False) -> T.StructType:
+def cur_schema(
+    partitions: bool = False, keys: tuple[str, ...] = PARTITION_KEYS
+) -> T.StructType:
     """The declared schema; partition keys last, as text, when asked for.
 
     Keys are declared because inference would turn ``202506`` into a number.
     """
     fields = [_field(*line.split()) for line in CUR_COLUMNS.strip().splitlines()]
     if partitions:
-        fields += [T.StructField(k, T.StringType()) for k in PARTITION_KEYS]
+        fields += [T.StructField(k, T.StringType()) for k in keys]
     return T.StructType(fields)
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendlake.sources.schema import PARTITION_KEYS, cur_schema
+from spendlake.sources.schema import PARTITION_ALIASES, PARTITION_KEYS, cur_schema
+
+CRAWLED_KEYS = dict(zip(PARTITION_ALIASES, PARTITION_KEYS))
 
 # Parts of a path that hold no line items.
 EXCLUDED_PARTS = ("/cost_and_usage_data_status/", "/aws-programmatic-access-test-object")
@@ -21,11 +23,13 @@ def read_table(
     schema: T.StructType | None = None,
     predicate: str | None = None,
     excluded_parts: Sequence[str] = EXCLUDED_PARTS,
+    renamed: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Line items of a catalogue table (a name) or of Parquet files (a path).
 
     Only Parquet files are read, whatever else lies between them. ``predicate`` on partition
-    keys prunes directories.
+    keys prunes directories. ``renamed`` gives columns their usual names, for instance
+    ``CRAWLED_KEYS`` when a crawler named the partition keys.
     """
     if "/" not in source:
         rows = spark.table(source)
@@ -34,6 +38,8 @@ def read_table(
         path = F.col("_metadata.file_path")
         for part in excluded_parts:
             rows = rows.where(~path.contains(part))
+    if renamed:
+        rows = rows.withColumnsRenamed(dict(renamed))
     return rows.where(predicate) if predicate else rows
 
 

@@ -68,12 +68,14 @@ def test_broken_files_are_left_out_whole(spark, tmp_path):
     open(f"{tmp_path}/flipped.csv.gz", "wb").write(bytes(flipped))
     open(f"{tmp_path}/plain.csv.gz", "wb").write(b"acct,kind\n1,no gzip\n")
     open(f"{tmp_path}/empty.csv.gz", "wb").write(gzip.compress(b""))
+    open(f"{tmp_path}/latin.csv.gz", "wb").write(gzip.compress(b"acct,kind\n1,caf\xe9\n" * 9999))
     write_gz(f"{tmp_path}/other.csv.gz", ["acct"], [["1"]])
     read = exports.read_exports(spark, listing(spark, tmp_path), ["acct", "kind"])
     assert [tuple(r) for r in read.lines.collect()] == [("7", "good")]
     problems = {os.path.basename(r.path): r.problem for r in read.rejected.collect()}
     assert sorted(problems) == [
-        "cut.csv.gz", "empty.csv.gz", "flipped.csv.gz", "other.csv.gz", "plain.csv.gz",
+        "cut.csv.gz", "empty.csv.gz", "flipped.csv.gz", "latin.csv.gz", "other.csv.gz",
+        "plain.csv.gz",
     ]
     assert problems["cut.csv.gz"].startswith("EOFError")
     assert problems["empty.csv.gz"] == "no header"

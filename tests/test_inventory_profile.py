@@ -35,7 +35,7 @@ def write_inventory(root):
 
 
 def aliases(spark):
-    return spark.createDataFrame([("1", "muda")], "account_id string, alias string")
+    return spark.createDataFrame([("1", "shop")], "account_id string, alias string")
 
 
 def test_untagged_report(spark, tmp_path):
@@ -44,8 +44,8 @@ def test_untagged_report(spark, tmp_path):
     lines = [r.value for r in spark.read.text(f"{tmp_path}/out").collect()]
     assert lines == [
         "Region * Account ***** No migration tag resource.",
-        "HK    HK-muda             arn:aws:s3:::b",
-        "HK    HK-muda             x",
+        "HK    HK-shop             arn:aws:s3:::b",
+        "HK    HK-shop             x",
         "SG    HK-2                arn:aws:ec2:r:1:res/2",
     ]
     assert alert.n_resources == 3 and alert.should_alert

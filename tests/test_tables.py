@@ -61,7 +61,7 @@ def test_append_adds(spark, tmp_path):
     assert counts(spark, f"{tmp_path}/t") == {"2025-06": 2, "2025-07": 2}
 
 
-def cur_table(spark, root):
+def cur_table(spark, root, keys=schema.PARTITION_KEYS):
     full = schema.cur_schema(partitions=True)
     values = {"source_account_id": "1", "report_name": "r", "data": "d"}
     rows = [("Usage", JUNE, "202506", 1.5), ("Credit", JUNE, "202506", 1.0), ("Usage", JULY, "202507", 2.0)]
@@ -75,7 +75,8 @@ def cur_table(spark, root):
         else F.lit(values.get(f.name)).cast(f.dataType).alias(f.name)
         for f in full.fields
     ]
-    frame.select(*columns).write.partitionBy(*schema.PARTITION_KEYS).parquet(root)
+    named = frame.select(*columns).withColumnsRenamed(dict(zip(schema.PARTITION_KEYS, keys)))
+    named.write.partitionBy(*keys).parquet(root)
     return root
 
 
@@ -89,6 +90,15 @@ def test_declared_table(spark, tmp_path):
     spark.sql("DROP TABLE declared_cur")
 
 
+def test_partition_keys_named_by_a_crawler(spark, tmp_path):
+    root = cur_table(spark, f"{tmp_path}/cur", schema.PARTITION_ALIASES)
+    crawled = schema.cur_schema(True, schema.PARTITION_ALIASES)
+    rows = tables.read_table(spark, root, crawled, "report_name = 'r'", renamed=tables.CRAWLED_KEYS)
+    assert rows.columns[-4:] == list(schema.PARTITION_KEYS)
+    assert {r.billing_period for r in rows.collect()} == {"202506", "202507"}
+    assert "PartitionFilters: [isnotnull(partition_1" in plan(rows)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
