@@ -28,42 +28,28 @@ def contains_any(column: Column, ids: Sequence[str]) -> Column:
     return tests[0]
 
 
-def _cut(values: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``values`` that contain an id, once per place where one is found.
+def matching_values(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The distinct values of ``column`` that contain any id.
 
-    Instead of testing every value against every id, a value is cut into its substrings of
-    the lengths that ids have, and those are equi-joined with the ids. The work is values x
-    text length x lengths, whatever the number of ids. All values share substrings such as
-    their prefix, so the join is salted by the value.
+    Instead of testing every value against every id, each distinct value is cut into its
+    substrings of the lengths that ids have, and those are equi-joined with the ids. The
+    work is distinct values x text length x lengths, whatever the number of ids. All values
+    share substrings such as their prefix, so the join is salted by the value.
     """
     wanted = ids.select(F.col(ids.columns[0]).alias("__id")).where(F.length("__id") > 0).distinct()
     lengths = wanted.agg(F.collect_set(F.length("__id"))).scalar()
     starts = F.sequence(F.lit(1), F.length(column) - F.col("__n") + 1)
     pieces = (
-        values.select("*", F.explode(lengths).alias("__n"))
+        rows.select(column)
+        .where(F.col(column).isNotNull())
+        .distinct()
+        .select(column, F.explode(lengths).alias("__n"))
         .where(F.col("__n") <= F.length(column))
-        .select("*", F.explode(starts).alias("__at"))
-        .withColumn("__id", F.substr(column, F.col("__at"), F.col("__n")))
+        .select(column, "__n", F.explode(starts).alias("__at"))
+        .select(column, F.substr(column, F.col("__at"), F.col("__n")).alias("__id"))
     )
-    return salted_join(pieces, wanted, ["__id"], "left_semi", [column]).select(*values.columns)
-
-
-def matching_values(values: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """The distinct values of ``column`` that contain any id."""
-    distinct = values.select(column).where(F.col(column).isNotNull()).distinct()
-    return _cut(distinct, column, ids).distinct()
-
-
-def matching_groups(
-    groups: DataFrame, column: str, ids: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """Rows of an aggregate, unique on ``keys``, whose ``column`` contains any id.
-
-    One pass over the aggregate: the rows found are folded back to one per key.
-    """
-    rest = [c for c in groups.columns if c not in keys]
-    found = _cut(groups, column, ids).groupBy(*keys).agg(*(F.any_value(c).alias(c) for c in rest))
-    return found.select(*groups.columns)
+    found = salted_join(pieces, wanted, ["__id"], "left_semi", [column])
+    return found.select(column).distinct()
 
 
 def matches_any_id(

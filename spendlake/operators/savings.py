@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import amounts
 from spendlake.operators.columns import RI_COLUMNS, SP_COLUMNS, canonical
-from spendlake.operators.ids import INLINE_IDS, ids_frame, matches_any_id, matching_groups
+from spendlake.operators.ids import INLINE_IDS, ids_frame, matches_any_id, matching_values
 from spendlake.operators.lines import TYPE, in_period, with_usage_period
 from spendlake.operators.skew import salted_join
 
@@ -106,8 +106,11 @@ def _savings(rows, period, ids, id_column, keys, sums, by_period) -> DataFrame:
     )
     if late_ids is None:
         return grouped
-    # The id is part of a group key, so it is matched once per group and not once per line.
-    return matching_groups(grouped, id_column, late_ids, keys)
+    # Ids are looked up once per distinct value, and the groups of those values are kept. The
+    # lookup reads the lines a second time, but only the few columns it filters by.
+    hits = matching_values(rows, id_column, late_ids)
+    kept = salted_join(grouped, hits, [id_column], "left_semi", keys)
+    return kept.select(*grouped.columns)
 
 
 def merge_savings(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

@@ -21,9 +21,10 @@ def salted_join(
     """Joins ``right``, unique on ``on``, so that one key's rows spread over several tasks.
 
     The salt is a hash of columns of ``left``, so a task that runs again sends every row
-    where it went before. The small side is repeated once per slice. Adaptive skew handling
-    does not cover these joins, since their right side is an aggregate and not a bare
-    shuffle; it may still turn them into broadcast joins when the right side proves small.
+    where it went before; ``right`` is repeated once per slice. As both sides are shuffled
+    for this join alone, adaptive execution can split a slice that is still too large, which
+    it could not do were ``right`` an aggregate that is partitioned by the key already. It may
+    also turn the join into a broadcast when ``right`` proves small.
     """
     # The coalesce says that a salt is never NULL. Otherwise the planner filters ``left`` by
     # it, and no longer sees that ``right`` may be built on the same rows.
