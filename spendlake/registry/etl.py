@@ -47,12 +47,13 @@ SELECT line_item_usage_account_id, bill_payer_account_id, line_item_line_item_ty
   cast(line_item_unblended_cost AS double) AS line_item_unblended_cost,
   cast(reservation_effective_cost AS double) AS reservation_effective_cost,
   savings_plan_savings_plan_a_r_n, reservation_subscription_id, reservation_reservation_a_r_n,
-  billing_period, usage_date, year, month, usage_period
+  billing_period, cast(usage_date AS varchar) AS usage_date, year, month, usage_period
 FROM billable WHERE usage_period = '{PERIOD}'""")
 def etl_billable_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = L.billable_lines(cur(spark, sf_dir), PERIOD).drop(
         "pricing_public_on_demand_cost", "savings_plan_savings_plan_effective_cost"
     )
+    rows = rows.withColumn("usage_date", F.col("usage_date").cast("string"))
     return as_double(rows, "line_item_usage_amount", COST, "reservation_effective_cost")
 
 

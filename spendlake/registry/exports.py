@@ -198,7 +198,7 @@ SELECT event_id,
        WHEN raw IS NULL OR raw = '' THEN '{{}}'
        ELSE concat('{{"k": "', json_extract_string(raw, '$.k'), '"}}') END AS normalised,
   CASE WHEN event_type = 'click' THEN 2 WHEN event_type = 'error' THEN 3
-       WHEN event_type = 'purchase' THEN NULL WHEN raw IS NULL OR raw = '' THEN 0 ELSE 1
+       WHEN event_type = 'purchase' THEN -1 WHEN raw IS NULL OR raw = '' THEN 0 ELSE 1
   END AS n_keys
 FROM json_texts""")
 def map_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +206,7 @@ def map_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_typed(rows).select(
         "event_id",
         F.col("product").alias("normalised"),
-        F.size(maps.string_map("raw")).alias("n_keys"),
+        F.coalesce(F.size(maps.string_map("raw")), F.lit(-1)).alias("n_keys"),
     )
 
 
