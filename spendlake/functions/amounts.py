@@ -71,6 +71,35 @@ def human_bytes(column: Column) -> Column:
     return text
 
 
+def count_text(column: Column) -> Column:
+    """``1,234``."""
+    return F.format_number(column, 0)
+
+
+def percent_text(part: Column, whole: Column) -> Column:
+    """``12.3%`` of two whole numbers, half up; ``0.0%`` of nothing."""
+    tenths = F.call_function("div", part * 2000 + whole, whole * 2)
+    text = F.concat(
+        F.call_function("div", tenths, F.lit(10)).cast("string"),
+        F.lit("."),
+        (tenths % 10).cast("string"),
+        F.lit("%"),
+    )
+    return F.when(whole > 0, text).otherwise(F.lit("0.0%"))
+
+
+def ratio_text(uncompressed: Column, compressed: Column) -> Column:
+    """``2.31x`` of two whole numbers, half up; ``0.00x`` when nothing is stored."""
+    hundredths = F.call_function("div", uncompressed * 200 + compressed, compressed * 2)
+    text = F.concat(
+        F.call_function("div", hundredths, F.lit(100)).cast("string"),
+        F.lit("."),
+        F.lpad((hundredths % 100).cast("string"), 2, "0"),
+        F.lit("x"),
+    )
+    return F.when(compressed > 0, text).otherwise(F.lit("0.00x"))
+
+
 def ratio(uncompressed: Column, compressed: Column) -> Column:
     """Uncompressed over compressed size, 0 when nothing is stored."""
     return F.when(

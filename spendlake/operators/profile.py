@@ -150,6 +150,42 @@ def storage_totals(chunks: DataFrame) -> DataFrame:
     ).withColumns(_size_texts())
 
 
+def storage_report(chunks: DataFrame) -> DataFrame:
+    """The storage profile as text, largest column first, total last."""
+    details = chunks.groupBy("column").agg(
+        F.array_join(F.array_sort(F.collect_set("physical_type")), "|").alias("type"),
+        F.sum("compressed").alias("compressed"),
+        F.sum("uncompressed").alias("uncompressed"),
+    )
+    total = details.agg(
+        F.lit("TOTAL").alias("column"),
+        F.lit("").alias("type"),
+        F.coalesce(F.sum("compressed"), F.lit(0)).alias("compressed"),
+        F.coalesce(F.sum("uncompressed"), F.lit(0)).alias("uncompressed"),
+    )
+    rows = details.withColumn("last", F.lit(0)).unionByName(total.withColumn("last", F.lit(1)))
+    return rows.orderBy("last", F.desc("compressed"), "column").select(
+        "column",
+        "type",
+        amounts.human_bytes(F.col("compressed")).alias("compressed"),
+        amounts.human_bytes(F.col("uncompressed")).alias("uncompressed"),
+        amounts.ratio_text(F.col("uncompressed"), F.col("compressed")).alias("ratio"),
+    )
+
+
+def quality_report(table: DataFrame) -> DataFrame:
+    """The column profile as text, largest column first."""
+    rows = column_profile(table).orderBy(F.desc("value_bytes"), "column")
+    return rows.select(
+        "column",
+        "type",
+        amounts.count_text(F.col("n_rows")).alias("rows"),
+        amounts.count_text(F.col("nulls")).alias("nulls"),
+        amounts.percent_text(F.col("nulls"), F.col("n_rows")).alias("null_percent"),
+        amounts.human_bytes(F.col("value_bytes")).alias("size"),
+    )
+
+
 def _size_texts() -> dict[str, Column]:
     return {
         "ratio": amounts.ratio(F.col("uncompressed"), F.col("compressed")),

@@ -69,7 +69,7 @@ def sp_savings(
     ``by_period``. A list of plan ids has to name at least one.
     """
     if ids is not None and not isinstance(ids, DataFrame) and not ids:
-        raise ValueError("No Savings Plan IDs given")
+        raise ValueError("Give at least one savings plan id")
     rows = canonical(lines, SP_COLUMNS).where(F.col(TYPE) == "SavingsPlanCoveredUsage")
     sums = {
         "usage_amount": "line_item_usage_amount",

@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import maps, times
 from spendlake.operators import savings as S
-from spendlake.operators.columns import CANDIDATES, RI_COLUMNS
+from spendlake.operators.columns import CANDIDATES, RI_COLUMNS, SP_COLUMNS
 from spendlake.operators.lines import START, TYPE
 from spendlake.operators.typed import to_typed
 from spendlake.plans import convert
 from spendlake.plans import savings as savings_plan
 from spendlake.registry.catalog import query
-from spendlake.registry.savings import RI_LIST, _any_of, _RI_OUT, _RI_ARN, _ri_sql
+from spendlake.registry.savings import (
+    _RI_ARN,
+    _RI_OUT,
+    _SP_ARN,
+    _SP_OUT,
+    RI_LIST,
+    SP_LIST,
+    _any_of,
+    _ri_sql,
+    _sp_sql,
+)
 from spendlake.registry.views import (
     CUR_SQL,
     JSON_TEXTS_SQL,
@@ -114,6 +124,18 @@ def ri_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(result.details, *S.RI_MEASURES)
 
 
+@query(f"""WITH {CUR_SQL}, {_sp_sql(PERIOD, ids=_any_of(_SP_ARN, SP_LIST))}
+SELECT {_SP_OUT} FROM sp""")
+def sp_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The savings plan job over exports of one layout, with an id file and a report."""
+    root, ids = scratch(spark, "exports"), scratch(spark, "sp-id")
+    _write_csv(_respelled(cur(spark, sf_dir).select(*SP_COLUMNS), 2), f"{root}/2025a")
+    _write_lines(spark, SP_LIST, ids)
+    report = scratch(spark, "sp-report")
+    result = savings_plan.sp_from_exports(spark, root, PERIOD, ids, "2025", report)
+    return as_double(result.details, *S.SP_MEASURES)
+
+
 def _write_lines(spark: SparkSession, lines: tuple[str, ...], target: str) -> None:
     texts = F.array(*(F.lit(f" {line} ") for line in lines))
     spark.range(1).select(F.explode(texts).alias("value")).write.text(target)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlake.operators import profile as P
 from spendlake.registry.catalog import query
-from spendlake.registry.views import CUR_SQL, cur, table
+from spendlake.registry.views import CUR_SQL, JSON_TEXTS_SQL, cur, json_texts, table
 from spendlake.sources.files import list_files
 from spendlake.sources.footers import read_footers
 from spendlake.sources.schema import from_json_list, to_json_list
@@ -55,6 +55,44 @@ def storage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.storage_totals(read_footers(spark, sf_dir))
 
 
+@query(f"""WITH {_CHUNKS_SQL}, details AS (
+  SELECT path_name AS "column", min(type) AS type, cast(sum(c) AS bigint) AS c,
+    cast(sum(u) AS bigint) AS u FROM chunks GROUP BY path_name),
+rows AS (SELECT * FROM details UNION ALL
+  SELECT 'TOTAL', '', cast(sum(c) AS bigint), cast(sum(u) AS bigint) FROM details)
+SELECT "column", type, {_bytes_text("c")} AS compressed, {_bytes_text("u")} AS uncompressed,
+  concat((u * 200 + c) // (c * 2) // 100, '.',
+    lpad(cast((u * 200 + c) // (c * 2) % 100 AS varchar), 2, '0'), 'x') AS ratio
+FROM rows""")
+def storage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.storage_report(read_footers(spark, sf_dir))
+
+
+_EVENT_SIZES = """sizes AS (
+  SELECT 'event_id' AS "column", 'bigint' AS type, count(event_id) AS n, 8 * count(event_id) AS b
+  FROM events
+  UNION ALL SELECT 'ts', 'timestamp_ntz', count(ts), 8 * count(ts) FROM events
+  UNION ALL SELECT 'user_id', 'bigint', count(user_id), 8 * count(user_id) FROM events
+  UNION ALL SELECT 'event_type', 'string', count(event_type),
+    sum(octet_length(encode(event_type))) FROM events
+  UNION ALL SELECT 'value', 'double', count(value), 8 * count(value) FROM events
+  UNION ALL SELECT 'props', 'string', count(props), sum(octet_length(encode(props))) FROM events
+  UNION ALL SELECT 'raw', 'string', count(raw), sum(octet_length(encode(raw))) FROM json_texts)"""
+
+
+@query(f"""WITH {JSON_TEXTS_SQL}, {_EVENT_SIZES}, counted AS (
+  SELECT *, (SELECT count(*) FROM events) AS n_rows, (SELECT count(*) FROM events) - n AS nulls,
+    cast(b AS bigint) AS size FROM sizes)
+SELECT "column", type, format('{{:,}}', n_rows) AS rows, format('{{:,}}', nulls) AS nulls,
+  concat((nulls * 2000 + n_rows) // (n_rows * 2) // 10, '.',
+    (nulls * 2000 + n_rows) // (n_rows * 2) % 10, '%') AS null_percent,
+  {_bytes_text("size")} AS size
+FROM counted""")
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events, texts = table(spark, sf_dir, "events"), json_texts(spark, sf_dir)
+    return P.quality_report(events.join(texts, "event_id"))
+
+
 @query("""WITH sizes AS (
   SELECT 'doc_id' AS "column", 'bigint' AS type, 8 * count(doc_id) AS value_bytes FROM documents
   UNION ALL SELECT 'text', 'string', sum(octet_length(encode(text))) FROM documents

@@ -104,7 +104,7 @@ def read_exports(
     """
     rejected, layouts = _layouts(scan_headers(listing, verify), wanted)
     if not layouts:
-        raise ValueError("No valid results found: every file was rejected")
+        raise ValueError(f"Every file was rejected, the first one for: {rejected[0][2]}")
 
     # Position names while reading: headers may repeat a name or differ in case only.
     parts = []

@@ -11,9 +11,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Ids, one per line, trimmed, blanks dropped; a missing or empty list is an error."""
     ids = read_optional_ids(spark, path)
     if ids is None:
-        raise FileNotFoundError(f"Savings Plan IDs file '{path}' not found")
+        raise FileNotFoundError(f"There is no id list at {path}")
     if ids.isEmpty():
-        raise ValueError("No Savings Plan IDs found in the file")
+        raise ValueError(f"The id list at {path} names no id")
     return ids
 
 

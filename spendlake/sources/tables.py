@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,16 +44,17 @@ def read_table(
 
 
 def _read_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
-    # Partition directories only: any other one beside them would make the layout ambiguous.
-    partitions = f"{root.rstrip('/')}/*=*"
-    try:
-        return reader.option("basePath", root).parquet(partitions)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
-    return reader.parquet(root)
+    def reader() -> DataFrameReader:
+        return spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+
+    if "*" not in root:
+        # Partition directories only: others beside them would make the layout ambiguous.
+        try:
+            return reader().option("basePath", root).parquet(f"{root.rstrip('/')}/*=*")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reader().parquet(root)
 
 
 def create_table(

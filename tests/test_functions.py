@@ -33,6 +33,19 @@ def test_human_bytes_like_float_formatting(spark):
     assert one(spark, "bigint", sizes, lambda x: amounts.human_bytes(x)) == [formatted(s) for s in sizes]
 
 
+def test_count_percent_and_ratio_text(spark):
+    frame = spark.createDataFrame([(1234567, 3), (1, 3), (1, 2000), (0, 0)], "a bigint, b bigint")
+    got = frame.select(
+        amounts.count_text(F.col("a")),
+        amounts.percent_text(F.col("a"), F.col("b")),
+        amounts.ratio_text(F.col("a"), F.col("b")),
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("1,234,567", "41152233.3%", "411522.33x"), ("1", "33.3%", "0.33x"),
+        ("1", "0.1%", "0.00x"), ("0", "0.0%", "0.00x"),
+    ]
+
+
 def test_money_text(spark):
     values = [Decimal(v) for v in ("0.125", "2.675", "-5", "1234567.891", "0")]
     assert one(spark, "decimal(30,12)", values, lambda x: amounts.money_text(x)) == [
@@ -116,6 +129,7 @@ def test_month_ends(spark):
 
 
 def test_periods():
+    assert times.month_bounds(times.current_period())
     assert times.add_months("2025-01", -3) == "2024-10"
     assert times.add_months("2024-11", 14) == "2026-01"
     assert times.month_bounds("2024-12") == ("2024-12-01", "2025-01-01")

@@ -72,7 +72,7 @@ def test_no_list_and_empty_list(spark):
     assert S.ri_savings(lines, ids=None).count() == 1
     assert S.ri_savings(lines, ids=[]).count() == 0
     assert S.ri_savings(lines, ids=ids_frame(spark, [])).count() == 0
-    with pytest.raises(ValueError, match="No Savings Plan IDs"):
+    with pytest.raises(ValueError, match="at least one"):
         S.sp_savings(sp_lines(spark, 5), ids=[])
 
 
