@@ -82,38 +82,43 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part * F.lit(100.0) / whole).otherwise(F.lit(0.0))
 
 
-def null_profile(table: DataFrame, top: int = 10) -> DataFrame:
+def top_nulls(profile: DataFrame, top: int = 10) -> DataFrame:
     """The columns with most NULLs; ties by name."""
     return (
-        column_profile(table, sizes=False)
-        .select("column", "nulls", "n_rows", "null_percent")
+        profile.select("column", "nulls", "n_rows", "null_percent")
         .orderBy(F.desc("nulls"), "column")
         .limit(top)
     )
 
 
-def value_bytes(table: DataFrame) -> DataFrame:
+def by_size(profile: DataFrame) -> DataFrame:
     """Bytes per column, largest first, with their share."""
-    return (
-        column_profile(table, nulls=False)
-        .select("column", "type", "value_bytes", "share_percent")
-        .orderBy(F.desc("value_bytes"), "column")
+    return profile.select("column", "type", "value_bytes", "share_percent").orderBy(
+        F.desc("value_bytes"), "column"
     )
 
 
-def type_histogram(table: DataFrame) -> DataFrame:
+def by_type(profile: DataFrame) -> DataFrame:
     """Types: number of columns, their NULLs and bytes."""
-    return (
-        column_profile(table)
-        .groupBy("type")
-        .agg(
-            F.count(F.lit(1)).alias("n_columns"),
-            F.sum("nulls").alias("nulls"),
-            F.sum("value_bytes").alias("value_bytes"),
-        )
+    return profile.groupBy("type").agg(
+        F.count(F.lit(1)).alias("n_columns"),
+        F.sum("nulls").alias("nulls"),
+        F.sum("value_bytes").alias("value_bytes"),
     )
 
 
+def null_profile(table: DataFrame, top: int = 10) -> DataFrame:
+    return top_nulls(column_profile(table, sizes=False), top)
+
+
+def value_bytes(table: DataFrame) -> DataFrame:
+    return by_size(column_profile(table, nulls=False))
+
+
+def type_histogram(table: DataFrame) -> DataFrame:
+    return by_type(column_profile(table))
+
+
 def shape(table: DataFrame) -> DataFrame:
     """One row: number of rows and columns."""
     return table.agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
@@ -152,18 +157,21 @@ def storage_totals(chunks: DataFrame) -> DataFrame:
 
 def storage_report(chunks: DataFrame) -> DataFrame:
     """The storage profile as text, largest column first, total last."""
-    details = chunks.groupBy("column").agg(
-        F.array_join(F.array_sort(F.collect_set("physical_type")), "|").alias("type"),
+    # Grouping sets, not a second aggregate on top: footers are read once.
+    types = F.array_join(F.array_sort(F.collect_set("physical_type")), "|")
+    rows = chunks.groupingSets([[F.col("column")], []], "column").agg(
+        F.grouping("column").alias("last"),
+        types.alias("type"),
         F.sum("compressed").alias("compressed"),
         F.sum("uncompressed").alias("uncompressed"),
     )
-    total = details.agg(
-        F.lit("TOTAL").alias("column"),
-        F.lit("").alias("type"),
-        F.coalesce(F.sum("compressed"), F.lit(0)).alias("compressed"),
-        F.coalesce(F.sum("uncompressed"), F.lit(0)).alias("uncompressed"),
+    total = F.col("last") == 1
+    rows = rows.withColumns(
+        {
+            "column": F.when(total, "TOTAL").otherwise(F.col("column")),
+            "type": F.when(total, "").otherwise(F.col("type")),
+        }
     )
-    rows = details.withColumn("last", F.lit(0)).unionByName(total.withColumn("last", F.lit(1)))
     return rows.orderBy("last", F.desc("compressed"), "column").select(
         "column",
         "type",
@@ -175,7 +183,11 @@ def storage_report(chunks: DataFrame) -> DataFrame:
 
 def quality_report(table: DataFrame) -> DataFrame:
     """The column profile as text, largest column first."""
-    rows = column_profile(table).orderBy(F.desc("value_bytes"), "column")
+    return profile_report(column_profile(table))
+
+
+def profile_report(profile: DataFrame) -> DataFrame:
+    rows = profile.orderBy(F.desc("value_bytes"), "column")
     return rows.select(
         "column",
         "type",

@@ -17,8 +17,14 @@ def run(
     maps_as: str = "text",
     glob: str = "*.csv.gz",
     mode: str = "errorifexists",
+    rebalance: bool = False,
 ) -> DataFrame:
-    """Converts all good files at once; returns the files that were left out."""
+    """Converts all good files at once; returns the files that were left out.
+
+    A gzip file is read by one task. With ``rebalance`` its rows are spread after reading, so
+    that one large file neither types nor writes all its rows in that task.
+    """
     exports = read_exports(spark, list_files(spark, paths, glob))
-    write_typed(to_typed(exports.lines, maps_as), target, mode)
+    lines = exports.lines.hint("rebalance") if rebalance else exports.lines
+    write_typed(to_typed(lines, maps_as), target, mode)
     return exports.rejected

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendlake.operators import profile
-from spendlake.sources.files import list_files
+from spendlake.sources.files import list_files, stored
 from spendlake.sources.footers import read_footers
 from spendlake.sources.tables import sample_rows
 
@@ -17,24 +18,34 @@ class Profile:
     files: DataFrame
     storage: DataFrame
     storage_totals: DataFrame
+    storage_report: DataFrame
+    columns: DataFrame
     shape: DataFrame
     value_bytes: DataFrame
     types: DataFrame
     nulls: DataFrame
+    report: DataFrame
 
 
 def run(spark: SparkSession, path: str, sample: int | None = None) -> Profile:
-    """All parts, lazily; ``sample`` limits the data part (not footers) to that many rows."""
-    footers = read_footers(spark, path)
+    """All parts. ``sample`` limits the data part (not footers) to that many rows.
+
+    Data and footers are read once; every part is made of their stored, small results.
+    """
+    footers = stored(read_footers(spark, path), "footers")
     table = spark.read.parquet(path)
     if sample is not None:
         table = sample_rows(table, sample)
+    columns = stored(profile.column_profile(table), "profile")
     return Profile(
         list_files(spark, path, "*.parquet", recursive=True),
         profile.storage_profile(footers),
         profile.storage_totals(footers),
-        profile.shape(table),
-        profile.value_bytes(table),
-        profile.type_histogram(table),
-        profile.null_profile(table),
+        profile.storage_report(footers),
+        columns,
+        columns.agg(F.max("n_rows").alias("n_rows"), F.count("column").alias("n_columns")),
+        profile.by_size(columns),
+        profile.by_type(columns),
+        profile.top_nulls(columns),
+        profile.profile_report(columns),
     )

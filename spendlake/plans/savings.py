@@ -1,4 +1,8 @@
-"""Savings reports straight from the exports of a month."""
+"""Savings reports straight from the exports of a month.
+
+The detail rows are stored once; the report, the totals and whoever asks for the details read
+them from there and not from the exports again.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from spendlake.operators import savings
 from spendlake.operators.columns import RI_COLUMNS, SP_COLUMNS
 from spendlake.sinks.reports import write_csv_report
 from spendlake.sources.exports import find_exports, read_exports, typed_lines
+from spendlake.sources.files import stored
 from spendlake.sources.lists import read_ids, read_optional_ids
 
 
@@ -33,7 +38,7 @@ def ri_from_exports(
     """Reserved instances; without an id list (or when it is missing) all of them."""
     ids = read_optional_ids(spark, ids_path) if ids_path else None
     exports = read_exports(spark, find_exports(spark, root, prefix), RI_COLUMNS)
-    details = savings.ri_savings(typed_lines(exports.lines), period, ids)
+    details = stored(savings.ri_savings(typed_lines(exports.lines), period, ids), "ri-details")
     if report:
         write_csv_report(savings.ri_report(details), report)
     totals = savings.overall_totals(details, savings.RI_MEASURES)
@@ -51,7 +56,7 @@ def sp_from_exports(
     """Savings plans of an id list, which has to exist and to name at least one."""
     ids = read_ids(spark, ids_path)
     exports = read_exports(spark, find_exports(spark, root, prefix), SP_COLUMNS)
-    details = savings.sp_savings(typed_lines(exports.lines), period, ids)
+    details = stored(savings.sp_savings(typed_lines(exports.lines), period, ids), "sp-details")
     if report:
         write_csv_report(savings.sp_report(details), report)
     return Savings(details, savings.sp_totals(details), exports.rejected)

@@ -13,6 +13,7 @@ from spendlake.operators.inventory import (
     untagged_resources,
 )
 from spendlake.sinks.reports import write_text_report
+from spendlake.sources.files import stored
 from spendlake.sources.lists import read_inventory
 
 
@@ -30,6 +31,6 @@ def run(
     ``filters`` are those of ``untagged_resources``.
     """
     resources = flatten_resources(read_inventory(spark, inventory, suffix))
-    untagged = untagged_resources(resources, regions, aliases, **filters)
+    untagged = stored(untagged_resources(resources, regions, aliases, **filters), "untagged")
     write_text_report(untagged, report)
     return should_alert(untagged)

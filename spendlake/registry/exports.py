@@ -92,7 +92,7 @@ def csv_typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items to gzipped CSV, back as text, typed, to Parquet, and back again."""
     source, target = scratch(spark, "csv"), scratch(spark, "typed")
     _write_csv(cur(spark, sf_dir), source)
-    convert.run(spark, source, target)
+    convert.run(spark, source, target, rebalance=True)
     grouped = (
         spark.read.parquet(target)
         .groupBy("line_item_usage_account_id", "line_item_usage_type", TYPE)

@@ -68,6 +68,14 @@ def _store(fs, uri: str):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once: written to a scratch table and read from it."""
+    spark = rows.sparkSession
+    target = scratch(spark, name)
+    rows.write.parquet(target)
+    return spark.read.schema(rows.schema).parquet(target)
+
+
 _local: list[tempfile.TemporaryDirectory] = []
 
 

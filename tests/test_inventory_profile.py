@@ -134,4 +134,7 @@ def test_whole_profile(spark, tmp_path):
     assert p.storage_totals.first().n_rows == 50
     sizes = files.file_sizes(p.files).first()
     assert sizes.n_files == p.files.count() and sizes.n_bytes > 0
+    assert [r.column for r in p.storage_report.collect()][-1] == "TOTAL"
+    assert [r.size for r in p.report.collect()] == ["400.00 B", "50.00 B"]
+    assert p.nulls.count() == 2
     assert profiling.run(spark, f"{tmp_path}/t", 7).shape.first().n_rows == 7
