@@ -134,6 +134,33 @@ def test_report_job(spark, tmp_path):
     ]
 
 
+def test_savings_plan_job(spark, tmp_path):
+    header = [
+        "LineItemType", "UsageAccountId", "UsageAmount", "UnblendedCost",
+        "SavingsPlanEffectiveCost", "SavingsPlanId", "UsageStartDate", "PayerAccountId", "UsageType",
+    ]
+    rows = [
+        ["SavingsPlanCoveredUsage", account, "2", "10", "4", plan, "2025-06-03T00:00:00Z", payer, "box"]
+        for account, plan, payer in (
+            ("2", "sp-1", "b"), ("1", "sp-2", "b"), ("1", "sp-1", "b"), ("1", "sp-2", "a"),
+            ("1", "sp-3", "a"),
+        )
+    ]
+    write_gz(f"{tmp_path}/2025-06/a.csv.gz", header, rows)
+    (tmp_path / "sp-id").write_text("sp-1\nsp-2\n")
+    result = plans.sp_from_exports(
+        spark, str(tmp_path), "2025-06", f"{tmp_path}/sp-id", "2025", f"{tmp_path}/report"
+    )
+    written = spark.read.option("header", True).csv(f"{tmp_path}/report").collect()
+    assert [tuple(r)[:3] for r in written] == [
+        ("1", "sp-2", "a"), ("1", "sp-1", "b"), ("1", "sp-2", "b"), ("2", "sp-1", "b"),
+        ("GRAND TOTAL", None, None),
+    ]
+    assert tuple(written[-1])[4:] == ("8.00", "$40.00", "$16.00", "$24.00")
+    totals = result.totals.first()
+    assert (totals.n_accounts, float(totals.savings)) == (3, 24.0)
+
+
 def test_id_files(spark, tmp_path):
     (tmp_path / "ids").write_text("  sp-1\r\n\n sp-2\t\nsp-1\n   \n")
     assert sorted(r.id for r in lists.read_ids(spark, f"{tmp_path}/ids").collect()) == ["sp-1", "sp-2"]

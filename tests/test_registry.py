@@ -25,7 +25,20 @@ def test_names_match():
 def test_query_matches_sql(spark, connections, name):
     sf_dir = CHECKED if name in BY_PATH else SMALL
     expected = check.sql_rows(connections[sf_dir], entry_module.oracle_sql()[name])
-    assert check.spark_rows(entry_module.queries()[name](spark, sf_dir)) == expected
+    result = entry_module.queries()[name](spark, sf_dir)
+    assert check.spark_rows(result) == expected
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.parametrize("name", ["ri_report", "sp_report", "sp_account_plan_detail", "sp_totals"])
+def test_lines_are_read_once(spark, name):
+    result = entry_module.queries()[name](spark, SMALL)
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 2  # lineitem and orders
+    assert name == "sp_totals" or "ReusedExchange" in plan
 
 
 def test_entry(spark):

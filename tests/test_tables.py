@@ -54,6 +54,24 @@ def test_failed_run_leaves_the_period(spark, tmp_path):
     assert counts(spark, target) == {"2025-06": 1}
 
 
+def test_usage_month_under_the_name_of_the_billed_one(spark, tmp_path):
+    source = lines(spark, [("Usage", JUNE)]).withColumn("billing_period", F.lit("2025-07"))
+    billing.run(spark, source, f"{tmp_path}/t", "2025-06", column="BILLING_PERIOD")
+    assert os.path.isdir(f"{tmp_path}/t/BILLING_PERIOD=2025-06")
+    row = spark.read.parquet(f"{tmp_path}/t").first()
+    assert row.BILLING_PERIOD == "2025-06" and "billing_period" not in row.asDict()
+
+
+def test_slack_prunes_the_source(spark, tmp_path):
+    months = ["2025-05", "2025-06", "2025-08"]
+    source = spark.createDataFrame(
+        [("Usage", JUNE, m) for m in months],
+        "line_item_line_item_type string, line_item_usage_start_date timestamp_ntz, billing_period string",
+    )
+    assert billing.run(spark, source, f"{tmp_path}/t", "2025-06", slack_months=1) == 2
+    assert billing.run(spark, source, f"{tmp_path}/t", "2025-06") == 3
+
+
 def test_append_adds(spark, tmp_path):
     rows = L.billable_lines(lines(spark, [("Usage", JUNE), ("Usage", JULY)]))
     for rebalance in (False, True):
