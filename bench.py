@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 import time
 
@@ -36,6 +37,17 @@ HEADLINE = (
 )
 
 
+def plan_facts(frame) -> dict:
+    """Shuffles and broadcasts as planned, and the filters that reach the scans."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    pushed = {f for f in re.findall(r"PushedFilters: \[([^]]*)\]", plan) if f}
+    return {
+        "shuffles": len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange ", plan)),
+        "broadcasts": plan.count("BroadcastExchange "),
+        "pushed": sorted(pushed),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -46,17 +58,20 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    cold, warm = {}, {}
+    cold, warm, plans = {}, {}, {}
     for name in names:
         for times in (cold, warm):
             start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            frame = QUERIES[name](spark, sf_dir)
+            frame.write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
+        plans[name] = plan_facts(frame)
     version = spark.version
     spark.stop()
     print(
@@ -67,6 +82,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": warm,
                 "cold": cold,
+                "plans": plans,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
                 "spark": version,

@@ -41,20 +41,25 @@ def collect_accounts(
     optional: Sequence[str] = (),
     verify: bool = True,
     glob: str = "*.csv.gz",
+    scheme: str = "s3a://",
 ) -> Exports:
     """Exports of all registered accounts as one table with ``source_account_id``.
 
     All accounts share one read per header layout. The driver sees one line per account and
-    one per file.
+    one per file. A bucket that is a bare name gets the ``scheme``.
     """
     if granularity not in GRANULARITIES:
         raise ValueError(f"granularity must be one of {GRANULARITIES}, got {granularity!r}")
     accounts = registry.select("aws_id", "bucket", f"{granularity}_dir").collect()
     tags = {
-        f"{a['bucket'].rstrip('/')}/{a[f'{granularity}_dir'].strip('/')}": a["aws_id"]
-        for a in accounts
+        _directory(a["bucket"], a[f"{granularity}_dir"], scheme): a["aws_id"] for a in accounts
     }
     if not tags:
         raise ValueError("The account registry is empty")
     listing = list_files(spark, sorted(tags), glob, recursive=True)
     return read_exports(spark, listing, wanted, optional, verify, tags)
+
+
+def _directory(bucket: str, folder: str, scheme: str) -> str:
+    root = bucket if "/" in bucket or ":" in bucket else f"{scheme}{bucket}"
+    return f"{root.rstrip('/')}/{folder.strip('/')}"

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from spendlake.functions import times
 from spendlake.operators.columns import missing_columns, missing_message, spelling
 from spendlake.operators.typed import TIME_COLUMNS, present_text
-from spendlake.sources.files import list_files, open_input
+from spendlake.sources.files import list_files, literal, local_path, open_input
 
 HEADERS = T.StructType(
     [
@@ -116,12 +116,11 @@ def read_exports(
             .option("multiLine", True)
             .option("quote", '"')
             .option("escape", '"')
-            .csv(paths)
+            .csv([literal(p) for p in paths])
         )
         columns = _layout_columns(header, wanted, optional)
         if tags is not None:
-            folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-            columns.append(folder.alias("__folder"))
+            columns.append(_folder().alias("__folder"))
         parts.append(rows.select(*columns))
     lines = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if tags is not None:
@@ -183,29 +182,40 @@ def _unique(header: Sequence[str]) -> list[str]:
     return names
 
 
+def _without_store(path: str) -> str:
+    """``/dir`` of ``hdfs://host/dir``."""
+    return "/" + path.split("://", 1)[1].partition("/")[2] if "://" in path else path
+
+
+def _folder() -> Column:
+    """Directory of a row's file, as listings spell it (the metadata has it encoded)."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.regexp_replace(F.url_decode(encoded), "/[^/]*$", "")
+
+
 def _tagged(
     spark: SparkSession, lines: DataFrame, paths: Sequence[str], tags: dict[str, str], name: str
 ) -> DataFrame:
     """Adds the tag of the longest prefix that each directory starts with."""
+    tags = {prefix.rstrip("/"): tag for prefix, tag in tags.items()}
     by_length = sorted(tags, key=len, reverse=True)
     folders = {p.rsplit("/", 1)[0] for p in paths}
     rows = []
     for folder in sorted(folders):
-        bare = _bare(folder)
-        prefix = next((t for t in by_length if f"{bare}/".startswith(f"{_bare(t)}/")), None)
-        rows.append((folder, tags.get(prefix)))
+        # A prefix may leave out the file system that the listing names.
+        spellings = (f"{folder}/", f"{local_path(folder)}/", f"{_without_store(folder)}/")
+        prefix = next(
+            (t for t in by_length if any(s.startswith(f"{local_path(t)}/") for s in spellings)), None
+        )
+        if prefix is None:
+            raise ValueError(f"{folder} is in none of the given directories")
+        rows.append((folder, tags[prefix]))
     table = spark.createDataFrame(rows, f"__folder string, {name} string")
     if sum(len(folder) + 64 for folder, _ in rows) <= BROADCAST_BYTES:
         table = F.broadcast(table)
     return lines.join(table, "__folder", "left").drop("__folder")
 
 
-def _bare(path: str) -> str:
-    """Path without the ``file:`` scheme and trailing slashes."""
-    path = path.rstrip("/")
-    return "/" + path[len("file:") :].lstrip("/") if path.startswith("file:") else path
-
-
 def typed_lines(lines: DataFrame) -> DataFrame:
     """Canonical columns read as text, ready for the savings operators.
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -60,12 +61,24 @@ def open_output(uri: str):
     return store.open_output_stream(path, compression=None)
 
 
-def _store(fs, uri: str):
-    parsed = urlparse(uri)
-    if parsed.scheme in ("", "file"):
-        return fs.LocalFileSystem(), unquote(parsed.path) if parsed.scheme else uri
+def _store(fs, path: str):
+    # A listed path is plain text and not an encoded URI: # and % are part of names.
+    if path.startswith("file:"):
+        path = local_path(path)
+    if path.startswith("/"):
+        return fs.LocalFileSystem(), path
     # Hadoop names the same object store s3a.
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    return fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/@+=&,"))
+
+
+def local_path(path: str) -> str:
+    """A ``file:`` path without its scheme; any other path as it is."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+
+
+def literal(path: str) -> str:
+    """A path for a reader that would take some of its characters for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:

@@ -228,6 +228,28 @@ def test_accounts(spark, tmp_path):
         accounts.collect_accounts(spark, safe, "yearly")
 
 
+def test_account_directories():
+    assert accounts._directory("name", "/daily/", "s3a://") == "s3a://name/daily"
+    assert accounts._directory("s3://name/", "daily", "s3a://") == "s3://name/daily"
+    assert accounts._directory("/mnt/name", "daily", "s3a://") == "/mnt/name/daily"
+    assert exports._without_store("hdfs://host:8020/a/b") == "/a/b"
+
+
+def test_files_outside_the_directories(spark, tmp_path):
+    write_gz(f"{tmp_path}/a/f.csv.gz", ["x"], [["1"]])
+    with pytest.raises(ValueError, match="none of the given directories"):
+        exports.read_exports(spark, listing(spark, tmp_path), tags={"/elsewhere": "a"})
+
+
+def test_names_with_odd_characters(spark, tmp_path):
+    root = tmp_path / "a b+c%20d é#x[1]{2}"
+    write_gz(f"{root}/f 1%.csv.gz", ["x"], [["1"]])
+    found = files.list_files(spark, f"{tmp_path}/*", "*.csv.gz", recursive=True)
+    tags = {f"{root}/": "a1"}
+    rows = exports.read_exports(spark, found, tags=tags).lines.collect()
+    assert [(r.x, r.source_account_id) for r in rows] == [("1", "a1")]
+
+
 def test_registry_is_read_without_keys(spark, tmp_path):
     spark.createDataFrame([("a", "k", "s")], "aws_id string, access_key_id string, secret_access_key string").write.parquet(
         f"{tmp_path}/payer"
