@@ -14,15 +14,15 @@ from spendlake.plans import convert
 from spendlake.plans import savings as savings_plan
 from spendlake.registry.catalog import query
 from spendlake.registry.savings import (
-    _RI_ARN,
-    _RI_OUT,
-    _SP_ARN,
-    _SP_OUT,
+    RI_ARN,
+    RI_OUT,
+    SP_ARN,
+    SP_OUT,
     RI_LIST,
     SP_LIST,
-    _any_of,
-    _ri_sql,
-    _sp_sql,
+    any_of,
+    ri_sql,
+    sp_sql,
 )
 from spendlake.registry.views import (
     CUR_SQL,
@@ -107,15 +107,15 @@ def csv_typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(grouped, "cost")
 
 
-@query(f"WITH {CUR_SQL}, {_ri_sql()} SELECT {_RI_OUT} FROM ri")
+@query(f"WITH {CUR_SQL}, {ri_sql()} SELECT {RI_OUT} FROM ri")
 def csv_multi_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = find_exports(spark, _write_two_layouts(spark, sf_dir), "2025")
     lines = typed_lines(read_exports(spark, listing, RI_COLUMNS).lines)
     return as_double(S.ri_savings(lines), *S.RI_MEASURES)
 
 
-@query(f"""WITH {CUR_SQL}, {_ri_sql(PERIOD, ids=_any_of(_RI_ARN, RI_LIST))}
-SELECT {_RI_OUT} FROM ri""")
+@query(f"""WITH {CUR_SQL}, {ri_sql(PERIOD, ids=any_of(RI_ARN, RI_LIST))}
+SELECT {RI_OUT} FROM ri""")
 def ri_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole report job: exports of two layouts, an id file, one month."""
     root, ids = _write_two_layouts(spark, sf_dir), scratch(spark, "ri-id")
@@ -124,8 +124,8 @@ def ri_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(result.details, *S.RI_MEASURES)
 
 
-@query(f"""WITH {CUR_SQL}, {_sp_sql(PERIOD, ids=_any_of(_SP_ARN, SP_LIST))}
-SELECT {_SP_OUT} FROM sp""")
+@query(f"""WITH {CUR_SQL}, {sp_sql(PERIOD, ids=any_of(SP_ARN, SP_LIST))}
+SELECT {SP_OUT} FROM sp""")
 def sp_from_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The savings plan job over exports of one layout, with an id file and a report."""
     root, ids = scratch(spark, "exports"), scratch(spark, "sp-id")
@@ -294,7 +294,7 @@ def ts_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {CUR_SQL}, {_ri_sql()}
+@query(f"""WITH {CUR_SQL}, {ri_sql()}
 SELECT count(*) + 1 AS n_lines, cast(sum(cast(round(on_demand_cost, 2) AS decimal(38,2))) AS double)
   AS on_demand_cost FROM ri""")
 def ri_report_file(spark: SparkSession, sf_dir: str) -> DataFrame:

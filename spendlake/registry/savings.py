@@ -23,7 +23,7 @@ RI_LIST = ("ri-00", "ri-001", "ri-04", "zz")
 SP_LIST = ("sp-001", "sp-007", "sp-012")
 
 
-def _ri_sql(period: str | None = None, ids: str = "", by_period: bool = False) -> str:
+def ri_sql(period: str | None = None, ids: str = "", by_period: bool = False) -> str:
     month = "strftime(line_item_usage_start_date, '%Y-%m')"
     key = f"{month} AS usage_period, " if by_period else ""
     only = f"AND {month} = '{period}'" if period else ""
@@ -39,7 +39,7 @@ def _ri_sql(period: str | None = None, ids: str = "", by_period: bool = False) -
   GROUP BY {"usage_period, " if by_period else ""}{keys})"""
 
 
-def _sp_sql(period: str | None = None, ids: str = "", by_period: bool = False) -> str:
+def sp_sql(period: str | None = None, ids: str = "", by_period: bool = False) -> str:
     month = "strftime(line_item_usage_start_date, '%Y-%m')"
     key = f"{month} AS usage_period, " if by_period else ""
     only = f"AND {month} = '{period}'" if period else ""
@@ -56,22 +56,22 @@ def _sp_sql(period: str | None = None, ids: str = "", by_period: bool = False) -
   GROUP BY {"usage_period, " if by_period else ""}{keys})"""
 
 
-def _any_of(column: str, ids: tuple[str, ...]) -> str:
+def any_of(column: str, ids: tuple[str, ...]) -> str:
     return "AND (" + " OR ".join(f"contains({column}, '{i}')" for i in ids) + ")"
 
 
-def _any_in(column: str, table: str) -> str:
+def any_in(column: str, table: str) -> str:
     return f"AND EXISTS (SELECT 1 FROM {table} i WHERE contains({column}, i.id))"
 
 
-_RI_ARN, _SP_ARN = S.RI_KEYS[1], S.SP_KEYS[1]
-_RI_OUT = """reservation_subscription_id, reservation_reservation_a_r_n,
+RI_ARN, SP_ARN = S.RI_KEYS[1], S.SP_KEYS[1]
+RI_OUT = """reservation_subscription_id, reservation_reservation_a_r_n,
   line_item_usage_account_id, cast(on_demand_cost AS double) AS on_demand_cost,
   cast(effective_cost AS double) AS effective_cost, cast(savings AS double) AS savings"""
 _SP_MEASURES = """cast(usage_amount AS double) AS usage_amount,
   cast(on_demand_cost AS double) AS on_demand_cost,
   cast(effective_cost AS double) AS effective_cost, cast(savings AS double) AS savings"""
-_SP_OUT = f"""line_item_usage_account_id, savings_plan_savings_plan_a_r_n,
+SP_OUT = f"""line_item_usage_account_id, savings_plan_savings_plan_a_r_n,
   bill_payer_account_id, line_item_usage_type, {_SP_MEASURES}"""
 
 
@@ -83,23 +83,23 @@ def _number(column: str) -> str:
     return f"cast(cast(round({column}, 2) AS decimal(38,2)) AS varchar)"
 
 
-@query(f"WITH {CUR_SQL}, {_ri_sql(PERIOD)} SELECT {_RI_OUT} FROM ri")
+@query(f"WITH {CUR_SQL}, {ri_sql(PERIOD)} SELECT {RI_OUT} FROM ri")
 def ri_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(S.ri_savings(cur(spark, sf_dir), PERIOD), *S.RI_MEASURES)
 
 
-@query(f"WITH {CUR_SQL}, {_ri_sql(by_period=True)} SELECT usage_period, {_RI_OUT} FROM ri")
+@query(f"WITH {CUR_SQL}, {ri_sql(by_period=True)} SELECT usage_period, {RI_OUT} FROM ri")
 def ri_savings_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(S.ri_savings(cur(spark, sf_dir), by_period=True), *S.RI_MEASURES)
 
 
-@query(f"WITH {CUR_SQL}, {_ri_sql(ids=_any_of(_RI_ARN, RI_LIST))} SELECT {_RI_OUT} FROM ri")
+@query(f"WITH {CUR_SQL}, {ri_sql(ids=any_of(RI_ARN, RI_LIST))} SELECT {RI_OUT} FROM ri")
 def ri_savings_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(S.ri_savings(cur(spark, sf_dir), ids=RI_LIST), *S.RI_MEASURES)
 
 
 @query(f"""WITH {CUR_SQL}, {RESERVATION_IDS_SQL},
-{_ri_sql(ids=_any_in(_RI_ARN, 'reservation_ids'))} SELECT {_RI_OUT} FROM ri""")
+{ri_sql(ids=any_in(RI_ARN, 'reservation_ids'))} SELECT {RI_OUT} FROM ri""")
 def ri_savings_by_id_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = reservation_ids(spark, sf_dir)
     return as_double(S.ri_savings(cur(spark, sf_dir), ids=ids), *S.RI_MEASURES)
@@ -108,22 +108,22 @@ def ri_savings_by_id_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {CUR_SQL}, {RESERVATION_IDS_SQL}
 SELECT reservation_reservation_a_r_n, line_item_line_item_type, count(*) AS n,
   cast(sum(line_item_unblended_cost) AS double) AS cost
-FROM cur WHERE true {_any_in(_RI_ARN, 'reservation_ids')}
+FROM cur WHERE true {any_in(RI_ARN, 'reservation_ids')}
 GROUP BY reservation_reservation_a_r_n, line_item_line_item_type""")
 def lines_matching_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = matches_any_id(
         cur(spark, sf_dir),
-        _RI_ARN,
+        RI_ARN,
         reservation_ids(spark, sf_dir),
         salt_by=("line_item_usage_account_id", "line_item_usage_start_date"),
     )
-    grouped = kept.groupBy(_RI_ARN, "line_item_line_item_type").agg(
+    grouped = kept.groupBy(RI_ARN, "line_item_line_item_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("line_item_unblended_cost").alias("cost")
     )
     return as_double(grouped, "cost")
 
 
-@query(f"""WITH {CUR_SQL}, {_ri_sql()}
+@query(f"""WITH {CUR_SQL}, {ri_sql()}
 SELECT CASE WHEN total THEN '' ELSE reservation_reservation_a_r_n END
     AS reservation_reservation_a_r_n,
   CASE WHEN total THEN '' ELSE line_item_usage_account_id END AS "Usage Account ID",
@@ -137,7 +137,7 @@ def ri_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.ri_report(S.ri_savings(cur(spark, sf_dir)))
 
 
-@query(f"""WITH {CUR_SQL}, {_ri_sql()}
+@query(f"""WITH {CUR_SQL}, {ri_sql()}
 SELECT count(*) AS n_rows, cast(sum(on_demand_cost) AS double) AS on_demand_cost,
   cast(sum(effective_cost) AS double) AS effective_cost, cast(sum(savings) AS double) AS savings
 FROM ri""")
@@ -154,20 +154,20 @@ def ri_cost_all_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(S.cost_all_zero(cur(spark, sf_dir)), "total")
 
 
-@query(f"WITH {CUR_SQL}, {_sp_sql(PERIOD)} SELECT {_SP_OUT} FROM sp")
+@query(f"WITH {CUR_SQL}, {sp_sql(PERIOD)} SELECT {SP_OUT} FROM sp")
 def sp_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(S.sp_savings(cur(spark, sf_dir), PERIOD), *S.SP_MEASURES)
 
 
 @query(f"""WITH {CUR_SQL}, {PLAN_IDS_SQL},
-{_sp_sql(ids=_any_in(_SP_ARN, 'plan_ids'), by_period=True)}
-SELECT usage_period, {_SP_OUT} FROM sp""")
+{sp_sql(ids=any_in(SP_ARN, 'plan_ids'), by_period=True)}
+SELECT usage_period, {SP_OUT} FROM sp""")
 def sp_savings_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     details = S.sp_savings(cur(spark, sf_dir), ids=plan_ids(spark, sf_dir), by_period=True)
     return as_double(details, *S.SP_MEASURES)
 
 
-@query(f"""WITH {CUR_SQL}, {_sp_sql(ids=_any_of(_SP_ARN, SP_LIST))}
+@query(f"""WITH {CUR_SQL}, {sp_sql(ids=any_of(SP_ARN, SP_LIST))}
 SELECT CASE WHEN total THEN 'GRAND TOTAL' ELSE line_item_usage_account_id END AS "Account ID",
   CASE WHEN total THEN '' ELSE savings_plan_savings_plan_a_r_n END AS "Savings Plan ID",
   CASE WHEN total THEN '' ELSE bill_payer_account_id END AS "Purchaser Account ID",
@@ -183,7 +183,7 @@ def sp_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sp_report(S.sp_savings(cur(spark, sf_dir), ids=SP_LIST))
 
 
-@query(f"""WITH {CUR_SQL}, {_sp_sql()}
+@query(f"""WITH {CUR_SQL}, {sp_sql()}
 SELECT line_item_usage_account_id, bill_payer_account_id, count(*) AS n_details,
   cast(sum(usage_amount) AS double) AS usage_amount,
   cast(sum(on_demand_cost) AS double) AS on_demand_cost,
@@ -202,13 +202,13 @@ _ACCOUNT_WINDOWS = ", ".join(
 )
 
 
-@query(f"WITH {CUR_SQL}, {_sp_sql()} SELECT {_SP_OUT}, {_ACCOUNT_WINDOWS} FROM sp")
+@query(f"WITH {CUR_SQL}, {sp_sql()} SELECT {SP_OUT}, {_ACCOUNT_WINDOWS} FROM sp")
 def sp_account_plan_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = S.account_plan_detail(S.sp_savings(cur(spark, sf_dir)))
     return as_double(rows, *S.SP_MEASURES, *_ACCOUNT_MEASURES)
 
 
-@query(f"""WITH {CUR_SQL}, {_sp_sql()}
+@query(f"""WITH {CUR_SQL}, {sp_sql()}
 SELECT count(DISTINCT (line_item_usage_account_id, bill_payer_account_id)) AS n_accounts,
   cast(sum(usage_amount) AS double) AS usage_amount,
   cast(sum(on_demand_cost) AS double) AS on_demand_cost,
@@ -218,7 +218,7 @@ def sp_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(S.sp_totals(S.sp_savings(cur(spark, sf_dir))), *S.SP_MEASURES)
 
 
-@query(f"WITH {CUR_SQL}, {_sp_sql()} SELECT {_SP_OUT} FROM sp")
+@query(f"WITH {CUR_SQL}, {sp_sql()} SELECT {SP_OUT} FROM sp")
 def sp_partial_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results of three separate parts, merged, are the result of the whole."""
     lines = cur(spark, sf_dir)
