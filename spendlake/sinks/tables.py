@@ -27,7 +27,10 @@ def replace_period(
     column: str = "usage_period",
     rebalance: bool = False,
 ) -> int:
-    """Replaces one period of ``target`` by ``lines``; returns how many rows it now has.
+    """Replaces one period of ``target`` by ``lines``; returns how many rows were seen.
+
+    (A task that ran twice is counted twice, so the number is exact unless one did. Zero is
+    always zero.)
 
     The new files are complete before the old ones go (dynamic overwrite), so a failed run
     leaves the period as it was. When nothing was written, which dynamic overwrite would

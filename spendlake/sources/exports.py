@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from spendlake.functions import times
 from spendlake.operators.columns import missing_columns, missing_message, spelling
 from spendlake.operators.typed import TIME_COLUMNS, present_text
-from spendlake.sources.files import list_files, literal, local_path, open_input
+from spendlake.sources.files import list_files, literal, local_path, open_stream
 
 HEADERS = T.StructType(
     [
@@ -69,11 +69,11 @@ def scan_headers(listing: DataFrame, verify: bool = True) -> DataFrame:
 
 def _scan_file(path: str, verify: bool) -> tuple[list[str] | None, str | None]:
     try:
-        with open_input(path) as raw:
+        with open_stream(path) as raw:
             data = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
             text = io.TextIOWrapper(data, encoding="utf-8-sig", newline="")
-            header = next(csv.reader(text), None)
-            if not header:
+            header = next((row for row in csv.reader(text) if row), None)
+            if header is None:
                 return None, "no header"
             if verify:
                 while text.read(1 << 20):  # fails on a gzip cut short and on broken UTF-8

@@ -53,6 +53,14 @@ def open_input(uri: str):
     return store.open_input_file(path)
 
 
+def open_stream(uri: str):
+    """The bytes of a file from first to last, fetched in large pieces."""
+    from pyarrow import fs
+
+    store, path = _store(fs, uri)
+    return store.open_input_stream(path, compression=None, buffer_size=8 << 20)
+
+
 def open_output(uri: str):
     """Output to a file, on any store that Arrow knows."""
     from pyarrow import fs

@@ -82,6 +82,20 @@ def test_broken_files_are_left_out_whole(spark, tmp_path):
     assert problems["other.csv.gz"] == "Missing required columns: kind"
 
 
+def test_blank_lines_before_the_header(spark, tmp_path):
+    open(f"{tmp_path}/f.csv.gz", "wb").write(gzip.compress(b"\n\nx,y\n1,2\n\n3,4\n"))
+    rows = exports.read_exports(spark, listing(spark, tmp_path)).lines
+    assert rows.columns == ["x", "y"]
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "2"), ("3", "4")]
+
+
+def test_files_of_several_gzip_members(spark, tmp_path):
+    parts = [b"x\n", b"1\n2\n", b"3\n"]
+    open(f"{tmp_path}/f.csv.gz", "wb").write(b"".join(gzip.compress(p) for p in parts))
+    rows = exports.read_exports(spark, listing(spark, tmp_path)).lines
+    assert sorted(r.x for r in rows.collect()) == ["1", "2", "3"]
+
+
 def test_errors_when_nothing_is_left(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         exports.find_exports(spark, str(tmp_path), "2025")
