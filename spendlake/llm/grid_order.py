@@ -348,8 +348,8 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
 SQL = """
 WITH RECURSIVE good AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
   WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
