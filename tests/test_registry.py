@@ -4,6 +4,7 @@ import check
 import pytest
 
 import __spark_entry__ as entry_module
+from spendlake.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 CHECKED = "/root/testdata/sf0.01"
@@ -21,7 +22,7 @@ def test_names_match():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, connections, name):
     sf_dir = CHECKED if name in BY_PATH else SMALL
     expected = check.sql_rows(connections[sf_dir], entry_module.oracle_sql()[name])
