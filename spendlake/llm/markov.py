@@ -19,8 +19,10 @@ FREQUENT = 2048  # words with a class of their own: bounds the model, not the vo
 ENDINGS = 512  # classes of all other words, by their ending
 END_CLASS = FREQUENT + ENDINGS
 CLASSES = END_CLASS + 1
-BLOCK_CHARS = 8_000_000  # of texts that are coded together
+BLOCK_CHARS = 6_000_000  # of texts that are coded together
 SEGMENT = 64  # tokens of a training segment
+SIDE_BY_SIDE = 1024  # segments that a task trains on at a time
+PLACE_BITS, OWN = 40, 1 << 39  # of a looked-up word: its place above, its count or own class below
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -62,8 +64,9 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _list(flat, pa.int32()),
                 _list(list(local), pa.binary()),
                 _list(counts, pa.int64()),
+                _list([FREQUENT + zlib.crc32(w[-3:]) % ENDINGS for w in local], pa.int16()),
             ],
-            ["block", "doc_ids", "held", "sizes", "tokens", "words", "counts"],
+            ["block", "doc_ids", "held", "sizes", "tokens", "words", "counts", "endings"],
         )
 
     for batch in batches:
@@ -75,6 +78,7 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size >= BLOCK_CHARS:
                 yield block()
                 local, ids, tokens, size, k = _Local(), [], [], 0, k + 1
+                pa.default_memory_pool().release_unused()
     if ids:
         yield block()
 
@@ -96,12 +100,13 @@ def _measure(n: Counted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                block, ids, held, sizes, tokens, found = (c[r] for c in batch.columns)
+                block, ids, held, sizes, tokens, cls, found = (c[r] for c in batch.columns)
                 sizes, tokens = sizes.values.to_numpy(), tokens.values.to_numpy()
-                found = found.values
-                pos = found.field("pos").to_numpy()
-                c, cls = np.zeros(len(pos), np.int64), np.zeros(len(pos), np.int16)
-                c[pos], cls[pos] = found.field("c").to_numpy(), found.field("class").to_numpy()
+                found = np.sort(found.values.to_numpy())  # by place, of which each is there once
+                c, cls = found & (OWN - 1), cls.values.to_numpy().copy()
+                own = found & OWN != 0
+                cls[own] = c[own]
+                c[own] = n.class_tokens[cls[own]]
                 base = np.log10((c + 1) / (n.total + n.distinct + 1))
                 inner = np.log10((c + 1) / (n.class_tokens[cls] + n.class_words[cls] + 1))
                 inner[cls < FREQUENT] = 0.0
@@ -125,6 +130,8 @@ def _measure(n: Counted):
                     ],
                     ["block", "doc_ids", "held", "sizes", "classes", "base", "inner", "known"],
                 )
+            del batch
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -164,9 +171,9 @@ def expected_counts(model: Model, classes: np.ndarray) -> tuple[np.ndarray, np.n
     real = (np.arange(rows * SEGMENT) < n).reshape(rows, SEGMENT)
     padded = padded.reshape(rows, SEGMENT)
     table_ = np.ascontiguousarray(model.emit.T)
-    for low in range(0, rows, 4096):
-        c = padded[low : low + 4096].T
-        new, true = fresh[low : low + 4096].T, real[low : low + 4096].T
+    for low in range(0, rows, SIDE_BY_SIDE):
+        part = slice(low, low + SIDE_BY_SIDE)
+        c, new, true = padded[part].T, fresh[part].T, real[part].T
         e = table_[c]
         alpha, scale = np.empty_like(e), np.empty(c.shape)
         for t in range(SEGMENT):
@@ -307,7 +314,7 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
             _code,
             "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, "
-            "tokens array<int>, words array<binary>, counts array<long>",
+            "tokens array<int>, words array<binary>, counts array<long>, endings array<short>",
         ),
         "blocks",
     )
@@ -326,9 +333,8 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
         [(r["word"], i) for i, r in enumerate(top)], "word binary, own int"
     )
     ending = F.lit(FREQUENT) + F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(ENDINGS))
-    classed = counts.join(F.broadcast(frequent), "word", "left").select(
-        "word", "c", F.coalesce("own", ending.cast("int")).cast("short").alias("class")
-    )
+    marked = counts.join(F.broadcast(frequent), "word", "left")  # FREQUENT rows at most
+    classed = marked.select("c", F.coalesce("own", ending.cast("int")).alias("class"))
     texts = blocks.select(F.size(F.filter("held", lambda h: ~h)).alias("n")).agg(F.sum("n")).first()[0] or 0
     class_tokens, class_words = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in (
@@ -339,16 +345,18 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
         class_tokens[r["class"]], class_words[r["class"]] = r["c"], r["v"]
     class_tokens[END_CLASS], class_words[END_CLASS] = texts, int(texts > 0)
     n = Counted(int(class_tokens.sum()), int(class_words.sum()), texts, class_tokens, class_words)
+    known = F.coalesce(F.col("own") + F.lit(OWN), F.col("c"))
     looked_up = (
         words.select("block", "pos", "word")
-        .join(classed, "word")
+        .join(marked, "word")
+        .select("block", F.shiftleft(F.col("pos").cast("long"), PLACE_BITS).bitwiseOR(known).alias("found"))
         .groupBy("block")
-        .agg(F.collect_list(F.struct("pos", "c", "class")).alias("found"))
+        .agg(F.collect_list("found").alias("found"))
     )
     measured = stored(
-        blocks.select("block", "doc_ids", "held", "sizes", "tokens")
+        blocks.select("block", "doc_ids", "held", "sizes", "tokens", "endings")
         .join(looked_up, "block", "left")
-        .select("block", "doc_ids", "held", "sizes", "tokens", F.coalesce("found", F.array().cast("array<struct<pos:int,c:bigint,class:smallint>>")).alias("found"))
+        .withColumn("found", F.coalesce("found", F.array().cast("array<bigint>")))
         .mapInArrow(
             _measure(n),
             "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, "
