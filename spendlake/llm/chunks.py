@@ -34,49 +34,63 @@ def chunks(text: str) -> list[str]:
     return out
 
 
+UNSURE = 0  # number of a part beside which a cut is not sure
+
+
+class _Numbers(dict):
+    """Numbers of parts in order of appearance; ``new`` has the parts not yet coded."""
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.count = 1
+
+    def __missing__(self, part: str) -> int:
+        if not part or _open(part[0]) or _open(part[-1]):
+            n = UNSURE
+        else:
+            n = self.count
+            self.count += 1
+            self.new.append(part)
+        self[part] = n
+        return n
+
+
 class ChunkCoder:
     """Codes whole texts, each distinct chunk once; ``code`` codes many chunks at a time."""
 
-    def __init__(self, code: Callable[[list[str]], list], limit: int = 500_000):
+    def __init__(self, code: Callable[[list[str]], list], limit: int = 350_000):
         self.code, self.limit = code, limit
-        self.after: dict[str, object] = {}  # by part, for the chunk of a space and the part
-        self.whole: dict[str, object] = {}
+        self._forget()
 
-    def _learn(self, known: dict, names: list[str], chunk: Callable[[str], str]) -> None:
-        if names:
-            known.update(zip(names, self.code([chunk(n) for n in names]), strict=True))
+    def _forget(self) -> None:
+        self.numbers, self.codes = _Numbers(), [None]  # of chunks made of a space and a part
+        self.whole: dict[str, object] = {}
 
     def texts(self, texts: list[str]) -> list[list]:
         """The codes of each text's chunks, in order."""
-        if len(self.after) + len(self.whole) > self.limit:
-            self.after.clear()
-            self.whole.clear()
-        after, whole = self.after, self.whole
-        split = [t.split(" ") for t in texts]
-        new = set()
-        for parts in split:
-            new.update(parts[1:])
-        names = []
-        for p in new:
-            if p not in after:
-                if not p or _open(p[0]) or _open(p[-1]):
-                    after[p] = None
-                else:
-                    names.append(p)
-        self._learn(after, names, lambda p: " " + p)
+        if len(self.numbers) + len(self.whole) > self.limit:
+            self._forget()
+        number, whole = self.numbers.__getitem__, self.whole
         got, new = [], set()
-        for text, parts in zip(texts, split, strict=True):
+        for text in texts:
+            parts = text.split(" ")
             first = parts[0]
-            values = list(map(after.__getitem__, parts[1:]))
-            if None in values or values and (not first or _open(first[-1])):
+            values = list(map(number, parts[1:]))
+            if UNSURE in values or values and (not first or _open(first[-1])):
                 first, values = None, chunks(text)
                 new.update(values)
             else:
                 new.add(first)
             got.append((first, values))
-        self._learn(whole, [c for c in new if c not in whole], str)
+        learned = self.numbers.new
+        starts = [c for c in new if c not in whole]
+        found = self.code([" " + p for p in learned] + starts) if learned or starts else []
+        self.codes += found[: len(learned)]
+        whole.update(zip(starts, found[len(learned) :], strict=True))
+        self.numbers.new = []
+        code = self.codes.__getitem__
         return [
-            list(map(whole.__getitem__, values)) if first is None else [whole[first], *values]
+            list(map(whole.__getitem__, values)) if first is None else [whole[first], *map(code, values)]
             for first, values in got
         ]
 
@@ -88,7 +102,7 @@ class PieceCoder:
     where ``trusted`` is false: another library may know other letters.
     """
 
-    def __init__(self, code: Callable[[list[str]], list], join, trusted: bool, limit: int = 500_000):
+    def __init__(self, code: Callable[[list[str]], list], join, trusted: bool, limit: int = 800_000):
         self.code, self.join, self.trusted, self.limit = code, join, trusted, limit
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.known: dict[str, object] = {}

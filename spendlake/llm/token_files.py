@@ -18,6 +18,7 @@ from spendlake.llm.common import query, scratch, table
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
+FEW_PARTS = 1_000_000  # parts whose offsets may be broadcast
 
 # Row groups of 32 MB and pages of at most 64 KB or 500 documents: a search by doc_id reads the
 # column index and then a page. Ids are a dictionary of the vocabulary; ascending numbers are deltas.
@@ -133,6 +134,8 @@ def _located(spark: SparkSession, folder: str, *more) -> DataFrame:
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    if parts.count() <= FEW_PARTS:  # 16 MB at most; beyond, the planner decides
+        offsets = F.broadcast(offsets)
     start = (F.col("before") + F.col("first")).alias("start")
     return files.join(offsets, "part").select("doc_id", start, *more)
 
