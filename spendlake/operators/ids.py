@@ -66,6 +66,7 @@ def matches_any_id(
     a line item, or every column that can be hashed).
     """
     if not isinstance(ids, DataFrame):
+        ids = usable_ids(ids)
         if len(ids) <= INLINE_IDS:
             return rows.where(contains_any(F.col(column), ids))
         ids = ids_frame(rows.sparkSession, ids)
@@ -78,5 +79,9 @@ def matches_any_id(
 
 
 def ids_frame(spark: SparkSession, ids: Sequence[str]) -> DataFrame:
-    texts = F.array(*(F.lit(i) for i in ids)).cast("array<string>")
-    return spark.range(1).select(F.explode(texts).alias("id")).distinct()
+    return spark.createDataFrame([(i,) for i in usable_ids(ids)], "id string")
+
+
+def usable_ids(ids: Sequence[str | None]) -> list[str]:
+    """Different ids in order; an empty or missing one would match everything or nothing."""
+    return list(dict.fromkeys(i for i in ids if i))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.operators.ids import matching_values
+
 INVENTORY_SCHEMA = T.StructType(
     [
         T.StructField(
@@ -66,6 +68,21 @@ def flatten_resources(documents: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def malformed_documents(documents: DataFrame, column: str = "value") -> DataFrame:
+    """Documents that ``flatten_resources`` takes no resource from, though they are long enough.
+
+    Cut short, no JSON, or without a list of resources: an account whose listing failed would look
+    fully tagged. An empty list is well formed.
+    """
+    listed = F.from_json(F.col(column), INVENTORY_SCHEMA)["Resources"]
+    return documents.where((F.length(column) >= MIN_DOCUMENT) & listed.isNull())
+
+
+def unique_keys(lookup: DataFrame, key: str, value: str) -> DataFrame:
+    """A lookup table with one row per key: of repeated ones the first value in order."""
+    return lookup.groupBy(key).agg(F.min(value).alias(value))
+
+
 def literal_table(
     spark: SparkSession, names: Sequence[str], rows: Sequence[tuple[str, ...]]
 ) -> DataFrame:
@@ -84,25 +101,37 @@ def untagged_resources(
     regions: Sequence[tuple[str, str]] | DataFrame,
     aliases: DataFrame,
     monitored: Sequence[str] | DataFrame = MONITORED_TYPES,
-    excluded_patterns: Sequence[str] = EXCLUDED_PATTERNS,
-    excluded_account: str = EXCLUDED_ACCOUNT,
+    excluded_patterns: Sequence[str] | DataFrame = EXCLUDED_PATTERNS,
+    excluded_account: str | DataFrame = EXCLUDED_ACCOUNT,
     alias_prefix: str = "HK-",
 ) -> DataFrame:
     """Watched resources with the label of their region and the alias of their account.
 
     ``regions`` are pairs or a table ``(region, label)``, ``aliases`` is a table
-    ``(account_id, alias)``. An account without alias shows its own id. Tables are not forced
+    ``(account_id, alias)``; a key that is there twice has its first value in order, so no resource
+    is repeated. Excluded accounts and patterns may be tables of one column as well. An account without alias shows its own id. Tables are not forced
     to broadcast: the planner does so while they are small, and otherwise splits a hot account
     at run time.
     """
     if not isinstance(regions, DataFrame):
-        regions = F.broadcast(literal_table(resources.sparkSession, ("region", "label"), regions))
+        regions = literal_table(resources.sparkSession, ("region", "label"), regions)
+    regions = unique_keys(regions, "region", "label")
+    aliases = unique_keys(aliases, "account_id", "alias")
     arn, owner = F.col("Arn"), F.col("OwningAccountId")
-    kept = resources.where(
-        ~arn_account(arn).eqNullSafe(excluded_account) & ~owner.eqNullSafe(excluded_account)
-    )
-    for pattern in excluded_patterns:
-        kept = kept.where(~arn.contains(pattern))
+    if isinstance(excluded_account, DataFrame):
+        accounts = excluded_account.select(F.col(excluded_account.columns[0]).alias("__account"))
+        kept = resources.join(accounts, arn_account(arn) == F.col("__account"), "left_anti")
+        kept = kept.join(accounts, owner == F.col("__account"), "left_anti")
+    else:
+        kept = resources.where(
+            ~arn_account(arn).eqNullSafe(excluded_account) & ~owner.eqNullSafe(excluded_account)
+        )
+    if isinstance(excluded_patterns, DataFrame):
+        hits = matching_values(kept, "Arn", excluded_patterns)
+        kept = kept.where(arn.isNotNull()).join(hits, "Arn", "left_anti")
+    else:
+        for pattern in excluded_patterns:
+            kept = kept.where(~arn.contains(pattern))
     if isinstance(monitored, DataFrame):
         types = monitored.select(F.col(monitored.columns[0]).alias("ResourceType"))
         kept = kept.join(types, "ResourceType", "left_semi")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendlake.functions import times
@@ -32,6 +32,27 @@ def with_usage_period(lines: DataFrame, name: str = "usage_period") -> DataFrame
     )
 
 
+def unparsable_counts(
+    lines: DataFrame, times_: Sequence[str] = (START,), amounts_: Sequence[str] = ()
+) -> DataFrame:
+    """One row per text column: how many cells hold something that is no time or no amount.
+
+    Such cells become NULL in typed tables and leave month ranges, so a load can be refused or
+    reported by these counts; one pass, one aggregate.
+    """
+    def bad(name: str, parsed) -> Column:
+        held = F.trim(F.col(name).cast("string")) != ""
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.coalesce(F.count_if(held & parsed.isNull()), F.lit(0)).alias("unparsable"),
+            F.count_if(held).alias("present"),
+        )
+
+    counts = [bad(c, times.utc_clock(F.col(c), lines.schema[c].dataType)) for c in times_]
+    counts += [bad(c, F.col(c).cast("string").try_cast("decimal(38,12)")) for c in amounts_]
+    return lines.agg(F.array(*counts).alias("found")).select(F.inline("found"))
+
+
 def in_period(lines: DataFrame, period: str | None) -> DataFrame:
     """Usage that starts within one month; no period keeps every row.
 

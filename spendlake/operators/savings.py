@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from spendlake.functions import amounts
 from spendlake.operators.columns import RI_COLUMNS, SP_COLUMNS, canonical
-from spendlake.operators.ids import INLINE_IDS, ids_frame, matches_any_id, matching_values
+from spendlake.operators.ids import (
+    INLINE_IDS,
+    ids_frame,
+    matches_any_id,
+    matching_values,
+    usable_ids,
+)
 from spendlake.operators.lines import TYPE, in_period, with_usage_period
 from spendlake.operators.skew import salted_join
 
@@ -86,8 +92,10 @@ def _savings(rows, period, ids, id_column, keys, sums, by_period) -> DataFrame:
         keys = ("usage_period", *keys)
     late_ids = None
     if ids is not None:
-        if not isinstance(ids, DataFrame) and len(ids) > INLINE_IDS:
-            ids = ids_frame(rows.sparkSession, ids)
+        if not isinstance(ids, DataFrame):
+            ids = usable_ids(ids)
+            if len(ids) > INLINE_IDS:
+                ids = ids_frame(rows.sparkSession, ids)
         if isinstance(ids, DataFrame):
             late_ids = ids
         else:
@@ -106,9 +114,9 @@ def _savings(rows, period, ids, id_column, keys, sums, by_period) -> DataFrame:
     )
     if late_ids is None:
         return grouped
-    # Ids are looked up once per distinct value, and the groups of those values are kept. The
-    # lookup reads the lines a second time, but only the few columns it filters by.
-    hits = matching_values(rows, id_column, late_ids)
+    # Ids are looked up in the groups' distinct values: both uses share the groups' shuffle, so the
+    # lines are read once.
+    hits = matching_values(grouped, id_column, late_ids)
     kept = salted_join(grouped, hits, [id_column], "left_semi", keys)
     return kept.select(*grouped.columns)
 

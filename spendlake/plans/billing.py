@@ -43,6 +43,7 @@ def run_incremental(
     checkpoint: str,
     keep_types: Sequence[str] = (),
     column: str = "usage_period",
+    base_path: str | None = None,
 ) -> None:
     """The same filter over the files that are new since the last run, all months."""
     ingest_incremental(
@@ -53,4 +54,5 @@ def run_incremental(
         cur_schema(partitions=True),
         lambda lines: billable_lines(lines, None, keep_types, column),
         column,
+        base_path=base_path,
     )

@@ -46,18 +46,30 @@ def collect_accounts(
     """Exports of all registered accounts as one table with ``source_account_id``.
 
     All accounts share one read per header layout. The driver sees one line per account and
-    one per file. A bucket that is a bare name gets the ``scheme``.
+    one per file. A bucket that is a bare name gets the ``scheme``. The directory of an account that
+    does not exist is listed in ``rejected``; one that two accounts share is an error.
     """
     if granularity not in GRANULARITIES:
         raise ValueError(f"granularity must be one of {GRANULARITIES}, got {granularity!r}")
     accounts = registry.select("aws_id", "bucket", f"{granularity}_dir").collect()
-    tags = {
-        _directory(a["bucket"], a[f"{granularity}_dir"], scheme): a["aws_id"] for a in accounts
-    }
+    tags: dict[str, str] = {}
+    for a in accounts:
+        folder = _directory(a["bucket"], a[f"{granularity}_dir"], scheme)
+        if tags.setdefault(folder, a["aws_id"]) != a["aws_id"]:
+            raise ValueError(f"{folder} belongs to accounts {tags[folder]} and {a['aws_id']}")
     if not tags:
         raise ValueError("The account registry is empty")
-    listing = list_files(spark, sorted(tags), glob, recursive=True)
-    return read_exports(spark, listing, wanted, optional, verify, tags)
+    there = [folder for folder in sorted(tags) if _exists(spark, folder)]
+    listing = list_files(spark, there or sorted(tags), glob, recursive=True)
+    exports = read_exports(spark, listing, wanted, optional, verify, tags)
+    missing = [(folder, 0, "no such directory") for folder in sorted(set(tags) - set(there))]
+    listed = spark.createDataFrame(missing, exports.rejected.schema)
+    return Exports(exports.lines, exports.rejected.unionByName(listed))
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def _directory(bucket: str, folder: str, scheme: str) -> str:

@@ -54,8 +54,8 @@ def find_exports(
 def scan_headers(listing: DataFrame, verify: bool = True) -> DataFrame:
     """Header and state of every listed file.
 
-    ``verify`` reads files to their end, which is the only way to know that a gzip is whole
-    and its text is UTF-8. It is a second pass over the bytes; without it a broken file fails the read instead.
+    ``verify`` reads files to their end, which is the only way to know that a gzip is whole,
+    its text is UTF-8, no quote stays open and no row has more cells than the header. It is a second pass over the bytes; without it a broken file fails the read instead.
     Tasks hold files of about equal total size, and a file streams through a small buffer.
     """
 
@@ -72,12 +72,15 @@ def _scan_file(path: str, verify: bool) -> tuple[list[str] | None, str | None]:
         with open_stream(path) as raw:
             data = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
             text = io.TextIOWrapper(data, encoding="utf-8-sig", newline="")
-            header = next((row for row in csv.reader(text) if row), None)
+            csv.field_size_limit(1 << 30)
+            rows = csv.reader(text, strict=True)
+            header = next((row for row in rows if row), None)
             if header is None:
                 return None, "no header"
-            if verify:
-                while text.read(1 << 20):  # fails on a gzip cut short and on broken UTF-8
-                    pass
+            if verify:  # fails on a gzip cut short, on broken UTF-8 and on a quote left open
+                for row in rows:
+                    if len(row) > len(header):
+                        return None, f"row {rows.line_num} has more cells than the header"
             return header, None
     except Exception as e:  # whatever is wrong with one file must not stop the others
         return None, f"{type(e).__name__}: {e}"
@@ -193,23 +196,26 @@ def _folder() -> Column:
     return F.regexp_replace(F.url_decode(encoded), "/[^/]*$", "")
 
 
+def _parents(folder: str) -> list[str]:
+    """The folder and all that it lies in."""
+    parts = folder.split("/")
+    return ["/".join(parts[:n]) for n in range(len(parts), 0, -1)]
+
+
 def _tagged(
     spark: SparkSession, lines: DataFrame, paths: Sequence[str], tags: dict[str, str], name: str
 ) -> DataFrame:
     """Adds the tag of the longest prefix that each directory starts with."""
-    tags = {prefix.rstrip("/"): tag for prefix, tag in tags.items()}
-    by_length = sorted(tags, key=len, reverse=True)
+    by_prefix = {local_path(prefix.rstrip("/")): tag for prefix, tag in tags.items()}
     folders = {p.rsplit("/", 1)[0] for p in paths}
     rows = []
     for folder in sorted(folders):
         # A prefix may leave out the file system that the listing names.
-        spellings = (f"{folder}/", f"{local_path(folder)}/", f"{_without_store(folder)}/")
-        prefix = next(
-            (t for t in by_length if any(s.startswith(f"{local_path(t)}/") for s in spellings)), None
-        )
-        if prefix is None:
+        spellings = (folder, local_path(folder), _without_store(folder))
+        found = [p for s in spellings for p in _parents(s) if p in by_prefix]
+        if not found:
             raise ValueError(f"{folder} is in none of the given directories")
-        rows.append((folder, tags[prefix]))
+        rows.append((folder, by_prefix[max(found, key=len)]))
     table = spark.createDataFrame(rows, f"__folder string, {name} string")
     if sum(len(folder) + 64 for folder, _ in rows) <= BROADCAST_BYTES:
         table = F.broadcast(table)

@@ -25,6 +25,9 @@ CHUNKS = T.StructType(
 )
 
 
+FILES_PER_TASK = 64  # beyond what a few partitions per core would hold
+
+
 def read_footers(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -34,10 +37,11 @@ def read_footers(
     """One row per file, row group and column chunk.
 
     A listing has as many partitions as the files have bytes for, but a footer costs the
-    same for any file, so partitions are merged (without a shuffle) to a few per core.
+    same for any file, so partitions are merged (without a shuffle) to a few per core, or
+    to some dozens of files each where there are more: executors may come later.
     """
     listing = list_files(spark, paths, glob, recursive).select("path")
-    partitions = 8 * spark.sparkContext.defaultParallelism
+    partitions = max(8 * spark.sparkContext.defaultParallelism, listing.count() // FILES_PER_TASK)
     return listing.coalesce(partitions).mapInPandas(_chunks, CHUNKS)
 
 

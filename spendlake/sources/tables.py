@@ -27,33 +27,67 @@ def read_table(
 ) -> DataFrame:
     """Line items of a catalogue table (a name) or of Parquet files (a path).
 
-    Only Parquet files are read, whatever else lies between them. ``predicate`` on partition
+    Only Parquet files are read, whatever else lies between them. Parquet files that lie beside
+    partition directories, in none of them, are an error: they would not be read. ``predicate`` on partition
     keys prunes directories. ``renamed`` gives columns their usual names, for instance
     ``CRAWLED_KEYS`` when a crawler named the partition keys.
     """
     if "/" not in source:
         rows = spark.table(source)
     else:
-        rows = _read_files(spark, source, schema or cur_schema(partitions=True))
-        path = F.col("_metadata.file_path")
-        for part in excluded_parts:
-            rows = rows.where(~path.contains(part))
+        rows = _read_files(spark, source, schema or cur_schema(partitions=True), excluded_parts)
+        rows = without_excluded(rows, excluded_parts)
     if renamed:
         rows = rows.withColumnsRenamed(dict(renamed))
     return rows.where(predicate) if predicate else rows
 
 
-def _read_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+def without_excluded(rows: DataFrame, excluded_parts: Sequence[str]) -> DataFrame:
+    """Rows of files whose path has none of the parts."""
+    for part in excluded_parts:
+        rows = rows.where(~F.col("_metadata.file_path").contains(part))
+    return rows
+
+
+def _beside_partitions(spark: SparkSession, root: str, excluded: Sequence[str]) -> list[str]:
+    """What lies directly under ``root``, is no partition directory and holds Parquet files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in store.listStatus(path):
+        name, here = status.getPath().getName(), status.getPath().toString()
+        known = name.startswith(("_", ".")) or (status.isDirectory() and "=" in name)
+        if known or any(part in f"{here}/" for part in excluded):
+            continue
+        if status.isFile():
+            if name.endswith(".parquet"):
+                found.append(here)
+            continue
+        files = store.listFiles(status.getPath(), True)
+        while files.hasNext():
+            if files.next().getPath().getName().endswith(".parquet"):
+                found.append(here)
+                break
+    return found
+
+
+def _read_files(
+    spark: SparkSession, root: str, schema: T.StructType, excluded: Sequence[str]
+) -> DataFrame:
     def reader() -> DataFrameReader:
         return spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
 
     if "*" not in root:
         # Partition directories only: others beside them would make the layout ambiguous.
         try:
-            return reader().option("basePath", root).parquet(f"{root.rstrip('/')}/*=*")
+            rows = reader().option("basePath", root).parquet(f"{root.rstrip('/')}/*=*")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
+        else:
+            if beside := _beside_partitions(spark, root, excluded):
+                raise ValueError(f"Parquet files beside the partitions of {root}: {beside[:5]}")
+            return rows
     return reader().parquet(root)
 
 
@@ -67,6 +101,7 @@ def create_table(
     """Declares an external Parquet table over files that exist, with their partitions."""
     schema = schema or cur_schema(partitions=True)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    location = location.replace("\\", "\\\\").replace("'", "\\'")
     by = ", ".join(f"`{k}`" for k in keys)
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{location}'"

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from spendlake.sources.tables import EXCLUDED_PARTS, without_excluded
+
+# The source would otherwise pass over files a week older than the newest one it has seen.
+ANY_AGE = "36500d"
+
 
 def ingest_incremental(
     spark: SparkSession,
@@ -18,21 +23,28 @@ def ingest_incremental(
     partition_by: str | None = "usage_period",
     files_per_batch: int | None = None,
     base_path: str | None = None,
+    excluded_parts: Sequence[str] = EXCLUDED_PARTS,
 ) -> None:
     """Appends what is new in ``source`` since the last run to ``target``.
 
     Progress lives in ``checkpoint`` (on shared storage), and the file sink commits each
     batch once, so a lost executor or a run that is repeated adds no row twice. ``transform``
     has to be stateless, as the billing ETL is. For a partitioned source ``base_path`` is its
-    root when ``source`` is a pattern for its partition directories.
+    root when ``source`` is a pattern for its partition directories. Files count as new whatever
+    their modification time; paths with ``excluded_parts`` hold no line items, as in batch reads.
     """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    reader = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", "*.parquet")
+        .option("maxFileAge", ANY_AGE)
+    )
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if base_path is not None:
         reader = reader.option("basePath", base_path)
+    rows = without_excluded(reader.parquet(source), excluded_parts)
     writer = (
-        transform(reader.parquet(source))
+        transform(rows)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", target)
