@@ -189,3 +189,19 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     schema = "line_item_line_item_type string, line_item_unblended_cost decimal(18,4), usage_period string"
     return _count_and_cost(spark.read.schema(schema).parquet(target), "usage_period", L.TYPE)
+
+
+@query(f"""WITH {CUR_SQL}
+SELECT 'started' AS "column", count(*) FILTER (WHERE line_item_line_item_type = 'Usage') AS unparsable,
+  count(*) AS present FROM cur
+UNION ALL SELECT 'cost', count(*) FILTER (WHERE line_item_line_item_type = 'Credit'), count(*) FROM cur""")
+def unparsable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times and amounts in a notation that is not read are counted by column."""
+    kind = F.col(L.TYPE)
+    lines = cur(spark, sf_dir).select(
+        F.when(kind == "Usage", F.lit("06/01/2025 00:00"))
+        .otherwise(F.col(L.START).cast("string"))
+        .alias("started"),
+        F.when(kind == "Credit", F.lit("1,234.5")).otherwise(F.col(COST).cast("string")).alias("cost"),
+    )
+    return L.unparsable_counts(lines, ["started"], ["cost"])

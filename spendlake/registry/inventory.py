@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendlake.operators import inventory as I
 from spendlake.registry.catalog import query
 from spendlake.registry.views import (
+    DOCUMENT_SIZE,
     EXCLUDED_ACCOUNT,
     RESOURCES_SQL,
     UNTAGGED_SQL,
@@ -62,3 +64,29 @@ def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch(spark, "inventory")
     inventory_documents(spark, sf_dir).write.text(target)
     return I.flatten_resources(read_inventory(spark, target, ".txt", whole_files=False))
+
+
+@query(f"""WITH {RESOURCES_SQL}
+SELECT count(DISTINCT event_id // {DOCUMENT_SIZE}) AS n_malformed
+FROM events WHERE (event_id // {DOCUMENT_SIZE}) % 3 = 0""")
+def inventory_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document is cut short, and is found."""
+    documents = inventory_documents(spark, sf_dir, keep="page")
+    cut = F.expr("substring(value, 1, length(value) - 3)")
+    broken = documents.withColumn("value", F.when(F.col("page") % 3 == 0, cut).otherwise(F.col("value")))
+    return I.malformed_documents(broken).agg(F.count("*").alias("n_malformed"))
+
+
+@query(f"WITH {RESOURCES_SQL}, {UNTAGGED_SQL} SELECT * FROM untagged")
+def untagged_by_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lists given as tables, each row twice: keys that repeat change nothing."""
+    twice = lambda rows: rows.unionByName(rows)
+    one = lambda values: twice(spark.createDataFrame([(v,) for v in values], "v string"))
+    return I.untagged_resources(
+        I.flatten_resources(inventory_documents(spark, sf_dir)),
+        twice(spark.createDataFrame(list(I.REGION_LABELS), "region string, label string")),
+        twice(aliases(spark, sf_dir)),
+        monitored=one(I.MONITORED_TYPES),
+        excluded_patterns=one(I.EXCLUDED_PATTERNS),
+        excluded_account=one([EXCLUDED_ACCOUNT]),
+    )

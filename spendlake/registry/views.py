@@ -170,7 +170,7 @@ RESOURCES_SQL = """res AS (
     FROM (SELECT *, cast(json_extract_string(props, '$.k') AS int) % 5 AS k5 FROM events)))"""
 
 
-def inventory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory_documents(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
     """Inventory documents of at most ``DOCUMENT_SIZE`` resources each, as a service pages them."""
     item = F.struct("Arn", "Region", "OwningAccountId", "ResourceType")
     page = F.floor(F.col("event_id") / DOCUMENT_SIZE)
@@ -178,7 +178,7 @@ def inventory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         resources(spark, sf_dir)
         .groupBy(page.alias("page"))
         .agg(F.collect_list(item).alias("Resources"))
-        .select(F.to_json(F.struct("Resources")).alias("value"))
+        .select(F.to_json(F.struct("Resources")).alias("value"), *([keep] if keep else []))
     )
 
 
