@@ -87,17 +87,21 @@ class LongestMatch:
         """Pieces of a word by greedy longest match; 1 (an unknown word) if there are none."""
         goto, link, popped = self.goto, self.link, self.popped
         node = n = 0
-        for s in (*word, END):
+        for s in word:
             while s not in goto[node]:
                 n += popped[node]
                 node = link[node]
                 if node < 0:
                     return 1
             node = goto[node][s]
-        while node > 0:
+        while END not in goto[node]:
+            if node == 0:
+                return n  # the last piece has no form that ends a word
             n += popped[node]
             node = link[node]
-        return n if node == 0 else 1
+            if node < 0:
+                return 1
+        return n + 1
 
 
 class _Counts(dict):
@@ -144,7 +148,8 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Words and word pieces of each whole text, lower-cased, by greedy longest match.
 
     ``docs`` has doc_id and text; other columns are ignored. Words are the matches of the
-    vocabulary's own pattern; a piece that the vocabulary marks as a word's end only fits there.
+    vocabulary's own pattern; a piece that the vocabulary marks as a word's end only fits there, and a
+    word may also end with a piece that has no such form.
     Returns doc_id, n_words, n_tokens; a row for each row. NULL and empty texts have 0; a word that
     the pieces can't make counts 1; NULL ids and repeated rows are as any other; empty gives empty.
     """

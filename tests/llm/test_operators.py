@@ -1,0 +1,326 @@
+"""Operators against brute force, on small texts with every odd case."""
+
+import base64
+import math
+import random
+import zlib
+from collections import Counter
+from hashlib import sha256
+
+import check
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from spendlake.llm import (
+    bpe_sql, grid_order, language, markov, mixing, quality, secret_scan, shingles, token_counts,
+    token_files,
+)
+from spendlake.llm.common import components
+from spendlake.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, size string, words string, rep long"
+
+
+def odd_texts():
+    r = random.Random(5)
+    vocabulary = ["the", "of", "and", "ab", "Tion.", "x1", "é", "日本", "$$$", "don't", "a,b"]
+    texts = [None, "", " \t\n", "one", "one two", "one two three", "A b\nA b\n\nA b", "word " * 5000]
+    texts += ["x" * 3000, "\x1c a\x85b", "$" * 900, " ".join(vocabulary * 30)]
+    texts += [" ".join(r.choice(vocabulary) for _ in range(r.randint(1, 200))) for _ in range(40)]
+    texts += [" ".join(r.choice("abcdefghij") + str(i % 97) for i in range(120)) for _ in range(4)]
+    near = texts[-1].split()
+    near[60] = "changed"
+    return texts + [" ".join(near), texts[-1], texts[-1].upper()]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [
+        (i, t, "en" if i % 3 else "fr", ("b", "a", None, "")[i % 4], "clash", "clash", 7)
+        for i, t in enumerate(odd_texts())
+    ]
+    rows += [rows[20], (None, "no id", None, "a", None, None, None), (None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOCS).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("false")
+
+
+def texts_of(docs):
+    return {r.doc_id: r.text or "" for r in docs.collect() if r.doc_id is not None}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_sql(spark, name):
+    assert check.spark_rows(QUERIES[name](spark, SF)) == check.sql_rows(check.connect(SF), ORACLES[name])
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(5, 5), (7, 3)]
+    found = {r.id: r.component_id for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}}
+
+
+def test_quality_measures_and_rules(spark, docs, none):
+    for r in quality.text_measures(docs.select("doc_id", "text")).collect():
+        words = (r.text or "").encode().split()
+        triples = Counter(zip(words, words[1:], words[2:], strict=False))
+        covered = {j for i in range(len(words) - 2) if triples[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        lines = [x for x in (r.text or "").split("\n") if x.encode().split()]
+        assert r.n_words == len(words) and r.n_repeat_words == len(covered)
+        assert r.word_chars == sum(len(w.decode()) for w in words)
+        assert r.n_symbols == sum((r.text or "").count(c) for c in "#*$%&|<>")
+        assert r.n_dup_lines == len(lines) - len(set(lines))
+    rows = [(i, ("$ " if i % 4 == 0 else "w%d " % i) * 9 + " ".join(f"u{i}v{j}" for j in range(60))) for i in range(400)]
+    many = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(400)] + [(None, 0), (3, None)], "doc_id long, quality int")
+    judged = quality.quality_rules(many, labels).collect()
+    assert {r.doc_id for r in judged if not r.kept} == set(range(0, 400, 4))
+    assert {r.doc_id for r in quality.quality_documents(many, labels).collect()} == {i for i in range(400) if i % 4}
+    assert quality.quality_rules(docs, labels.where("false")).where("rule IS NOT NULL").count() == 0
+    assert quality.quality_rules(none, labels).count() == 0
+    assert quality.quality_documents(docs, labels).columns == docs.columns
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicates(docs, none, k, percent):
+    texts = texts_of(docs)
+    sets = {}
+    for i, t in texts.items():
+        w = t.encode().lower().split()
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
+    label = {i: i for i in texts}
+    for a in sorted(texts):
+        for b in sorted(texts):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if x == high else x for i, x in label.items()}
+    found = shingles.near_duplicates(docs, k, percent).collect()
+    assert len(found) == docs.count()
+    for r in found:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), label[r.doc_id])
+    kept = shingles.distinct_documents(docs, k, percent)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
+    assert sorted(ids) == sorted(set(label.values()))
+    assert shingles.near_duplicates(none, k, percent).count() == 0
+
+
+def test_large_classes_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "BLOCK", 4)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(words[i : i + 150])) for i in range(40)]
+    found = shingles.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+    assert {r.component_id for r in found.collect()} == {0}
+
+
+def test_super_minhash_estimates_with_less_variance():
+    errors = []
+    for s in range(60):
+        e = shingles.mixed(np.arange(s * 1000, s * 1000 + 150, dtype=np.uint64))
+        a, b = shingles.super_minhash(e[:100]), shingles.super_minhash(e[50:])
+        errors.append((a == b).mean() - 1 / 3)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < math.sqrt(2 / 9 / shingles.RANKS)
+
+
+def test_embedding_links(spark):
+    r = np.random.default_rng(1)
+    base = r.normal(size=(30, 12))
+    v = np.vstack([base, base + 0.05 * r.normal(size=base.shape), base[:5], 3 * base[:3]])
+    rows = [(i, [float(x) for x in row], 0) for i, row in enumerate(v)]
+    odd = [None, [], [0.0] * 12, [math.nan] * 12, [None] * 12, [1.0, 2.0], [2.0, 4.0], [math.inf] * 12]
+    rows += [(1000 + i, x, 1) for i, x in enumerate(odd)] + [(None, rows[0][1], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n_links int")
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    found = {x.vec_id: x for x in grid_order.embedding_links(table).collect() if x.vec_id is not None}
+    assert len(found) == len(rows) - 1
+    reach = np.linalg.matrix_power(linked.astype(np.int64), 4) > 0
+    for i in range(len(v)):
+        assert found[i].n_links == linked[i].sum() - 1
+        assert found[i].component_id == np.nonzero(reach[i])[0][0]
+    assert [found[1000 + i].n_links for i in range(8)] == [0, 0, 0, 0, 0, 1, 1, 0]
+    assert grid_order.embedding_links(table.where("false")).count() == 0
+
+
+def test_mixture_meets_its_targets(docs, none):
+    found = mixing.mix_sources(docs).collect()
+    assert len(found) == docs.count() and sum(r.size for r in found) > 0
+    for source in {r.source for r in found}:
+        own = [r for r in found if r.source == source]
+        assert sum(r.taken for r in own) == math.floor(own[0].target)
+        assert all(r.taken <= 3 * r.size for r in own)
+    positions = [r.position for r in found if r.position is not None]
+    assert positions == sorted(positions) and 0 <= positions[0] and positions[-1] <= 1
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns and mixed.where("text IS NULL").count() == docs.where("text IS NULL").count()
+    assert mixing.mix_sources(none).count() == 0 and mixing.mixed_documents(none).count() == 0
+
+
+def test_markov_scores(spark, docs, none):
+    rows = [r.asDict() for r in docs.collect()]
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
+    tokens = [(r["doc_id"], [*(r["text"] or "").encode().lower().split(), "end"]) for r in rows]
+    counts = Counter(w for i, t in tokens if not held(i) for w in t)
+    n, v = sum(counts.values()), len(counts)
+    expected = Counter(
+        (i, len(t), sum(counts[w] > 0 for w in t), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t), 6))
+        for i, t in tokens
+    )
+    found = markov.score_documents(docs, states=3, rounds=2).collect()
+    assert expected == Counter(
+        (r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found
+    )
+    assert all(r.held_out == held(r.doc_id) and math.isfinite(r.score) for r in found)
+    assert markov.score_documents(none).count() == 0
+
+
+def test_forward_recursion_is_exact():
+    r = np.random.default_rng(2)
+    rows = lambda *s: (x := r.random(s)) / x.sum(axis=-1, keepdims=True)
+    model = markov.Model(rows(3), rows(3, 3), rows(3, markov.CLASSES), rows(3))
+    classes, sizes = r.integers(0, 9, 12), np.array([5, 1, 6])
+    got = markov.log_likelihoods(model, classes, sizes)
+    for score, part in zip(got, np.split(classes, [5, 6]), strict=True):
+        total = 0.0
+        for path in np.ndindex(*[3] * len(part)):
+            p = model.start[path[0]] * model.emit[path[0], part[0]]
+            for s, t, c in zip(path, path[1:], part[1:], strict=False):
+                p *= model.move[s, t] * model.emit[t, c]
+            total += p
+        assert score == pytest.approx(math.log10(total))
+
+
+def test_markov_beats_the_base_on_held_out_texts(spark):
+    s = QUERIES["op3_markov_scores"](spark, "/root/testdata/sf0.01").where("held_out")
+    sums = s.agg(F.sum("base_score").alias("b"), F.sum("score").alias("s")).first()
+    assert sums.s > 0.95 * sums.b
+
+
+def test_bpe_in_sql_equals_the_library(docs, none):
+    import tiktoken
+
+    with open(public_tokenizers.path(bpe_sql.VOCABULARY), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = texts_of(docs)
+    found = bpe_sql.bpe_documents(docs).collect()
+    assert len(found) == docs.count()
+    for r in found:
+        if r.doc_id is not None:
+            ids = library.encode_ordinary(texts[r.doc_id])
+            assert np.frombuffer(r.token_ids, "<u4").tolist() == ids and r.n_tokens == len(ids)
+            assert sha256(r.decoded).digest() == sha256(texts[r.doc_id].encode()).digest()
+    assert bpe_sql.bpe_documents(none).count() == 0
+
+
+def test_token_files_equal_the_library(spark, docs, none, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
+    found = token_files.token_files(docs, str(tmp_path / "t")).collect()
+    texts, start = texts_of(docs), 0
+    assert len(found) == docs.count()
+    for r in sorted(found, key=lambda r: (r.start, r.n_tokens)):
+        assert r.start == start and len(r.token_ids) == r.n_tokens
+        if r.doc_id is not None:
+            assert r.token_ids == [*library.encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
+        start += r.n_tokens
+    ids = [r.doc_id for r in sorted(found, key=lambda r: r.start) if r.doc_id is not None]
+    assert ids == sorted(ids)
+    footer = pq.ParquetFile(next((tmp_path / "t").glob("*.parquet"))).metadata.row_group(0)
+    columns = {footer.column(i).path_in_schema: footer.column(i) for i in range(footer.num_columns)}
+    assert "DELTA_BINARY_PACKED" in columns["doc_id"].encodings
+    tokens = next(c for n, c in columns.items() if n.startswith("token_ids"))
+    assert tokens.has_dictionary_page and tokens.has_offset_index
+    assert token_files.token_files(none, str(tmp_path / "e")).count() == 0
+
+
+def test_token_counts_are_greedy(docs, none):
+    pieces, pattern = token_counts.vocabulary_pieces(public_tokenizers.path(token_counts.VOCABULARY))
+    known, longest = set(pieces), max(map(len, pieces))
+    import regex
+
+    def greedy(word):
+        s, i, n = (*word.encode(), token_counts.END), 0, 0
+        while i < len(s) - 1:
+            i = next(j for j in range(min(len(s), i + longest), i, -1) if s[i:j] in known)
+            n += 1
+        return n
+
+    texts = texts_of(docs)
+    found = token_counts.token_counts(docs).collect()
+    for r in found:
+        if r.doc_id is not None:
+            words = [w for p in texts[r.doc_id].lower().split() for w in regex.findall(pattern, p)]
+            assert (r.n_words, r.n_tokens) == (len(words), sum(map(greedy, words)))
+    assert len(found) == docs.count() and token_counts.token_counts(none).count() == 0
+    assert token_counts.LongestMatch([(1, 2)]).count(b"\x01\x03") == 1
+
+
+def test_page_language(spark, docs, none):
+    texts = spark.createDataFrame(
+        [("en", "the thing of that with and this " * 40), ("fr", "le les des que pour une dans " * 40)],
+        "lang string, text string",
+    )
+    rows = [
+        (i, f"http://h{i % 3}.example.fr/fr/x", '<html lang="fr"><script>the</script><p>les que pour dans une</p>')
+        for i in range(12)
+    ]
+    rows += [(100, None, None), (101, "http://[bad", "<p>the thing of that with and this"), (102, "http://h1.example.fr", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in language.identify_pages(pages, texts).collect()}
+    assert all(found[i].lang == "fr" for i in range(12)) and found[101].lang == "en"
+    assert found[102].lang == "fr" and found[100].text_lang is None and found[100].lang == "fr"
+    assert language.identify_pages(pages, none.select("lang", "text")).where("lang IS NULL").count() == 15
+    assert language.identify_pages(pages.where("false"), texts).count() == 0
+
+
+def test_text_model_on_held_out_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names, model = language.text_model(rows.where("doc_id % 5 <> 0"))
+    tested = [r for r in rows.where("doc_id % 5 = 0").collect() if len(r.text) > 40]
+    hits = sum(names[int(model[language.grams(r.text)].sum(axis=0).argmax())] == r.lang for r in tested)
+    assert hits >= 0.97 * len(tested)
+
+
+def test_secret_scan(spark, docs, none):
+    r = random.Random(1)
+    word = lambda a, n: "".join(r.choice(a) for _ in range(n))
+    prose = lambda: " ".join(r.choice(["the", "house", "was", "green", "and", "large"]) for _ in range(30))
+    rows, secret = [], {}
+    for i in range(240):
+        kind = i % 4
+        value = [word("0123456789abcdef", 40), word("0123456789", 16), f"{word('abc', 5)}.{i}@mail.example.com", "AKIA" + word("ABCDEFGH0123456789", 15) + "7"][kind]
+        rows.append((i, f'{prose()} {("token = " + chr(34)) if kind == 0 else ""}{value}{chr(34) if kind == 0 else ""} {prose()}'))
+        secret[value] = kind in (0, 3)
+    table = spark.createDataFrame(rows + [(None, None), (None, "x"), rows[0]], "doc_id long, text string")
+    found = secret_scan.secret_findings(table).collect()
+    assert len(found) == 241 and all(x.is_secret == secret[x.value] for x in found)
+    masked = {x.doc_id: x.text for x in secret_scan.masked_documents(table).collect()}
+    assert all((v in masked[i]) != secret[v] for i, v in enumerate(secret))
+    assert secret_scan.masked_documents(docs).columns == docs.columns
+    assert secret_scan.masked_documents(docs).count() == docs.count()
+    assert secret_scan.secret_findings(none).count() == 0
+    marks = spark.createDataFrame([(v, int(s)) for v, s in list(secret.items())[:160]], "value string, label int")
+    later = secret_scan.secret_findings(table, marks).where("label IS NULL").collect()
+    assert len(later) > 70 and sum(x.is_secret == secret[x.value] for x in later) >= 0.9 * len(later)
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    out = corpus_pipeline.run(spark, SF)
+    raw = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = out.collect()
+    assert 0 < len({r.doc_id for r in rows}) <= len(raw) and all(r.round_trip for r in rows)
+    assert len(corpus_pipeline.STAGES) == 5 and {r.doc_id for r in rows} <= set(raw)
