@@ -95,7 +95,7 @@ def described(found: DataFrame, counts: DataFrame) -> DataFrame:
     values = found.select("value").distinct()
     shape = (
         values.select("value", F.explode(_pairs(F.col("value"))).alias("pair"))
-        .join(rates.select("pair", "rate"), "pair", "left")
+        .join(F.broadcast(rates), "pair", "left")  # pairs of a-z: at most 676 rows
         .groupBy("value")
         .agg(F.avg(F.coalesce("rate", unseen)).alias("transitions"))
     )
