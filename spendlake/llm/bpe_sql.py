@@ -18,11 +18,39 @@ from spendlake.llm.common import query, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECES = 40_000  # pieces of one recursion
 
-# One round of the recursion takes, in each piece, the lowest merge that any pair allows. It merges
-# the leftmost such pair, and the pairs of the same merge that follow and don't overlap where that is
-# proven to be what one pair at a time would give: where no lower merge can have the new token as a
-# part (NOT alone). Pieces without a merge leave the recursion.
-ENCODE = """
+SHORT = 48  # bytes of pieces that merge one pair in a round
+
+# Ordered aggregation of the tokens that are left, and of their bytes.
+DECODE = """
+SELECT w, list(id ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS decoded
+FROM step JOIN vocabulary USING (id) WHERE ended GROUP BY w
+"""
+
+# One round of the recursion merges, in each piece, the leftmost pair of the lowest merge that any
+# pair allows; positions are unique over all pieces. Pieces without a merge leave the recursion.
+ENCODE = f"""
+WITH RECURSIVE step(w, pos, id, ended) AS (
+  SELECT w, pos, id, FALSE FROM begin
+  UNION ALL (
+    WITH pair AS (
+      SELECT p.w, p.pos, p.id, p.next, m.merged * 4294967296 + p.pos AS place
+      FROM (
+        SELECT w, pos, id, lead(pos) OVER (ORDER BY pos) AS next,
+          CASE WHEN lead(w) OVER (ORDER BY pos) = w THEN lead(id) OVER (ORDER BY pos) END AS follows
+        FROM step WHERE NOT ended
+      ) p LEFT JOIN merges m ON m.a = p.id AND m.b = p.follows
+    ),
+    best AS (SELECT w, min(place) AS low, arg_min(next, place) AS eaten FROM pair GROUP BY w)
+    SELECT w, pos, CASE WHEN place = low THEN low >> 32 ELSE id END, low IS NULL
+    FROM pair JOIN best USING (w) WHERE pos IS DISTINCT FROM eaten
+  )
+)
+{DECODE}"""
+
+# For long pieces, a round merges the leftmost pair, and the pairs of the same merge that follow and
+# don't overlap where that is proven to be what one pair at a time would give: where no lower merge
+# can have the new token as a part (NOT alone).
+ENCODE_LONG = f"""
 WITH RECURSIVE step(w, pos, id, ended) AS (
   SELECT w, pos, id, FALSE FROM begin
   UNION ALL
@@ -43,9 +71,7 @@ WITH RECURSIVE step(w, pos, id, ended) AS (
     )
   ) WHERE NOT coalesce(eaten, FALSE)
 )
-SELECT w, list(id ORDER BY pos) AS ids, string_agg(hex, '' ORDER BY pos) AS decoded
-FROM step JOIN vocabulary USING (id) WHERE ended GROUP BY w
-"""
+{DECODE}"""
 
 
 class SqlBpe:
@@ -78,29 +104,33 @@ class SqlBpe:
         """(ids as 32-bit numbers, decoded bytes) of each piece."""
         out: list[tuple[bytes, bytes] | None] = [None] * len(pieces)
         raw = [p.encode() for p in pieces]
-        for low in range(0, len(raw), PIECES):
-            part = raw[low : low + PIECES]
-            sizes = np.array([len(p) for p in part])
-            w = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
-            pos = np.arange(len(w), dtype=np.int32)
-            ids = self.single[np.frombuffer(b"".join(part), np.uint8)]
-            whole = np.array([self.ranks.get(p, -1) for p in part], np.int32)
-            entire = whole >= 0  # a piece that is a token is that token
-            keep = ~entire[w]
-            one = np.nonzero(entire)[0].astype(np.int32)
-            self._put(
-                "begin",
-                w=np.concatenate([w[keep], one]),
-                pos=np.concatenate([pos[keep], np.zeros(len(one), np.int32)]),
-                id=np.concatenate([ids[keep], whole[one]]),
-            )
-            found = self.db.execute(ENCODE).to_arrow_table()
-            at = found.column("w").to_pylist()
-            lists = found.column("ids").combine_chunks()
-            flat = lists.values.to_numpy().astype("<u4").tobytes()
-            ends = lists.offsets.to_pylist()
-            for i, a, b, h in zip(at, ends, ends[1:], found.column("decoded").to_pylist(), strict=False):
-                out[low + i] = (flat[4 * a : 4 * b], bytes.fromhex(h))
+        short = [i for i, p in enumerate(raw) if len(p) <= SHORT]
+        long = [i for i, p in enumerate(raw) if len(p) > SHORT]
+        for sql, group in ((ENCODE, short), (ENCODE_LONG, long)):
+            for low in range(0, len(group), PIECES):
+                at = group[low : low + PIECES]
+                for i, both in zip(at, self._merged(sql, [raw[i] for i in at]), strict=True):
+                    out[i] = both
+        return out
+
+    def _merged(self, sql: str, part: list[bytes]) -> list[tuple[bytes, bytes] | None]:
+        out: list[tuple[bytes, bytes] | None] = [None] * len(part)
+        sizes = np.array([len(p) for p in part])
+        w = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
+        pos = np.arange(len(w), dtype=np.int64)
+        ids = self.single[np.frombuffer(b"".join(part), np.uint8)]
+        whole = np.array([self.ranks.get(p, -1) for p in part], np.int32)
+        entire = whole >= 0  # a piece that is a token is that token
+        first = np.cumsum(sizes) - sizes
+        keep = ~entire[w] | (pos == first[w])
+        self._put("begin", w=w[keep], pos=pos[keep], id=np.where(entire[w], whole[w], ids)[keep])
+        found = self.db.execute(sql).to_arrow_table()
+        at = found.column("w").to_pylist()
+        lists = found.column("ids").combine_chunks()
+        flat = lists.values.to_numpy().astype("<u4").tobytes()
+        ends = lists.offsets.to_pylist()
+        for i, a, b, h in zip(at, ends, ends[1:], found.column("decoded").to_pylist(), strict=False):
+            out[i] = (flat[4 * a : 4 * b], bytes.fromhex(h))
         return out
 
 

@@ -45,7 +45,7 @@ class _Numbers(dict):
         self.count = 1
 
     def __missing__(self, part: str) -> int:
-        if not part or _open(part[0]) or _open(part[-1]):
+        if not part.isalnum() and (not part or _open(part[0]) or _open(part[-1])):
             n = UNSURE
         else:
             n = self.count
