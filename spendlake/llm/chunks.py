@@ -95,6 +95,9 @@ class ChunkCoder:
         ]
 
 
+LATIN = "\u024f"  # every library knows the letters up to here
+
+
 class PieceCoder:
     """Codes chunks by their distinct pieces under the public pattern; ``code`` codes pieces.
 
@@ -113,12 +116,13 @@ class PieceCoder:
             known.clear()
         cut, new = [], {}
         for c in chunks:
-            if not self.trusted and not c.isascii() and max(c) > "\u024f":
-                pieces = [c]
-            elif c[1:].isalpha() and c.isascii():
-                pieces = (c,) if c[0] == " " or c.isalpha() else findall(c)
-            else:
-                pieces = findall(c)
+            plain = c.isascii() or max(c) <= LATIN
+            if plain and c[1:].isalpha() and (c[0] == " " or c.isalpha()):
+                cut.append(c)  # a word is one piece
+                if c not in known:
+                    new[c] = None
+                continue
+            pieces = findall(c) if plain or self.trusted else [c]
             cut.append(pieces)
             for p in pieces:
                 if p not in known:
@@ -127,7 +131,7 @@ class PieceCoder:
         if new:
             known.update(zip(new, self.code(new), strict=True))
         return [
-            known[p[0]] if len(p) == 1 else self.join([known[x] for x in p]) for p in cut
+            known[p] if p.__class__ is str else self.join([known[x] for x in p]) for p in cut
         ]
 
 
