@@ -166,20 +166,40 @@ def forest_score(trees: list[Node]):
     return sum(leaves[1:], leaves[0]) / len(trees)
 
 
-def learn_forest(labelled: DataFrame) -> list[Node]:
+def labelled_sample(values: DataFrame, most: int) -> tuple[DataFrame, tuple[float, float]]:
+    """At most ``most`` rows of ``values``, drawn by hash within each label, and weights of 0 and 1.
+
+    Half of them are kept for each label; what one label does not fill is the other's. So a rare
+    label stays in the sample, and the weights give both labels the shares they have in ``values``.
+    """
+    held = {r["label"]: r["n"] for r in values.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    ones = min(held.get(1, 0), max(most // 2, most - held.get(0, 0)))
+    taken = {0: min(held.get(0, 0), most - ones), 1: ones}
+    part = lambda k: (
+        values.where(F.col("label") == k).orderBy(F.xxhash64("value"), "value").limit(taken[k])
+    )
+    size, total = sum(taken.values()), sum(held.values())
+    weights = tuple(held[k] * size / (total * taken[k]) if taken[k] else 0.0 for k in (0, 1))
+    return part(0).unionByName(part(1)), weights
+
+
+def learn_forest(labelled: DataFrame, weights: tuple[float, float] = (1.0, 1.0)) -> list[Node]:
     """A random forest from FEATURES, label (0 or 1) and value, grown level by level.
 
+    A value counts as often as ``weights`` says for its label.
+
     Each tree draws the values with Poisson weights made from a hash, and each node may use TRIED of
     the features. A level is one aggregate over the (bounded) labelled values: weights by tree, node,
     feature and bin of the feature; only that histogram reaches the driver. Same rows, same forest.
     """
     cuts = labelled.agg(
         *[F.percentile_approx(f, [i / BINS for i in range(1, BINS)], 10_000).alias(f) for f in FEATURES],
-        F.avg("label").alias("share"),
+        F.count("label").alias("n"),
+        F.sum("label").alias("p"),
     ).first()
-    share = 0.5 if cuts["share"] is None else cuts["share"]
-    trees = [Node(share=share) for _ in range(TREES)]
-    if share in (0.0, 1.0) or cuts["share"] is None:
+    n, p = cuts["n"], cuts["p"] or 0
+    trees = [Node(share=_share(n, p, weights) if n else 0.5) for _ in range(TREES)]
+    if p in (0, n):
         return trees
     limits = {f: sorted(set(cuts[f])) for f in FEATURES}
     bins = F.array(
@@ -224,7 +244,7 @@ def learn_forest(labelled: DataFrame) -> list[Node]:
         for (t, number), bars in cells.items():
             node = places[t].get(number)
             order = sorted(FEATURES, key=lambda f: hash_of(t, number, f))
-            best = _best_split(bars, order[:TRIED], limits) if node else None
+            best = _best_split(bars, order[:TRIED], limits, weights) if node else None
             if best:
                 node.feature, node.limit, low, high = best
                 node.low, node.high = Node(share=low), Node(share=high)
@@ -245,7 +265,15 @@ def hash_of(*parts) -> int:
     return n
 
 
-def _best_split(bars, features, limits):
+def _share(n: int, p: int, weights: tuple[float, float]) -> float:
+    """The weighted share of ``p`` secrets among ``n`` values."""
+    return weights[1] * p / (weights[0] * (n - p) + weights[1] * p)
+
+
+def _best_split(bars, features, limits, weights):
+    def impurity(n, p):
+        return weights[1] * p * (1 - _share(n, p, weights))
+
     best = None
     for f in features:
         row = [bars.get((f, i), (0, 0)) for i in range(len(limits[f]) + 1)]
@@ -257,9 +285,9 @@ def _best_split(bars, features, limits):
             ln, lp = ln + bn, lp + bp
             hn, hp = n - ln, p - lp
             if ln and hn:
-                impurity = lp * (ln - lp) / ln + hp * (hn - hp) / hn
-                if impurity < p * (n - p) / n - 1e-9 and (best is None or impurity < best[0] - 1e-12):
-                    best = (impurity, (f, limit, lp / ln, hp / hn))
+                left = impurity(ln, lp) + impurity(hn, hp)
+                if left < impurity(n, p) - 1e-9 and (best is None or left < best[0] - 1e-12):
+                    best = (left, (f, limit, _share(ln, lp, weights), _share(hn, hp, weights)))
     return best and best[1]
 
 
@@ -268,7 +296,8 @@ def secret_findings(docs: DataFrame, labels: DataFrame | None = None, max_labell
 
     ``docs`` has doc_id and text; other columns are ignored. ``labels`` has value and label (0 or
     1, NULL ignored; the largest of a value counts); without it the formats of ``known_labels`` say.
-    The forest learns from at most ``max_labelled`` different labelled values, drawn by hash. The
+    The forest learns from at most ``max_labelled`` different labelled values, drawn by hash within
+    each label and weighted by its share; a value labelled 1 is a secret whatever its score. The
     dictionary and the character transitions are counted over all texts.
 
     Returns doc_id, place (of the word), value, the features, label, score, is_secret; a row for
@@ -286,10 +315,11 @@ def secret_findings(docs: DataFrame, labels: DataFrame | None = None, max_labell
         .groupBy("value")
         .agg(F.max("label").alias("label"), *[F.min(f).alias(f) for f in FEATURES])
     )
-    sample = stored(values.orderBy(F.xxhash64("value"), "value").limit(max_labelled), "labelled")
-    trees = learn_forest(sample)
+    sample, weights = labelled_sample(values, max_labelled)
+    trees = learn_forest(stored(sample, "labelled"), weights)
+    taken = (F.coalesce("label", F.lit(0)) == 1) | (F.col("score") >= 0.5)
     return marked.withColumn("score", forest_score(trees)).select(
-        "doc_id", "place", "value", *FEATURES, "label", "score", (F.col("score") >= 0.5).alias("is_secret")
+        "doc_id", "place", "value", *FEATURES, "label", "score", taken.alias("is_secret")
     )
 
 
