@@ -19,6 +19,14 @@ CREDENTIAL_NAMES = (
     "(?i)(token|secret|passw|passphrase|pwd|api.?key|access.?key|private.?key|credential|bearer)"
 )
 CREDENTIAL_FORMATS = "^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,})$"
+FORMATS_WITHIN = f"(?<![A-Za-z0-9]){CREDENTIAL_FORMATS[1:-1]}(?![A-Za-z0-9])"
+# A name, = or :, and in group 2 what follows in the last word: up to the closing quote, or without
+# the punctuation that ends a clause.
+NAMED_TEXT = CREDENTIAL_NAMES + r"[^\s=:]*\s*[=:]"
+NAMED_VALUE = (
+    CREDENTIAL_NAMES + r"""[^\s=:]*\s?[=:]+>?\s?[(\[{]*["'`]?"""
+    r"""((?<=")[^"\s]+|(?<=')[^'\s]+|(?<=`)[^`\s]+|(?<!["'`])[^\s"'`]*[^\s"'`.,;:)\]}])(?=\S*$)"""
+)
 HARMLESS_FORMATS = (
     r"^([A-Za-z0-9._+~-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+|\d{1,3}(\.\d{1,3}){3}|[\d./+~-]+"
     r"|[a-z]+(\.[a-z0-9-]+)*\.(com|org|net|html?)(/.*)?)$"
@@ -35,27 +43,70 @@ COMMON = 50  # occurrences that make a word part of the dictionary
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Long words with a digit, and what stands beside them: one row for each occurrence."""
-    held = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(
-        F.col("text").rlike("[0-9]")
+    """What may be a secret, and what stands beside it: one row for each occurrence.
+
+    Three kinds, each value of a word once: long runs with a digit; credentials' own formats; and
+    what follows a credential's name and = or :, if it has a letter or digit, however short.
+    """
+    held = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
+        "doc_id",
+        "text",
+        F.col("text").rlike(FORMATS_WITHIN).alias("formatted"),
+        (F.col("text").rlike("[=:]") & F.col("text").rlike(NAMED_TEXT)).alias("assigning"),
     )
+    held = held.where(F.col("text").rlike("[0-9]") | F.col("formatted") | F.col("assigning"))
     w = F.col("words")
-    at = held.select("doc_id", words(F.col("text")).alias("words")).select(
-        "doc_id", "words", F.posexplode("words").alias("place", "word")
+    beside = lambda i: F.coalesce(F.get(w, F.col("place") + i), F.lit(""))
+    line = F.concat_ws(" ", beside(-2), beside(-1), "word")
+    none = F.array().cast("array<string>")
+    at = held.select("doc_id", "formatted", "assigning", words(F.col("text")).alias("words")).select(
+        "*", F.posexplode("words").alias("place", "word")
     )
-    near = at.where((F.length("word") >= LEAST_LENGTH) & F.col("word").rlike("[0-9]")).select(
+    near = at.where(
+        ((F.length("word") >= LEAST_LENGTH) & F.col("word").rlike("[0-9]"))
+        | F.when(F.col("formatted"), F.col("word").rlike(FORMATS_WITHIN)).otherwise(False)
+        | F.when(F.col("assigning"), line.rlike(NAMED_VALUE)).otherwise(False)
+    ).select(
         "doc_id",
         "place",
         "word",
-        F.coalesce(F.get(w, F.col("place") - 1), F.lit("")).alias("before"),
-        F.coalesce(F.get(w, F.col("place") - 2), F.lit("")).alias("before2"),
-        F.coalesce(F.get(w, F.col("place") + 1), F.lit("")).alias("after"),
+        beside(-1).alias("before"),
+        beside(-2).alias("before2"),
+        beside(1).alias("after"),
+        F.filter(F.regexp_extract_all("word", F.lit(VALUE), F.lit(0)), lambda v: v.rlike("[0-9]")).alias("long"),
+        F.when(F.col("formatted"), F.regexp_extract_all("word", F.lit(FORMATS_WITHIN), F.lit(0)))
+        .otherwise(none)
+        .alias("exact"),
+        F.when(
+            F.col("assigning"),
+            F.arrays_zip(
+                F.regexp_extract_all(line, F.lit(NAMED_VALUE), F.lit(2)).alias("value"),
+                F.regexp_extract_all(line, F.lit(NAMED_VALUE), F.lit(0)).alias("whole"),
+            ),
+        )
+        .otherwise(F.array().cast("array<struct<value:string,whole:string>>"))
+        .alias("named"),
     )
-    return (
-        near.select("*", F.explode(F.regexp_extract_all("word", F.lit(VALUE), F.lit(0))).alias("value"))
-        .where(F.col("value").rlike("[0-9]"))
-        .withColumn("prefix", F.expr("substring_index(word, value, 1)"))
-        .drop("word")
+    runs = F.concat("long", F.array_except("exact", "long"))
+    until = lambda s, v, n: F.call_function("substring_index", s, v, F.lit(n)).alias("prefix")
+    parts = F.concat(
+        F.transform(runs, lambda v: F.struct(v.alias("value"), until(F.col("word"), v, 1))),
+        F.transform(
+            F.filter(
+                "named",
+                lambda x: x["value"].rlike("[\\p{L}\\p{N}]")
+                & (x["value"] != MASK)
+                & ~F.array_contains(F.concat("long", "exact"), x["value"]),
+            ),
+            lambda x: F.struct(
+                x["value"].alias("value"),
+                # Taken from the end: a short value may also occur in its own name.
+                until(F.left(x["whole"], F.length(x["whole"]) - F.length(x["value"])), F.lit(" "), -1),
+            ),
+        ),
+    )
+    return near.select("doc_id", "place", "before", "before2", "after", F.explode(parts).alias("part")).select(
+        "doc_id", "place", "before", "before2", "after", "part.value", "part.prefix"
     )
 
 
@@ -125,7 +176,7 @@ def described(found: DataFrame, counts: DataFrame) -> DataFrame:
             (F.length(F.regexp_replace("value", "[^0-9]", "")) / size).alias("digits"),
             (F.size(F.array_distinct(F.split("value", ""))) / size).alias("distinct"),
             name.rlike(CREDENTIAL_NAMES).cast("double").alias("named"),
-            (F.col("prefix").rlike("[=:]") | F.col("before").rlike("[=:]$")).cast("double").alias("assigned"),
+            (F.col("prefix").rlike("[=:]") | F.col("before").rlike("[=:]>?$")).cast("double").alias("assigned"),
             ((plain("before") + plain("after")) / 2).alias("prose"),
         )
     )
@@ -324,7 +375,10 @@ def secret_findings(docs: DataFrame, labels: DataFrame | None = None, max_labell
 
 
 def masked_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """All documents, with MASK in place of each secret found in them, and n_chars to match."""
+    """All documents, with MASK in place of each secret found in them, and n_chars to match.
+
+    A secret under LEAST_LENGTH is replaced where no letter or digit adjoins it.
+    """
     found = (
         secret_findings(docs, labels)
         .where("is_secret")
@@ -334,8 +388,18 @@ def masked_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFr
     longest = F.array_sort(
         "__values", lambda a, b: F.coalesce(F.nullif(F.length(b) - F.length(a), F.lit(0)), F.when(a < b, -1).otherwise(1))
     )
+    quoted = lambda v: F.concat(F.lit("\\Q"), F.replace(v, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    alone = lambda v: F.concat(
+        F.lit(f"(?<![\\p{{L}}\\p{{N}}])(?!(?<=<){MASK[1:]})"), quoted(v), F.lit("(?![\\p{L}\\p{N}])")
+    )
     text = F.when(F.col("__values").isNull(), F.col("text")).otherwise(
-        F.aggregate(longest, F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK)))
+        F.aggregate(
+            longest,
+            F.col("text"),
+            lambda t, v: F.when(F.length(v) >= LEAST_LENGTH, F.replace(t, v, F.lit(MASK))).otherwise(
+                F.regexp_replace(t, alone(v), F.lit(MASK))
+            ),
+        )
     )
     out = docs.join(found, F.expr("doc_id <=> __id"), "left").withColumn("text", text)
     if "n_chars" in docs.columns:
