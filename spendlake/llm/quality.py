@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from spendlake.llm.common import NO_BLANK, query, stored, table, words
 
 SYMBOL = "[#*$%&|<>]"
-PLACE_BITS = 24  # of a word's place in its text
 
 # What the rules may test, as SQL over the columns of ``text_measures``.
 FEATURES = {
@@ -30,8 +29,8 @@ def text_measures(docs: DataFrame) -> DataFrame:
     """Counts of each text beside the columns of ``docs``, all within the row.
 
     Adds n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_distinct_words.
-    For repeated three-word windows the row sorts numbers that hold a window's hash above and its
-    place below, so equal windows become neighbours; the neighbours are then compared as words.
+    For repeated three-word windows the row sorts pairs of a window's 64-bit hash and its place, so
+    equal windows become neighbours; the neighbours are then compared as words.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     kept = [F.col(f"`{c}`") for c in docs.columns]
@@ -47,9 +46,7 @@ def text_measures(docs: DataFrame) -> DataFrame:
     )
     w = F.col("__words")
     window = lambda i: (F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-    hashed = lambda i: F.shiftleft(
-        F.shiftright(F.xxhash64(*window(i)), PLACE_BITS), PLACE_BITS
-    ).bitwiseOR(i.cast("long"))
+    hashed = lambda i: F.struct(F.xxhash64(*window(i)).alias("hash"), i.alias("place"))
     second = first.select(
         *kept,
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -62,11 +59,11 @@ def text_measures(docs: DataFrame) -> DataFrame:
             F.size(w) >= 3,
             F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), hashed)),
         )
-        .otherwise(F.array().cast("array<bigint>"))
+        .otherwise(F.array().cast("array<struct<hash:bigint,place:int>>"))
         .alias("__sorted"),
     )
     s = F.col("__sorted")
-    head = lambda x: F.shiftright(x, PLACE_BITS)
+    head = lambda x: x["hash"]
     third = second.withColumn(
         "__hits",
         F.filter(
@@ -75,7 +72,7 @@ def text_measures(docs: DataFrame) -> DataFrame:
         ),
     )
     h = F.col("__hits")
-    place = lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
+    place = lambda x: x["place"]
     same = lambda x, y: reduce(
         lambda p, q: p & q,
         [a == b for a, b in zip(window(place(x)), window(place(y)), strict=True)],

@@ -88,6 +88,17 @@ def test_quality_measures_and_rules(spark, docs, none):
     assert quality.quality_documents(docs, labels).columns == docs.columns
 
 
+def test_repeated_windows_whose_hashes_agree_in_40_bits(spark):
+    pairs = [("w1576477", "w2804442"), ("w3283873", "w4405835")]  # before "x y"
+    texts = [f"{a} x y 1 {b} x y 2 {a} x y 3 {b} x y 4" for a, b in pairs]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    heads = docs.select(F.split("text", " ").alias("w")).select(
+        *[F.shiftright(F.xxhash64(F.get("w", i), F.lit("x"), F.lit("y")), 24) for i in (0, 4)]
+    )
+    assert all(r[0] == r[1] for r in heads.collect())
+    assert [r.n_repeat_words for r in quality.text_measures(docs).collect()] == [12, 12]
+
+
 @pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
 def test_near_duplicates(docs, none, k, percent):
     texts = texts_of(docs)
