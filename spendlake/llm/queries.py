@@ -2,11 +2,14 @@
 
 from spendlake.llm import (  # noqa: F401
     bpe_sql,
+    centroids,
     grid_order,
     language,
+    licenses,
     markov,
     mixing,
     quality,
+    repair,
     secret_scan,
     shingles,
     token_counts,
