@@ -23,17 +23,20 @@ def run(
     slack_months: int | None = None,
     column: str = "usage_period",
     rebalance: bool = False,
+    checkpoint: str | None = None,
 ) -> int:
     """Returns the number of rows written; the month defaults to the current one (UTC).
 
-    ``slack_months`` prunes the source to billing months around the usage month.
+    ``slack_months`` prunes the source to billing months around the usage month. ``checkpoint`` is
+    that of an incremental job with the same target; run that job to its end before this one, as
+    lines that it has not seen yet would come in again with it.
     """
     period = period or times.current_period()
     lines = source if isinstance(source, DataFrame) else read_table(spark, source)
     if slack_months is not None:
         lines = near_billing_period(lines, period, slack_months)
     rows = billable_lines(lines, period, keep_types, column)
-    return replace_period(rows, target, period, column, rebalance)
+    return replace_period(rows, target, period, column, rebalance, checkpoint)
 
 
 def run_incremental(
@@ -44,8 +47,13 @@ def run_incremental(
     keep_types: Sequence[str] = (),
     column: str = "usage_period",
     base_path: str | None = None,
+    positional: Sequence[str] | None = None,
+    predicates: Sequence[str] = (),
 ) -> None:
-    """The same filter over the files that are new since the last run, all months."""
+    """The same filter over the files that are new since the last run, all months.
+
+    ``positional`` and ``predicates``: see ``read_table`` and ``ingest_incremental``.
+    """
     ingest_incremental(
         spark,
         source,
@@ -55,4 +63,6 @@ def run_incremental(
         lambda lines: billable_lines(lines, None, keep_types, column),
         column,
         base_path=base_path,
+        positional=positional,
+        predicates=predicates,
     )

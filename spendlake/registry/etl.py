@@ -11,7 +11,7 @@ from spendlake.operators import lines as L
 from spendlake.registry.catalog import query
 from spendlake.registry.views import CUR_SQL, PERIOD, as_double, cur
 from spendlake.sinks.tables import append_periods, replace_period, write_typed
-from spendlake.sources.files import open_output, scratch
+from spendlake.sources.files import file_store, open_output, scratch
 from spendlake.sources.tables import create_table, read_table
 from spendlake.streaming.ingest import ingest_incremental
 
@@ -167,6 +167,80 @@ def scan_excludes_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count_and_cost(read_table(spark, f"{root}/*", rows.schema), L.TYPE)
 
 
+KEYS = ("source_account_id", "report_name", "billing_period")
+
+
+def _stored_by_position(spark: SparkSession, sf_dir: str) -> str:
+    """The line items in directories that are named by the keys' values alone."""
+    payer = F.col("bill_payer_account_id")
+    rows = cur(spark, sf_dir).select(L.TYPE, COST, "billing_period", payer.alias(KEYS[0]))
+    rows = rows.withColumn(KEYS[1], F.lit("daily costs"))
+    root = scratch(spark, "positional")
+    rows.repartition(*KEYS).write.partitionBy(*KEYS).parquet(root)
+    store, path = file_store(root)
+    _without_names(store, path, len(KEYS))
+    return root
+
+
+def _without_names(store, folder: str, depth: int) -> None:
+    from pyarrow import fs
+
+    for entry in store.get_file_info(fs.FileSelector(folder)) if depth else ():
+        if "=" in entry.base_name:
+            goal = f"{folder}/{entry.base_name.split('=', 1)[1].replace('%20', ' ')}"
+            store.move(entry.path, goal)
+            _without_names(store, goal, depth - 1)
+
+
+POSITIONAL_SQL = f"""WITH {CUR_SQL}
+SELECT bill_payer_account_id AS source_account_id, 'daily costs' AS report_name, billing_period,
+  count(*) AS n, cast(sum({COST}) AS double) AS cost
+FROM cur WHERE bill_payer_account_id <> '000000000003' AND billing_period >= '1997-01'
+GROUP BY bill_payer_account_id, billing_period"""
+
+
+@query(POSITIONAL_SQL)
+def positional_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys are directories by position; accounts and months are pruned while they are listed."""
+    root = _stored_by_position(spark, sf_dir)
+    schema = cur(spark, sf_dir).select(L.TYPE, COST).schema
+    months = ["source_account_id <> '000000000003'", "billing_period >= '1997-01'"]
+    return _count_and_cost(read_table(spark, root, schema, months, positional=KEYS), *KEYS)
+
+
+@query(POSITIONAL_SQL)
+def positional_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same directories as a stream of new files."""
+    root = _stored_by_position(spark, sf_dir)
+    rows = cur(spark, sf_dir).select(L.TYPE, COST)
+    target, progress = scratch(spark, "ingested"), scratch(spark, "progress")
+    for _ in range(2):
+        ingest_incremental(
+            spark, root, target, progress, rows.schema, partition_by="billing_period", positional=KEYS,
+            predicates=["source_account_id <> '000000000003'", "billing_period >= '1997-01'"],
+        )
+    schema = f"{L.TYPE} string, {COST} decimal(18,4), " + ", ".join(f"{k} string" for k in KEYS)
+    return _count_and_cost(spark.read.schema(schema).parquet(target), *KEYS)
+
+
+@query(f"""WITH {BILLABLE_SQL}
+SELECT usage_period, count(*) AS n, cast(sum({COST}) AS double) AS cost
+FROM billable GROUP BY usage_period""")
+def ingest_then_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, a month replaced on the same target, and a run without news."""
+    rows = cur(spark, sf_dir).select(L.TYPE, L.START, COST, "billing_period")
+    source, target, progress = (scratch(spark, n) for n in ("arrivals", "both", "progress"))
+    shape = lambda new: L.billable_lines(new).select("usage_period", L.TYPE, COST)
+    early = F.col("billing_period") < "1998-01"
+    for arrived in (early, ~early):
+        write_typed(rows.where(arrived), source, "append")
+        ingest_incremental(spark, source, target, progress, rows.schema, shape)
+    replace_period(shape(rows), target, PERIOD, rebalance=True, checkpoint=progress)
+    ingest_incremental(spark, source, target, progress, rows.schema, shape)
+    schema = f"{L.TYPE} string, {COST} decimal(18,4), usage_period string"
+    return _count_and_cost(spark.read.schema(schema).parquet(target), "usage_period")
+
+
 @query(f"""WITH {BILLABLE_SQL}
 SELECT usage_period, line_item_line_item_type, count(*) AS n,
   cast(sum({COST}) AS double) AS cost

@@ -35,7 +35,7 @@ from spendlake.registry.views import (
     time_text,
 )
 from spendlake.sinks.reports import write_csv_report
-from spendlake.sources.accounts import collect_accounts, without_keys
+from spendlake.sources.accounts import account_listing, collect_accounts, without_keys
 from spendlake.sources.exports import find_exports, read_exports, typed_lines
 from spendlake.sources.files import list_files, open_input, open_output, scratch
 from spendlake.sources.lists import read_ids
@@ -45,6 +45,7 @@ COST = "line_item_unblended_cost"
 
 # Exports come in files of limited size.
 ROWS_PER_FILE = 500_000
+ROWS_PER_TEXT = 20_000
 
 
 def _write_csv(rows: DataFrame, target: str, by: str | None = None) -> None:
@@ -167,6 +168,64 @@ def csv_bad_files_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_double(grouped, "cost").withColumn("n_rejected", kinds)
 
 
+@query(f"WITH {CUR_SQL}, {ri_sql()} SELECT {RI_OUT} FROM ri")
+def exports_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files staged by a first run are not opened by the second, which reads a later delivery."""
+    root, store = scratch(spark, "exports"), scratch(spark, "store")
+    rows = cur(spark, sf_dir).select(*RI_COLUMNS, "billing_period")
+    early = F.col("billing_period") < "1998-01"
+    _write_csv(rows.where(early), f"{root}/2025a")
+    read_exports(spark, find_exports(spark, root), RI_COLUMNS, store=store)
+    _write_csv(_respelled(rows.where(~early), 1), f"{root}/2025b")
+    lines = read_exports(spark, find_exports(spark, root), RI_COLUMNS, store=store).lines
+    return as_double(S.ri_savings(typed_lines(lines)), *S.RI_MEASURES)
+
+
+@query(f"""WITH {CUR_SQL}
+SELECT line_item_line_item_type, count(*) AS n, cast(sum({COST}) AS double) AS cost,
+  (SELECT count(*) FILTER (line_item_line_item_type IS NULL) FROM cur) AS n_short
+FROM cur GROUP BY line_item_line_item_type""")
+def csv_single_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without their last cell are counted in the pass that reads them."""
+    root = scratch(spark, "exports")
+    rows = cur(spark, sf_dir).select(F.col(COST).cast("string").alias("c"), TYPE)
+    line = F.concat_ws(",", "c", TYPE)  # no type, no comma
+    files = F.pmod(F.xxhash64("c"), F.lit(max(8, rows.count() // ROWS_PER_TEXT)))
+    texts = rows.groupBy(files.alias("f")).agg(F.array_join(F.collect_list(line), "\n").alias("t"))
+    text = F.concat(F.lit("UnblendedCost,LineItemType\n"), "t")
+    writer = texts.select(text.alias("value")).write.option("maxRecordsPerFile", 1)
+    writer.option("compression", "gzip").text(f"{root}/2025")
+    listing = find_exports(spark, root, glob="*.txt.gz")
+    exports = read_exports(spark, listing, (TYPE, COST))
+    grouped = (
+        exports.lines.groupBy(TYPE)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(COST).cast("decimal(18,4)")).alias("cost"))
+    )
+    short = exports.files.agg(F.sum("n_short")).scalar()
+    return as_double(grouped, "cost").withColumn("n_short", short)
+
+
+@query("""SELECT lpad(cast(s_suppkey % 5 AS varchar), 12, '0') AS source_account_id, true AS found
+FROM supplier GROUP BY s_suppkey % 5
+UNION ALL SELECT concat('c', c_custkey), false FROM customer""")
+def account_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which accounts of the registry have files: a directory for each payer, none for customers."""
+    bucket = scratch(spark, "bucket")
+    rows = table(spark, sf_dir, "supplier").select(
+        "s_name", F.lpad((F.col("s_suppkey") % 5).cast("string"), 12, "0").alias("account")
+    )
+    _write_csv(rows, bucket, "account")
+    customers = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("account"))
+    registry = rows.select("account").distinct().unionByName(customers).select(
+        F.col("account").alias("aws_id"),
+        F.lit(bucket).alias("bucket"),
+        F.concat(F.lit("/account="), "account").alias("daily_dir"),
+    )
+    return account_listing(registry, "daily").groupBy("source_account_id").agg(
+        F.bool_or(F.col("path").isNotNull()).alias("found")
+    )
+
+
 @query(f"""WITH {CUR_SQL}
 SELECT bill_payer_account_id AS source_account_id, line_item_line_item_type, count(*) AS n,
   cast(sum(line_item_unblended_cost) AS double) AS cost

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from spendlake.sinks.batches import BatchLedger
+
 
 def append_periods(
     lines: DataFrame, target: str, column: str = "usage_period", rebalance: bool = False
@@ -26,6 +28,7 @@ def replace_period(
     period: str,
     column: str = "usage_period",
     rebalance: bool = False,
+    checkpoint: str | None = None,
 ) -> int:
     """Replaces one period of ``target`` by ``lines``; returns how many rows were seen.
 
@@ -36,7 +39,12 @@ def replace_period(
     leaves the period as it was. When nothing was written, which dynamic overwrite would
     take for nothing to do, the period is emptied. ``rebalance`` adds a shuffle that evens
     out file sizes, for sources that scatter a period over many files.
+
+    A target that is also ingested into needs the ``checkpoint`` of that job: a batch that was
+    stopped half-way is finished first, as its rows would otherwise arrive after the replacement.
     """
+    if checkpoint is not None:
+        BatchLedger(lines.sparkSession, checkpoint, target).finish()
     rows = lines.where(F.col(column) == period)
     seen = Observation()
     counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))

@@ -18,17 +18,19 @@ def list_files(
     paths: str | Sequence[str],
     glob: str | None = None,
     recursive: bool = False,
+    times: bool = False,
 ) -> DataFrame:
     """``(path, length)`` of the files under paths or path patterns, without reading them.
 
-    Raises ``FileNotFoundError`` when there are none.
+    With ``times`` also ``modified``, in milliseconds since 1970. Raises ``FileNotFoundError`` when there are none.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     wanted = [paths] if isinstance(paths, str) else list(paths)
     try:
-        listing = reader.load(wanted).select("path", "length")
+        modified = [F.unix_millis("modificationTime").alias("modified")] if times else []
+        listing = reader.load(wanted).select("path", "length", *modified)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"No files match {wanted}") from e
@@ -47,29 +49,26 @@ def file_sizes(listing: DataFrame) -> DataFrame:
 
 def open_input(uri: str):
     """Seekable input of a file that Spark listed, on any store that Arrow knows."""
-    from pyarrow import fs
-
-    store, path = _store(fs, uri)
+    store, path = file_store(uri)
     return store.open_input_file(path)
 
 
 def open_stream(uri: str):
     """The bytes of a file from first to last, fetched in large pieces."""
-    from pyarrow import fs
-
-    store, path = _store(fs, uri)
+    store, path = file_store(uri)
     return store.open_input_stream(path, compression=None, buffer_size=8 << 20)
 
 
 def open_output(uri: str):
     """Output to a file, on any store that Arrow knows."""
-    from pyarrow import fs
-
-    store, path = _store(fs, uri)
+    store, path = file_store(uri)
     return store.open_output_stream(path, compression=None)
 
 
-def _store(fs, path: str):
+def file_store(path: str):
+    """The store that a path is in, and the path there."""
+    from pyarrow import fs
+
     # A listed path is plain text and not an encoded URI: # and % are part of names.
     if path.startswith("file:"):
         path = local_path(path)
@@ -79,6 +78,13 @@ def _store(fs, path: str):
     return fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/@+=&,"))
 
 
+def folder_exists(path: str) -> bool:
+    from pyarrow import fs
+
+    store, plain = file_store(path)
+    return store.get_file_info(plain).type == fs.FileType.Directory
+
+
 def local_path(path: str) -> str:
     """A ``file:`` path without its scheme; any other path as it is."""
     return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path

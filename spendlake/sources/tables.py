@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.sources.positional import declare_partitions, partition_folders, read_positional
 from spendlake.sources.schema import PARTITION_ALIASES, PARTITION_KEYS, cur_schema
 
 CRAWLED_KEYS = dict(zip(PARTITION_ALIASES, PARTITION_KEYS))
@@ -21,9 +22,10 @@ def read_table(
     spark: SparkSession,
     source: str,
     schema: T.StructType | None = None,
-    predicate: str | None = None,
+    predicate: str | Sequence[str] | None = None,
     excluded_parts: Sequence[str] = EXCLUDED_PARTS,
     renamed: Mapping[str, str] | None = None,
+    positional: Sequence[str] | None = None,
 ) -> DataFrame:
     """Line items of a catalogue table (a name) or of Parquet files (a path).
 
@@ -31,7 +33,19 @@ def read_table(
     partition directories, in none of them, are an error: they would not be read. ``predicate`` on partition
     keys prunes directories. ``renamed`` gives columns their usual names, for instance
     ``CRAWLED_KEYS`` when a crawler named the partition keys.
+
+    ``positional`` names keys, for instance ``PARTITION_KEYS``, whose values are the directories
+    below the path in that order. Give ``predicate`` then as a list of conditions over keys: each
+    prunes the listing from the first level on that knows its keys.
     """
+    if positional is not None:
+        if renamed:
+            raise ValueError("positional keys have the names that are given")
+        predicates = [predicate] if isinstance(predicate, str) else list(predicate or ())
+        declared = schema or cur_schema(partitions=False)
+        return read_positional(spark, source, declared, positional, predicates, excluded_parts)
+    if predicate is not None and not isinstance(predicate, str):
+        predicate = " AND ".join(f"({p})" for p in predicate) or None
     if "/" not in source:
         rows = spark.table(source)
     else:
@@ -97,16 +111,24 @@ def create_table(
     location: str,
     schema: T.StructType | None = None,
     keys: Sequence[str] = PARTITION_KEYS,
+    positional: bool = False,
 ) -> None:
-    """Declares an external Parquet table over files that exist, with their partitions."""
+    """Declares an external Parquet table over files that exist, with their partitions.
+
+    With ``positional`` the keys are directories by position, whatever their names.
+    """
     schema = schema or cur_schema(partitions=True)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    location = location.replace("\\", "\\\\").replace("'", "\\'")
+    root, location = location, location.replace("\\", "\\\\").replace("'", "\\'")
     by = ", ".join(f"`{k}`" for k in keys)
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{location}'"
     )
-    spark.catalog.recoverPartitions(name)
+    if positional:
+        folders = partition_folders(spark, root, keys, excluded_parts=EXCLUDED_PARTS)
+        declare_partitions(spark, name, folders, keys)
+    else:
+        spark.catalog.recoverPartitions(name)
 
 
 def sample_rows(rows: DataFrame, n: int, order_by: Sequence[str] = ()) -> DataFrame:

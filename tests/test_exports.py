@@ -242,10 +242,13 @@ def test_accounts(spark, tmp_path):
         accounts.collect_accounts(spark, safe, "yearly")
 
 
-def test_account_directories():
-    assert accounts._directory("name", "/daily/", "s3a://") == "s3a://name/daily"
-    assert accounts._directory("s3://name/", "daily", "s3a://") == "s3://name/daily"
-    assert accounts._directory("/mnt/name", "daily", "s3a://") == "/mnt/name/daily"
+def test_account_directories(spark):
+    rows = [("1", "name", "/daily/"), ("2", "s3://name/", "daily"), ("3", "/mnt/name", "daily"), ("4", None, "daily")]
+    registry = spark.createDataFrame(rows, "aws_id string, bucket string, daily_dir string")
+    found = accounts.account_folders(registry, "daily")
+    assert {r.source_account_id: r.folder for r in found.collect()} == {
+        "1": "s3a://name/daily", "2": "s3://name/daily", "3": "/mnt/name/daily", "4": None,
+    }
     assert exports._without_store("hdfs://host:8020/a/b") == "/a/b"
 
 
