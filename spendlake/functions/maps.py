@@ -1,8 +1,10 @@
 """JSON text holding a map: normalised text, and real map columns.
 
 The functions take the text as a SQL expression (a column name, usually) and return a
-column. They are written in SQL because ``let`` below nests lambdas, and a lambda is far
-quicker to state and to plan that way than call by call.
+column. Objects whose parsed form already says all (no true, false or null, no repeated name)
+never leave generated code; the others go through lambdas, which are interpreted. Those are
+written in SQL because ``let`` below nests them, and a lambda is far quicker to state and to plan
+that way than call by call.
 """
 
 from __future__ import annotations
@@ -11,29 +13,66 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# How a JSON text becomes a column: an expression in generated code that is NULL where it does not
+# settle the matter, and one with lambdas for the rest.
+Ways = tuple[str, str]
+
+
 def string_map(text: str) -> Column:
     """``map<string,string>`` of a JSON object, values as ``None`` / ``True`` / text.
 
     Text that is no JSON object gives NULL; NULL and empty text give an empty map.
     """
-    return F.expr(_let(text, "t", _strings("t")))
+    return either(string_map_ways(text))
 
 
 def double_map(text: str) -> Column:
     """``map<string,double>`` when every value is a number, else NULL (see ``discount_text``)."""
-    return F.expr(_let(text, "t", _let(_strings("t"), "m", _numbers("m"))))
+    return either(double_map_ways(text))
 
 
 def map_text(text: str) -> Column:
     """Normalised JSON text with string values; text that is no object is kept as it is."""
-    return F.expr(_let(text, "t", f"coalesce({_let(_strings('t'), 'm', _string_text('m'))}, t)"))
+    return either(map_text_ways(text))
 
 
 def discount_text(text: str) -> Column:
     """Normalised JSON text with number values; strings for the row if any is no number."""
+    return either(discount_text_ways(text))
+
+
+def either(ways: Ways) -> Column:
+    return F.expr("coalesce({}, {})".format(*ways))
+
+
+def string_map_ways(text: str) -> Ways:
+    quick = f"CASE WHEN {_plain_strings(text)} THEN {_only(text, 'string')} END"
+    return quick, _let(text, "t", _strings("t"))
+
+
+def double_map_ways(text: str) -> Ways:
+    quick = f"CASE WHEN {_plain_numbers(text)} THEN {_only(text, 'double')} END"
+    return quick, _let(text, "t", _let(_strings("t"), "m", _numbers("m")))
+
+
+def map_text_ways(text: str) -> Ways:
+    slow = f"coalesce({_let(_strings('t'), 'm', _string_text('m'))}, t)"
+    odd = (r"\\", '{":"', ',":"', ':":"', '{","', ',","', ':","')  # a mark that is a name or value
+    j = f"to_json({_only(text, 'string')})"
+    spaced = f"""replace(replace({j}, '":"', '": "'), '","', '", "')"""
+    return f"CASE WHEN {_plain_strings(text, odd)} THEN {spaced} END", _let(text, "t", slow)
+
+
+def discount_text_ways(text: str) -> Ways:
     numbers = _let(_numbers("m"), "n", _number_text("n"))
     normalised = _let(_strings("t"), "m", f"coalesce({numbers}, {_string_text('m')})")
-    return F.expr(_let(text, "t", f"coalesce({normalised}, t)"))
+    odd = (r"\\", '{":', ',":', '{",', ',",')  # a mark that a name begins with
+    j = f"to_json({_only(text, 'double')})"
+    spaced = f"""replace(replace({j}, '":', '": '), ',"', ', "')"""
+    return (
+        f"CASE WHEN {_plain_numbers(text, odd)} THEN {spaced} END",
+        _let(text, "t", f"coalesce({normalised}, t)"),
+    )
 
 
 def json_or_default(text: str) -> Column:
@@ -51,6 +90,36 @@ def json_or_default(text: str) -> Column:
     )
 
 
+def _array(t: str, value: str) -> str:
+    return f"from_json(concat('[', {t}, ']'), 'array<map<string,{value}>>')"
+
+
+def _only(t: str, value: str) -> str:
+    return f"get({_array(t, value)}, 0)"
+
+
+def _plain(t: str, value: str) -> str:
+    """The text is one object, and none of its names is written twice."""
+    m = _only(t, value)
+    return f"""size({_array(t, value)}) = 1 AND startswith(trim({t}), '{{') AND endswith(trim({t}), '}}')
+        AND size(array_distinct(map_keys({m}))) = size({m})"""
+
+
+# Both ask the text that the parsed map is written as, which repeats no work: equal parts of an
+# expression are computed once. A value that only looks like the excluded ones takes the slow way.
+def _plain_strings(t: str, odd: tuple[str, ...] = ()) -> str:
+    return _without(t, "string", (":null", ':"true"', ':"false"', *odd))
+
+
+def _plain_numbers(t: str, odd: tuple[str, ...] = ()) -> str:
+    return _without(t, "double", (":null", ':"', *odd))
+
+
+def _without(t: str, value: str, odd: tuple[str, ...]) -> str:
+    j = f"to_json({_only(t, value)})"
+    return " AND ".join([_plain(t, value), *(f"NOT contains({j}, '{x}')" for x in odd)])
+
+
 def _let(value: str, name: str, body: str) -> str:
     """``body`` with ``name`` standing for a value that is computed once."""
     return f"get(transform(array({value}), {name} -> {body}), 0)"

@@ -70,15 +70,15 @@ def column_profile(table: DataFrame, nulls: bool = True, sizes: bool = True) ->
     unfolded = summed.select("n_rows", total.alias("total"), F.explode(F.array(*rows)).alias("c"))
     columns = [F.col("c.column"), F.col("c.type"), F.col("n_rows")]
     if nulls:
-        percent = _percent(F.col("c.nulls"), F.col("n_rows"))
-        columns += [F.col("c.nulls"), percent.alias("null_percent")]
+        missing = percent(F.col("c.nulls"), F.col("n_rows"))
+        columns += [F.col("c.nulls"), missing.alias("null_percent")]
     if sizes:
-        share = _percent(F.col("c.value_bytes"), F.col("total"))
+        share = percent(F.col("c.value_bytes"), F.col("total"))
         columns += [F.col("c.value_bytes"), share.alias("share_percent")]
     return unfolded.select(*columns)
 
 
-def _percent(part: Column, whole: Column) -> Column:
+def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part * F.lit(100.0) / whole).otherwise(F.lit(0.0))
 
 
@@ -111,6 +111,32 @@ def null_profile(table: DataFrame, top: int = 10) -> DataFrame:
     return top_nulls(column_profile(table, sizes=False), top)
 
 
+def files_without_counts(chunks: DataFrame) -> DataFrame:
+    """``path`` of files whose footer does not count the NULLs of each plain column."""
+    return chunks.where("flat AND null_count IS NULL").select("path").distinct()
+
+
+def footer_nulls(chunks: DataFrame) -> DataFrame:
+    """``column``, ``nulls``, ``n_rows`` of the plain columns, over the files whose footers count.
+
+    A file that lacks a column has a NULL for each of its rows. Lists, maps and structs, whose
+    parts are what a footer counts, are not in the result.
+    """
+    silent = files_without_counts(chunks).withColumn("silent", F.lit(True))
+    marked = chunks.join(silent, "path", "left")
+    counts = lambda c: F.coalesce(F.sum(F.when(F.col("silent").isNull(), F.col(c))), F.lit(0))
+    first = marked.where("ordinal = 0").agg(counts("num_rows").alias("n"))
+    return (
+        marked.groupBy("column")
+        .agg(
+            F.bool_and("flat").alias("flat"), counts("null_count").alias("nulls"), counts("num_rows").alias("n")
+        )
+        .where("flat")
+        .withColumn("n_rows", first.scalar())
+        .select("column", (F.col("nulls") + F.col("n_rows") - F.col("n")).alias("nulls"), "n_rows")
+    )
+
+
 def value_bytes(table: DataFrame) -> DataFrame:
     return by_size(column_profile(table, nulls=False))
 

@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spendlake.functions import amounts
-from spendlake.operators.columns import RI_COLUMNS, SP_COLUMNS, canonical
+from spendlake.operators.columns import (
+    RI_COLUMNS,
+    SP_COLUMNS,
+    canonical,
+    missing_columns,
+    missing_message,
+    spelling,
+)
 from spendlake.operators.ids import (
     INLINE_IDS,
     ids_frame,
@@ -135,6 +142,13 @@ def account_summary(details: DataFrame) -> DataFrame:
     )
 
 
+def ri_account_summary(details: DataFrame) -> DataFrame:
+    """Measures per account, and the number of reservations' rows behind them."""
+    return details.groupBy(RI_KEYS[2]).agg(
+        F.count(F.lit(1)).alias("n_details"), *(F.sum(m).alias(m) for m in RI_MEASURES)
+    )
+
+
 def account_plan_detail(
     details: DataFrame,
     account: str | None = None,
@@ -185,13 +199,39 @@ def sp_totals(details: DataFrame) -> DataFrame:
     )
 
 
-def cost_all_zero(lines: DataFrame, column: str = "pricing_public_on_demand_cost") -> DataFrame:
-    """Quality check over all lines, before any filter: is the cost column all zero?"""
-    return lines.agg(amounts.total(F.col(column), lines.schema[column].dataType).alias("total")).select(
+ON_DEMAND = "pricing_public_on_demand_cost"
+
+
+def _spelled(lines: DataFrame, column: str) -> str:
+    found = spelling(lines.columns, column)
+    if found is None:
+        raise ValueError(missing_message(missing_columns(lines.columns, [column])))
+    return found
+
+
+def cost_all_zero(lines: DataFrame, column: str = ON_DEMAND) -> DataFrame:
+    """Quality check over all lines, before any filter: is the cost column all zero?
+
+    The column may go by any of its spellings.
+    """
+    found = _spelled(lines, column)
+    total = amounts.total(F.col(f"`{found}`"), lines.schema[found].dataType)
+    return lines.agg(total.alias("total")).select(
         F.lit(column).alias("checked_column"), "total", (F.col("total") == 0).alias("all_zero")
     )
 
 
+def observed_cost(lines: DataFrame, seen: Observation, column: str = ON_DEMAND) -> DataFrame:
+    """The lines; their number and the sum of a cost are known to ``seen`` once they are read.
+
+    This is ``cost_all_zero`` without a pass of its own. (A task that runs twice may count twice,
+    which makes no sum zero that is not, nor the other way round, as long as costs have one sign.)
+    """
+    found = _spelled(lines, column)
+    total = amounts.total(F.col(f"`{found}`"), lines.schema[found].dataType)
+    return lines.observe(seen, F.count(F.lit(1)).alias("n_lines"), total.alias("total"))
+
+
 def ri_report(details: DataFrame) -> DataFrame:
     """The report table, in order, total last; the subscription is used to sort, not shown."""
     rows = with_grand_total(details, RI_KEYS, RI_MEASURES).orderBy("is_total", *RI_KEYS)

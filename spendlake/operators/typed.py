@@ -62,19 +62,29 @@ def to_typed(rows: DataFrame, maps_as: str = "text") -> DataFrame:
     if maps_as not in ("text", "map"):
         raise ValueError(f"maps_as must be 'text' or 'map', got {maps_as!r}")
     declared = {f.name: f.dataType for f in cur_schema().fields}
-    return rows.select(
-        *(
-            _typed(f.name, f.dataType, declared.get(f.name), maps_as).alias(f.name)
-            for f in rows.schema.fields
-        )
-    )
-
-
-def _typed(name: str, actual: T.DataType, declared: T.DataType | None, maps_as: str) -> Column:
-    text = present_text(name) if isinstance(actual, T.StringType) else f"`{name}`"
-    if name in MAP_COLUMNS:
-        return _map_column(name, text, actual, maps_as)
-    column = F.expr(text)
+    fields = rows.schema.fields
+    # What generated code settles is a column first: used twice, it is not merged with the rest,
+    # whose lambdas would take the whole projection out of generated code.
+    ways = {f.name: _map_ways(f, maps_as) for f in fields if f.name in MAP_COLUMNS}
+    ways = {name: w for name, w in ways.items() if w is not None}
+    quick = {f"__quick_{name}": F.expr(w[0]) for name, w in ways.items()}
+    if quick:
+        rows = rows.withColumns(quick)
+    columns = []
+    for f in fields:
+        if f.name in ways:
+            done = f"__quick_{f.name}"
+            column = F.expr(f"CASE WHEN {done} IS NOT NULL THEN {done} ELSE {ways[f.name][1]} END")
+        else:
+            column = _typed(f.name, f.dataType, declared.get(f.name))
+        columns.append(column.alias(f.name))
+    return rows.select(*columns)
+
+
+def _typed(name: str, actual: T.DataType, declared: T.DataType | None) -> Column:
+    column = F.expr(present_text(name) if isinstance(actual, T.StringType) else f"`{name}`")
+    if name in MAP_COLUMNS:  # a map that stays one
+        return column
     if name in STRING_COLUMNS:
         return F.coalesce(column.cast("string"), F.lit(""))
     if name in TIME_COLUMNS:
@@ -91,11 +101,12 @@ def _typed(name: str, actual: T.DataType, declared: T.DataType | None, maps_as:
     return column.cast(declared)
 
 
-def _map_column(name: str, text: str, actual: T.DataType, maps_as: str) -> Column:
-    if isinstance(actual, T.MapType):
+def _map_ways(field: T.StructField, maps_as: str) -> maps.Ways | None:
+    text = present_text(field.name) if isinstance(field.dataType, T.StringType) else f"`{field.name}`"
+    if isinstance(field.dataType, T.MapType):
         if maps_as == "map":
-            return F.expr(text)
+            return None
         text = f"to_json({text})"
-    if name == "discount":
-        return maps.discount_text(text) if maps_as == "text" else maps.double_map(text)
-    return maps.map_text(text) if maps_as == "text" else maps.string_map(text)
+    if field.name == "discount":
+        return maps.discount_text_ways(text) if maps_as == "text" else maps.double_map_ways(text)
+    return maps.map_text_ways(text) if maps_as == "text" else maps.string_map_ways(text)

@@ -10,9 +10,9 @@ from spendlake.operators import savings as S
 from spendlake.operators.columns import CANDIDATES, RI_COLUMNS, SP_COLUMNS
 from spendlake.operators.lines import START, TYPE
 from spendlake.operators.typed import to_typed
-from spendlake.plans import convert
+from spendlake.plans import billing, convert
 from spendlake.plans import savings as savings_plan
-from spendlake.registry.catalog import query
+from spendlake.registry.catalog import ORACLES, query
 from spendlake.registry.savings import (
     RI_ARN,
     RI_OUT,
@@ -35,7 +35,7 @@ from spendlake.registry.views import (
     time_text,
 )
 from spendlake.sinks.reports import write_csv_report
-from spendlake.sources.accounts import account_listing, collect_accounts, without_keys
+from spendlake.sources.accounts import account_listing, collect_accounts, read_registry, without_keys
 from spendlake.sources.exports import find_exports, read_exports, typed_lines
 from spendlake.sources.files import list_files, open_input, open_output, scratch
 from spendlake.sources.lists import read_ids
@@ -382,3 +382,75 @@ def csv_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("n_chars").cast("bigint")).alias("n_chars"),
         F.sum(F.length("text")).alias("text_length"),
     )
+
+
+def _read_back(spark: SparkSession, report: DataFrame) -> DataFrame:
+    """A report written as CSV, read row by row as it stands there, with the place of each row."""
+    target = scratch(spark, "report")
+    write_csv_report(report, target)
+    return spark.read.option("header", True).option("emptyValue", "").option("nullValue", "\x00").csv(target)
+
+
+_RI_REPORT, _SP_REPORT = ORACLES["ri_report"], ORACLES["sp_report"]
+
+
+@query(f"""SELECT coalesce(reservation_reservation_a_r_n, '') AS reservation_reservation_a_r_n,
+  coalesce("Usage Account ID", '') AS "Usage Account ID", "On-Demand Cost", "RI Effective Cost", "Savings"
+FROM ({_RI_REPORT})""")
+def ri_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_back(spark, S.ri_report(S.ri_savings(cur(spark, sf_dir)))).na.fill("")
+
+
+@query(_SP_REPORT)
+def sp_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_back(spark, S.sp_report(S.sp_savings(cur(spark, sf_dir), ids=SP_LIST))).na.fill("")
+
+
+@query("""SELECT * FROM (VALUES ('2025a', 'Missing required columns: UsageAmount, UnblendedCost'), ('2025b', NULL))
+  v(folder, problem)
+WHERE (SELECT count(*) FROM supplier) > 0""")
+def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries that lack columns are named with all that they lack."""
+    root = scratch(spark, "exports")
+    rows = table(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("LineItemType"), F.col("s_acctbal").alias("UnblendedCost"), F.lit(1).alias("UsageAmount")
+    )
+    _write_csv(rows.select("LineItemType"), f"{root}/2025a")
+    _write_csv(rows, f"{root}/2025b")
+    wanted = (TYPE, "line_item_usage_amount", COST)
+    files = read_exports(spark, find_exports(spark, root), wanted).files
+    folder = F.element_at(F.split("path", "/"), -2)
+    return files.select(folder.alias("folder"), "problem").distinct()
+
+
+@query(f"""WITH {CUR_SQL}
+SELECT strftime(now() AT TIME ZONE 'UTC', '%Y-%m') AS usage_period, count(*) AS n
+FROM cur WHERE line_item_line_item_type NOT IN ('Discount', 'Credit', 'Refund')
+  AND line_item_line_item_type NOT LIKE '%Discount%'""")
+def period_by_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job without a period replaces the current month (in UTC): all lines, moved to it."""
+    now = F.date_trunc("month", F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()))
+    lines = cur(spark, sf_dir).withColumn(START, now.cast("timestamp_ntz"))
+    target = scratch(spark, "current")
+    billing.run(spark, lines.select(TYPE, START), target)
+    schema = f"{TYPE} string, {START} timestamp_ntz, usage_period string"
+    rows = spark.read.schema(schema).parquet(target)
+    return rows.groupBy("usage_period").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT lpad(cast(c_custkey AS varchar), 12, '0') AS aws_id, c_name AS name,
+  CASE WHEN c_nationkey % 2 = 0 THEN 'bucket' END AS bucket, concat('m/', c_custkey) AS monthly_dir
+FROM customer""")
+def account_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of the registry, from which keys are never loaded."""
+    target = scratch(spark, "registry")
+    customers = table(spark, sf_dir, "customer")
+    customers.select(
+        F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("aws_id"),
+        F.col("c_name").alias("name"),
+        F.when(F.col("c_nationkey") % 2 == 0, "bucket").alias("bucket"),
+        F.concat(F.lit("m/"), F.col("c_custkey").cast("string")).alias("monthly_dir"),
+        F.lit("never").alias("access_key_id"),
+        F.lit("never").alias("secret_access_key"),
+    ).write.parquet(target)
+    return read_registry(spark, target)

@@ -14,6 +14,7 @@ from spendlake.registry.views import (
     UNTAGGED_SQL,
     aliases,
     inventory_documents,
+    table,
 )
 from spendlake.sinks.reports import write_text_report
 from spendlake.sources.files import scratch
@@ -66,6 +67,21 @@ def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.flatten_resources(read_inventory(spark, target, ".txt", whole_files=False))
 
 
+@query(f"""WITH {RESOURCES_SQL}
+SELECT arn AS "Arn", region AS "Region", owner AS "OwningAccountId", rtype AS "ResourceType"
+FROM res""")
+def inventory_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per file, some spread over lines; files that hold next to nothing are passed over."""
+    target = scratch(spark, "inventory")
+    spread = F.regexp_replace("value", r"\},\{", "},\n  {")
+    documents = inventory_documents(spark, sf_dir).select(spread.alias("value"))
+    empty = F.element_at(F.array(F.lit("{}"), F.lit(""), F.lit("null"), F.lit("[ ]\n")), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    nothing = table(spark, sf_dir, "supplier").select(empty.cast("string").alias("value"))
+    files = documents.unionByName(nothing).write.option("maxRecordsPerFile", 1)
+    files.text(target)
+    return I.flatten_resources(read_inventory(spark, target, ".txt", whole_files=True))
+
+
 @query(f"""WITH {RESOURCES_SQL}
 SELECT count(DISTINCT event_id // {DOCUMENT_SIZE}) AS n_malformed
 FROM events WHERE (event_id // {DOCUMENT_SIZE}) % 3 = 0""")

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from spendlake.operators import profile as P
 from spendlake.registry.catalog import query
 from spendlake.registry.views import CUR_SQL, JSON_TEXTS_SQL, cur, json_texts, table
-from spendlake.sources.files import list_files
+from spendlake.plans.profiling import null_counts
+from spendlake.sinks.tables import write_typed
+from spendlake.sources.files import list_files, scratch
 from spendlake.sources.footers import read_footers
 from spendlake.sources.schema import from_json_list, to_json_list
 from spendlake.sources.tables import read_table, sample_rows
+from spendlake.sources.tables import sample_by_hash as even_sample
 
 # The check runs on this directory; the SQL functions over footers need the path itself.
 CHECKED_DIR = "/root/testdata/sf0.01"
@@ -126,6 +129,22 @@ def null_profile_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.null_profile(cur(spark, sf_dir))
 
 
+@query(f"""WITH {CUR_SQL}, nulls AS ({_CUR_NULLS})
+SELECT "column", nulls, n_rows, nulls * cast(100.0 AS double) / n_rows AS null_percent FROM nulls""")
+def null_profile_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items as a table whose footers count NULLs: no data is read."""
+    target = scratch(spark, "cur")
+    write_typed(cur(spark, sf_dir), target)
+    return null_counts(spark, target)
+
+
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
+ORDER BY md5(concat_ws(chr(31), 'seed', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)) LIMIT 500""")
+def sample_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return even_sample(rows, 500, seed="seed")
+
+
 @query("""SELECT type, count(*) AS n_columns, cast(0 AS bigint) AS nulls,
   cast(sum(value_bytes) AS bigint) AS value_bytes
 FROM (
@@ -196,3 +215,35 @@ def schema_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.col("l_extendedprice").cast("decimal(18,4)")).cast("double").alias("price"),
         )
     )
+
+
+# Written by hand, as a catalogue states it: keys last, under their own mark.
+_DECLARED = """[
+  {"Name": "line_item_line_item_type", "Type": "string"},
+  {"Name": "line_item_usage_start_date", "Type": "timestamp"},
+  {"Name": "resource_tags", "Type": "map<string,string>"},
+  {"Name": "n", "Type": "bigint"},
+  {"Name": "bill_payer_account_id", "Type": "string", "PartitionKey": "Partition (0)"},
+  {"Name": "billing_period", "Type": "string", "PartitionKey": "Partition (1)"}
+]"""
+
+
+@query(f"""WITH {CUR_SQL}
+SELECT bill_payer_account_id, billing_period, line_item_line_item_type, count(*) AS n,
+  max(line_item_usage_start_date) AS last_start, cast(0 AS bigint) AS n_tagged
+FROM cur GROUP BY ALL""")
+def schema_with_partition_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of columns and keys declares a table: keys stay text, a column no file has is NULL."""
+    schema, keys = from_json_list(_DECLARED)
+    rows = cur(spark, sf_dir).select("line_item_line_item_type", "line_item_usage_start_date", *keys)
+    target = scratch(spark, "declared")
+    rows.repartition(*keys).write.partitionBy(*keys).parquet(target)
+    return (
+        read_table(spark, target, schema)
+        .groupBy(*keys, "line_item_line_item_type")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max("line_item_usage_start_date").alias("last_start"),
+            F.count("resource_tags").alias("n_tagged"),
+        )
+    )

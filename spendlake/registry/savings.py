@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlake.operators import savings as S
 from spendlake.operators.ids import matches_any_id
+from spendlake.plans import savings as plan
 from spendlake.registry.catalog import query
 from spendlake.registry.views import (
     CUR_SQL,
@@ -229,3 +230,57 @@ def sp_partial_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
         for low, high in zip(bounds, bounds[1:])
     ]
     return as_double(S.merge_savings(parts, S.SP_KEYS), *S.SP_MEASURES)
+
+
+@query(f"""WITH {CUR_SQL}, {sp_sql()}, details AS (SELECT {SP_OUT}, {_ACCOUNT_WINDOWS} FROM sp)
+SELECT * FROM details
+WHERE line_item_usage_account_id = '000000000007' AND bill_payer_account_id = '000000000003'""")
+def sp_detail_of_one_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = S.account_plan_detail(S.sp_savings(cur(spark, sf_dir)), "000000000007", "000000000003")
+    return as_double(rows, *S.SP_MEASURES, *_ACCOUNT_MEASURES)
+
+
+@query(f"""WITH {CUR_SQL}, {ri_sql(PERIOD)}
+SELECT line_item_usage_account_id, count(*) AS n_details, cast(sum(on_demand_cost) AS double) AS on_demand_cost,
+  cast(sum(effective_cost) AS double) AS effective_cost, cast(sum(savings) AS double) AS savings,
+  (SELECT cast(sum(savings) AS double) FROM ri) AS total_savings, (SELECT count(*) FROM ri) AS n_rows,
+  (SELECT count(*) FROM cur) AS n_lines,
+  (SELECT cast(sum(pricing_public_on_demand_cost) AS double) FROM cur) AS on_demand_total, false AS all_zero
+FROM ri GROUP BY line_item_usage_account_id""")
+def ri_job_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's table of accounts, its totals, and what it saw of all lines in the same pass."""
+    result = plan.ri_from_lines(cur(spark, sf_dir), no_files(spark), PERIOD)
+    totals = result.totals.first()
+    return as_double(result.accounts, *S.RI_MEASURES).withColumns(
+        {
+            "total_savings": F.lit(float(totals["savings"])),
+            "n_rows": F.lit(totals["n_rows"]).cast("bigint"),
+            "n_lines": F.lit(result.n_lines).cast("bigint"),
+            "on_demand_total": F.lit(float(result.on_demand_total)),
+            "all_zero": F.lit(result.on_demand_all_zero),
+        }
+    )
+
+
+@query(f"""WITH {CUR_SQL}, {PLAN_IDS_SQL}, {sp_sql(PERIOD, ids=any_in(SP_ARN, 'plan_ids'))}
+SELECT {SP_OUT}, {_ACCOUNT_WINDOWS},
+  (SELECT count(DISTINCT (line_item_usage_account_id, bill_payer_account_id)) FROM sp) AS n_accounts,
+  (SELECT cast(sum(savings) AS double) FROM sp) AS total_savings,
+  count(*) OVER (PARTITION BY line_item_usage_account_id, bill_payer_account_id) AS n_details
+FROM sp""")
+def sp_job_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's plans beside the totals of their accounts, its table of accounts and its totals."""
+    result = plan.sp_from_lines(cur(spark, sf_dir), no_files(spark), PERIOD, plan_ids(spark, sf_dir))
+    totals = result.totals.first()
+    accounts = result.accounts.select(*S.ACCOUNT_KEYS, "n_details")
+    rows = result.plans.join(accounts, list(S.ACCOUNT_KEYS)).withColumns(
+        {
+            "n_accounts": F.lit(totals["n_accounts"]).cast("bigint"),
+            "total_savings": F.lit(float(totals["savings"])),
+        }
+    )
+    return as_double(rows, *S.SP_MEASURES, *_ACCOUNT_MEASURES)
+
+
+def no_files(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "path string, length long, problem string")

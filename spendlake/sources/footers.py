@@ -21,6 +21,8 @@ CHUNKS = T.StructType(
         T.StructField("uncompressed", T.LongType()),
         T.StructField("num_values", T.LongType()),
         T.StructField("num_rows", T.LongType()),
+        T.StructField("flat", T.BooleanType()),
+        T.StructField("null_count", T.LongType()),
     ]
 )
 
@@ -36,6 +38,8 @@ def read_footers(
 ) -> DataFrame:
     """One row per file, row group and column chunk.
 
+    ``null_count`` is NULL where the writer left no statistics, or none of NULLs.
+
     A listing has as many partitions as the files have bytes for, but a footer costs the
     same for any file, so partitions are merged (without a shuffle) to a few per core, or
     to some dozens of files each where there are more: executors may come later.
@@ -52,6 +56,9 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in batch["path"]:
             with open_input(path) as source:
                 footer = pq.ParquetFile(source).metadata
+            columns = [footer.schema.column(c) for c in range(footer.num_columns)]
+            # A column of its own: not a part of a list, map or struct.
+            flat = [c.path == c.name and c.max_repetition_level == 0 for c in columns]
             for g in range(footer.num_row_groups):
                 group = footer.row_group(g)
                 chunks = [group.column(c) for c in range(group.num_columns)]
@@ -66,5 +73,12 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         "uncompressed": [c.total_uncompressed_size for c in chunks],
                         "num_values": [c.num_values for c in chunks],
                         "num_rows": group.num_rows,
+                        "flat": flat,
+                        "null_count": pd.array([_null_count(c) for c in chunks], dtype="Int64"),
                     }
                 )
+
+
+def _null_count(chunk) -> int | None:
+    found = chunk.statistics if chunk.is_stats_set else None
+    return found.null_count if found is not None and found.has_null_count else None

@@ -134,3 +134,23 @@ def create_table(
 def sample_rows(rows: DataFrame, n: int, order_by: Sequence[str] = ()) -> DataFrame:
     """First ``n`` rows: of the given order, or any when there is none."""
     return (rows.orderBy(*order_by) if order_by else rows).limit(n)
+
+
+def sample_by_hash(
+    rows: DataFrame, n: int, columns: Sequence[str] | None = None, seed: str = ""
+) -> DataFrame:
+    """The ``n`` rows with the lowest hash of their ``columns`` (all): an even sample.
+
+    The same rows whatever files and partitions they come in, and of a smaller ``n`` a part of those
+    of a larger one. Each partition keeps its ``n`` lowest rows and no more, so there is no sort of
+    the table; ``n`` rows of each partition reach the last task. Rows that are equal in ``columns``
+    share a hash: of several such, any may be taken where not all are.
+    """
+    texts = [F.col(f"`{c}`").cast("string") for c in (columns or rows.columns)]
+    whole = F.concat_ws("\x1f", F.lit(seed), *(F.coalesce(t, F.lit("\x00")) for t in texts))
+    return (
+        rows.withColumn("__hash", F.md5(whole)).withColumn("__text", whole)
+        .orderBy("__hash", "__text")
+        .limit(n)
+        .drop("__hash", "__text")
+    )

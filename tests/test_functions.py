@@ -1,6 +1,9 @@
 from datetime import datetime
 from decimal import Decimal
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,3 +179,26 @@ def test_json_or_default(spark):
     assert one(spark, "string", texts, lambda _: maps.json_or_default("x")) == [
         *[empty] * 8, {"value": "text"}, {"a": "1"}, {"value": "[1]"},
     ]
+
+
+def test_quick_and_slow_maps_agree(spark):
+    """Every object also as the second of two equal names, which is never quick."""
+    r = random.Random(7)
+    texts = ["x", "a:b", "a,b", 'q"q', "b\\s", "}", "{", "é\n", "", ": ,", "null", "true", ':"true"', "1", "1e3", "-0.0"]
+    numbers = [0, 1.5, -2, 1e20, 123456789012345678, 0.1]
+    objects = []
+    for _ in range(400):
+        pool = r.choice([texts, numbers, numbers + texts, [*texts, None, True, False, [1], {"n": "a,b"}]])
+        objects.append({r.choice(texts) + str(i): r.choice(pool) for i in range(r.randint(0, 5))})
+    plain = [json.dumps(o, ensure_ascii=False, separators=r.choice([(",", ":"), (" , ", " : ")])) for o in objects]
+    twice = ["{" + '"again":0' + ("," if o else "") + t.strip()[1:-1] + ',"again":7}' for o, t in zip(objects, plain, strict=True)]
+    for f, last in ((maps.map_text, '"again": "7"'), (maps.discount_text, None)):
+        quick = one(spark, "string", plain, lambda _, f=f: f("x"))
+        slow = one(spark, "string", twice, lambda _, f=f: f("x"))
+        for o, q, s in zip(objects, quick, slow, strict=True):
+            end = last or ('"again": 7.0' if s.endswith("7.0}") else '"again": "7"')
+            assert s == q[:-1] + (", " if o else "") + end + "}", (q, s)
+    for f, kind in ((maps.string_map, str), (maps.double_map, float)):
+        quick = one(spark, "string", plain, lambda _, f=f: f("x"))
+        slow = one(spark, "string", twice, lambda _, f=f: f("x"))
+        assert slow == [None if q is None else {**q, "again": kind(7)} for q in quick]
