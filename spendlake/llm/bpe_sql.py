@@ -143,9 +143,9 @@ def _join(values: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
 
 def _coder(path: str) -> ChunkCoder:
     if path not in _coders:
-        _coders[path] = ChunkCoder(
-            PieceCoder(SqlBpe(path).code, _join, trusted=True, limit=400_000), limit=250_000
-        )
+        code = SqlBpe(path).code
+        pieces = PieceCoder(code, _join, limit=400_000)
+        _coders[path] = ChunkCoder(code, pieces, pieces, _join, limit=250_000)
     return _coders[path]
 
 

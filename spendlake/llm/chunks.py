@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
 import regex
 
+Coder = Callable[[list[str]], list]
+
 # Beyond what Python calls white space: a cut beside them is not relied on.
 INVISIBLE = frozenset("᠎​⁠﻿")
 
@@ -34,105 +37,97 @@ def chunks(text: str) -> list[str]:
     return out
 
 
-UNSURE = 0  # number of a part beside which a cut is not sure
-
-
-class _Numbers(dict):
-    """Numbers of parts in order of appearance; ``new`` has the parts not yet coded."""
-
-    def __init__(self):
-        self.new: list[str] = []
-        self.count = 1
-
-    def __missing__(self, part: str) -> int:
-        if not part.isalnum() and (not part or _open(part[0]) or _open(part[-1])):
-            n = UNSURE
-        else:
-            n = self.count
-            self.count += 1
-            self.new.append(part)
-        self[part] = n
-        return n
+LATIN = re.compile("[\0-\u024f]*").fullmatch  # every library knows the letters up to here
+ENDS = frozenset(".,;:!?)")  # a mark that is a piece of its own between a word and a blank
 
 
 class ChunkCoder:
-    """Codes whole texts, each distinct chunk once; ``code`` codes many chunks at a time."""
+    """Codes whole texts, each distinct chunk once.
+
+    ``words`` codes many chunks at a time that are a space and Latin letters, which is one piece
+    under the public pattern, and so is a mark behind it; ``parts`` those that are a space and any
+    other part without one; ``code`` codes any chunks; ``join`` puts codes together.
+    """
 
-    def __init__(self, code: Callable[[list[str]], list], limit: int = 350_000):
-        self.code, self.limit = code, limit
+    def __init__(
+        self, words: Coder, parts: Coder, code: Coder, join: Callable[[list], object], limit: int
+    ):
+        self.words, self.parts, self.code, self.join, self.limit = words, parts, code, join, limit
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers, self.codes = _Numbers(), [None]  # of chunks made of a space and a part
-        self.whole: dict[str, object] = {}
+        self.known: dict[str, object] = {}  # codes of a space and a part
+        self.unsure: set[str] = set()  # parts beside which a cut is not sure
+        self.whole: dict[str, object] = {}  # codes of other chunks
+        self.marks = dict(zip(sorted(ENDS), self.code(sorted(ENDS)), strict=True))
 
     def texts(self, texts: list[str]) -> list[list]:
         """The codes of each text's chunks, in order."""
-        if len(self.numbers) + len(self.whole) > self.limit:
+        if len(self.known) + len(self.whole) > self.limit:
             self._forget()
-        number, whole = self.numbers.__getitem__, self.whole
-        got, new = [], set()
-        for text in texts:
-            parts = text.split(" ")
+        cut = [t.split(" ") for t in texts]
+        self._learn(set().union(*cut).difference(self.known, self.unsure))
+        known, out, new = self.known.__getitem__, [], set()
+        for text, parts in zip(texts, cut, strict=True):
             first = parts[0]
-            values = list(map(number, parts[1:]))
-            if UNSURE in values or values and (not first or _open(first[-1])):
-                first, values = None, chunks(text)
+            try:
+                values = [None, *map(known, parts[1:])]
+                if len(parts) > 1 and (not first or _open(first[-1])):
+                    raise KeyError(first)
+            except KeyError:
+                values = chunks(text)
                 new.update(values)
+                out.append((None, values))
             else:
                 new.add(first)
-            got.append((first, values))
-        learned = self.numbers.new
-        starts = [c for c in new if c not in whole]
-        found = self.code([" " + p for p in learned] + starts) if learned or starts else []
-        self.codes += found[: len(learned)]
-        whole.update(zip(starts, found[len(learned) :], strict=True))
-        self.numbers.new = []
-        code = self.codes.__getitem__
-        return [
-            list(map(whole.__getitem__, values)) if first is None else [whole[first], *map(code, values)]
-            for first, values in got
-        ]
-
-
-LATIN = "\u024f"  # every library knows the letters up to here
+                out.append((first, values))
+        whole = self.whole
+        new = [c for c in new if c not in whole]
+        whole.update(zip(new, self.code(new), strict=True))
+        for first, values in out:
+            if first is None:
+                values[:] = map(whole.__getitem__, values)
+            else:
+                values[0] = whole[first]
+        return [values for _, values in out]
+
+    def _learn(self, parts: set[str]) -> None:
+        known, words, ended, others = self.known, [], [], []
+        for p in parts:
+            if p.isalpha():
+                (words if p.isascii() or LATIN(p) else others).append(p)
+            elif not p.isalnum() and (not p or _open(p[0]) or _open(p[-1])):
+                self.unsure.add(p)
+            elif p[-1] in ENDS and p[:-1].isalpha() and (p.isascii() or LATIN(p)):
+                ended.append(p)
+            else:
+                others.append(p)
+        stems = {p[:-1] for p in ended}.difference(known, words)
+        words += stems
+        known.update(zip(words, self.words([" " + w for w in words]), strict=True))
+        known.update(zip(others, self.parts([" " + p for p in others]), strict=True))
+        join, marks = self.join, self.marks
+        for p in ended:
+            known[p] = join([known[p[:-1]], marks[p[-1]]])
 
 
 class PieceCoder:
-    """Codes chunks by their distinct pieces under the public pattern; ``code`` codes pieces.
-
-    Letters of an unusual script are left in one piece, which ``code`` has to take apart itself,
-    where ``trusted`` is false: another library may know other letters.
-    """
+    """Codes chunks by their distinct pieces under the public pattern; ``code`` codes pieces."""
 
-    def __init__(self, code: Callable[[list[str]], list], join, trusted: bool, limit: int = 800_000):
-        self.code, self.join, self.trusted, self.limit = code, join, trusted, limit
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
+    def __init__(self, code: Coder, join: Callable[[list], object], limit: int = 800_000):
+        self.code, self.join, self.limit = code, join, limit
+        self.findall = regex.compile(public_tokenizers.PATTERN).findall
         self.known: dict[str, object] = {}
 
     def __call__(self, chunks: list[str]) -> list:
-        known, findall = self.known, self.pattern.findall
+        known = self.known
         if len(known) > self.limit:
             known.clear()
-        cut, new = [], {}
-        for c in chunks:
-            plain = c.isascii() or max(c) <= LATIN
-            if plain and c[1:].isalpha() and (c[0] == " " or c.isalpha()):
-                cut.append(c)  # a word is one piece
-                if c not in known:
-                    new[c] = None
-                continue
-            pieces = findall(c) if plain or self.trusted else [c]
-            cut.append(pieces)
-            for p in pieces:
-                if p not in known:
-                    new[p] = None
-        new = list(new)
+        cut = list(map(self.findall, chunks))
+        new = list(set().union(*cut).difference(known))
         if new:
             known.update(zip(new, self.code(new), strict=True))
-        return [
-            known[p] if p.__class__ is str else self.join([known[x] for x in p]) for p in cut
-        ]
+        return [known[p[0]] if len(p) == 1 else self.join([known[x] for x in p]) for p in cut]
 
 
 def batches_of(texts: list[str], size: int = 4_000_000):

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.chunks import ChunkCoder, PieceCoder, batches_of
+from spendlake.llm.chunks import ChunkCoder, batches_of
 from spendlake.llm.common import query, scratch, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -37,6 +37,9 @@ FORMAT = {
 _coders: dict[str, ChunkCoder] = {}
 
 
+AT_ONCE = 2_000  # parts that are given to the library as one text
+
+
 def _coder(path: str) -> ChunkCoder:
     """One for each Python worker, with what earlier tasks have taught it."""
     if path not in _coders:
@@ -49,7 +52,25 @@ def _coder(path: str) -> ChunkCoder:
             found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
             return [array("I", e.ids).tobytes() for e in found]
 
-        coder = ChunkCoder(PieceCoder(code, b"".join, trusted=False))
+        # What has its only space in front begins where a token has the space.
+        begins = np.zeros(max(tokenizer.get_vocab(True).values()) + 1, bool)
+        begins[[i for t, i in tokenizer.get_vocab(False).items() if t.startswith("\u0120")]] = True
+
+        def spaced(pieces: list[str]) -> list[bytes]:
+            out: list[bytes] = []
+            blocks = [pieces[i : i + AT_ONCE] for i in range(0, len(pieces), AT_ONCE)]
+            texts = ["".join(b) for b in blocks]
+            for block, e in zip(blocks, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.uint32)
+                at = np.flatnonzero(begins[ids])
+                if len(at) != len(block):  # a tokenizer that cuts otherwise
+                    out += code(block)
+                    continue
+                raw, ends = ids.tobytes(), (4 * at).tolist() + [4 * len(ids)]
+                out += [raw[i:j] for i, j in zip(ends, ends[1:], strict=False)]
+            return out
+
+        coder = ChunkCoder(spaced, spaced, code, b"".join, limit=350_000)
         coder.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         coder.direct = code
         _coders[path] = coder
