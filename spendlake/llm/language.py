@@ -18,8 +18,12 @@ GRAMS = 64**3  # letter classes in a row of three: bounds the text model
 STRENGTH = 4.0  # pages that a wider level of the host hierarchy counts for
 OVERLAP = 3.0  # each letter is in three trigrams; their evidence is not independent
 
-_HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?\s*([a-z]{2,3})\b""")
+_OPENS = re.compile(r"(?i)<(?:(script|style)\b|!--)")
+_CLOSES = {
+    "script": re.compile(r"(?i)</script\s*+>"), "style": re.compile(r"(?i)</style\s*+>"), "": re.compile("-->"),
+}
+_HTML = re.compile(r"(?i)<html\b")
+_LANG = re.compile(r"""(?i)\blang\s*+=\s*+["']?\s*+([a-z]{2,3})\b""")
 _CODE = re.compile(r"/([a-z]{2})(?:/|$)")
 
 
@@ -86,10 +90,48 @@ def text_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return languages, counts.astype(np.float32)
 
 
+def visible_text(html: str) -> str:
+    """The text without scripts, styles, comments and tags, a blank for each.
+
+    One pass, whatever is left open: an end that is not found once is not sought again. What has no
+    end hides nothing but its own tag, and a tag that has none is text.
+    """
+    out, i, endless = [], 0, set()
+    while (j := html.find("<", i)) >= 0:
+        out.append(html[i:j])
+        end = None
+        if opened := _OPENS.match(html, j):
+            kind = (opened[1] or "").lower()
+            if kind not in endless:
+                closed = _CLOSES[kind].search(html, opened.end())
+                end = closed and closed.end()
+                if closed is None:
+                    endless.add(kind)
+        if end is None and ">" not in endless:
+            end = html.find(">", j) + 1 or None
+            if end is None:
+                endless.add(">")
+        out.append("<" if end is None else " ")
+        i = end or j + 1
+    out.append(html[i:])
+    return "".join(out)
+
+
+def declared_language(html: str) -> str | None:
+    """``lang`` of the first html tag that has one."""
+    for opened in _HTML.finditer(html):
+        end = html.find(">", opened.end())
+        end = len(html) if end < 0 else end
+        if found := _LANG.search(html, opened.end(), end):
+            return found[1].lower()
+        if end == len(html):
+            return None  # the tag is not closed: later ones lie within it
+    return None
+
+
 def page_parts(url: str | None, html: str | None) -> tuple[str, str | None, str | None, str | None, str | None]:
     """Visible text, declared language, host, address suffix, language code in the path."""
     html = html or ""
-    declared = _DECLARED.search(html)
     try:
         address = urlsplit(url or "")
         host = address.hostname
@@ -98,8 +140,8 @@ def page_parts(url: str | None, html: str | None) -> tuple[str, str | None, str
     suffix = host.rpartition(".")[2] if host else None
     code = _CODE.match(address.path.lower()) if address else None
     return (
-        unescape(_HIDDEN.sub(" ", html)),
-        declared and declared[1].lower(),
+        unescape(visible_text(html)),
+        declared_language(html),
         host,
         suffix,
         code and code[1],
