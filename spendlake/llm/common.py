@@ -70,12 +70,29 @@ def dropped(rows: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+HUBS = 1_000  # a hub has more than this part of all links, so there are at most twice as many
+
+
+def _with_lowest(links: DataFrame, lowest: DataFrame, edges: int) -> DataFrame:
+    """``links`` (u, ...) next to m of their u in ``lowest`` (u, m, n: how many links u has).
+
+    Links of hubs, which would all go to one task, find their m in a broadcast table; the number of
+    hubs is bounded by what makes one. The other links are joined.
+    """
+    most = edges // HUBS
+    hubs = lowest.where(F.col("n") > most).select("u", F.col("m").alias("of_hub"))
+    marked = links.join(F.broadcast(hubs), "u", "left")
+    of_hubs = marked.where("of_hub IS NOT NULL").withColumnRenamed("of_hub", "m")
+    others = marked.where("of_hub IS NULL").drop("of_hub")
+    return of_hubs.unionByName(others.join(lowest.where(F.col("n") <= most).select("u", "m"), "u"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id of every id that occurs in ``edges`` (a, b: long).
 
-    Large-star and small-star steps in turn, each an aggregate and a join, so an id with very many
-    neighbours is split like any skewed join. The rounds grow with the logarithm of the longest
-    path. Returns id, component_id; ids without an edge to another one are not in it.
+    Large-star and small-star steps in turn, each an aggregate and a join; see ``_with_lowest`` for
+    an id with very many neighbours. The rounds grow with the logarithm of the longest path. Returns
+    id, component_id; ids without an edge to another one are not in it.
     """
     here = stored(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -83,21 +100,22 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    state = None
+    state, size = None, here.count()
     while True:
         both = here.unionByName(here.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n"))
         # Larger neighbours of u move to the smallest of u and its neighbours.
-        large = (
-            here.select(F.col("v").alias("u"), F.col("u").alias("w"))
-            .join(least, "u")
+        larger = here.select(F.col("v").alias("u"), F.col("u").alias("w"))
+        large = stored(
+            _with_lowest(larger, least, size)
             .select(F.col("w").alias("u"), F.least("m", "u").alias("v"))
             .where("u <> v")
-            .distinct()
+            .distinct(),
+            "edges",
         )
         # Smaller neighbours of u, and u, move to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n"))
-        rest = large.join(low.where("n > 1"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        rest = _with_lowest(large, low, size).select(F.col("v").alias("u"), F.col("m").alias("v"))
         then = stored(
             low.select("u", F.col("m").alias("v")).unionByName(rest).where("u <> v").distinct(),
             "edges",
@@ -107,7 +125,8 @@ def components(edges: DataFrame) -> DataFrame:
             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
         ).first()
         dropped(here)
-        here = then
+        dropped(large)
+        here, size = then, found["n"]
         if (found["n"], found["h"]) == state:
             break
         state = (found["n"], found["h"])
