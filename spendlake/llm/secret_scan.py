@@ -8,10 +8,11 @@ from math import log
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import query, stored, table, words
+from spendlake.llm.common import BLANK, NO_BLANK, query, stored, table, words
 
 LEAST_LENGTH = 12
-VALUE = "[A-Za-z0-9_+/@.~-]{11,}[A-Za-z0-9_+/~-]"
+VALUE = "[A-Za-z0-9_+/@.~-]{12,}+"  # a whole run, passed once; dots and @ at its end are cut off
+RUN_END = "(?<![@.])[@.]++$"
 MASK = "<SECRET>"
 
 # Names of credentials, and formats that only one kind of value has.
@@ -20,11 +21,10 @@ CREDENTIAL_NAMES = (
 )
 CREDENTIAL_FORMATS = "^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,})$"
 FORMATS_WITHIN = f"(?<![A-Za-z0-9]){CREDENTIAL_FORMATS[1:-1]}(?![A-Za-z0-9])"
-# A name, = or :, and in group 2 what follows in the last word: up to the closing quote, or without
-# the punctuation that ends a clause.
-NAMED_TEXT = CREDENTIAL_NAMES + r"[^\s=:]*\s*[=:]"
+# A name, at most 100 characters of the rest of its word, = or :, and in group 2 what follows in the
+# last word: up to the closing quote, or without the punctuation that ends a clause.
 NAMED_VALUE = (
-    CREDENTIAL_NAMES + r"""[^\s=:]*\s?[=:]+>?\s?[(\[{]*["'`]?"""
+    CREDENTIAL_NAMES + r"""[^\s=:]{0,100}+\s?[=:]++>?\s?[(\[{]*+["'`]?"""
     r"""((?<=")[^"\s]+|(?<=')[^'\s]+|(?<=`)[^`\s]+|(?<!["'`])[^\s"'`]*[^\s"'`.,;:)\]}])(?=\S*$)"""
 )
 HARMLESS_FORMATS = (
@@ -52,7 +52,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         "doc_id",
         "text",
         F.col("text").rlike(FORMATS_WITHIN).alias("formatted"),
-        (F.col("text").rlike("[=:]") & F.col("text").rlike(NAMED_TEXT)).alias("assigning"),
+        (F.col("text").rlike("[=:]") & F.col("text").rlike(CREDENTIAL_NAMES)).alias("assigning"),
     )
     held = held.where(F.col("text").rlike("[0-9]") | F.col("formatted") | F.col("assigning"))
     w = F.col("words")
@@ -73,7 +73,13 @@ def candidates(docs: DataFrame) -> DataFrame:
         beside(-1).alias("before"),
         beside(-2).alias("before2"),
         beside(1).alias("after"),
-        F.filter(F.regexp_extract_all("word", F.lit(VALUE), F.lit(0)), lambda v: v.rlike("[0-9]")).alias("long"),
+        F.filter(
+            F.transform(
+                F.regexp_extract_all("word", F.lit(VALUE), F.lit(0)),
+                lambda v: F.regexp_replace(v, RUN_END, ""),
+            ),
+            lambda v: (F.length(v) >= LEAST_LENGTH) & v.rlike("[0-9]"),
+        ).alias("long"),
         F.when(F.col("formatted"), F.regexp_extract_all("word", F.lit(FORMATS_WITHIN), F.lit(0)))
         .otherwise(none)
         .alias("exact"),
@@ -125,11 +131,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _pairs(text):
-    """Neighbouring characters; digits are one character."""
-    s = F.regexp_replace(F.lower(text), "[0-9]", "0")
-    return F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1))), lambda i: F.substring(s, i, F.lit(2))
-    )
+    """Neighbouring characters; digits are one character. A single character is its own pair."""
+    s = F.split(F.regexp_replace(F.lower(text), "[0-9]", "0"), "")
+    after = F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0)))
+    return F.when(F.size(s) > 1, F.zip_with(F.slice(s, 1, F.size(s) - 1), after, lambda a, b: F.concat(a, b))).otherwise(s)
 
 
 def described(found: DataFrame, counts: DataFrame) -> DataFrame:
@@ -143,18 +148,20 @@ def described(found: DataFrame, counts: DataFrame) -> DataFrame:
     total = pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # one number
     rates = pairs.select("pair", F.log((F.col("n") + 1) / F.lit(float(total + 729))).alias("rate"))
     unseen = F.lit(-log(total + 729))
-    values = found.select("value").distinct()
+    # Parts of a value go by its hash: a long value would else be repeated beside each of them.
+    found = found.withColumn("key", F.unhex(F.sha2("value", 256)))
+    values = found.select("value", "key").distinct()
     shape = (
-        values.select("value", F.explode(_pairs(F.col("value"))).alias("pair"))
+        values.select("key", F.explode(_pairs(F.col("value"))).alias("pair"))
         .join(F.broadcast(rates), "pair", "left")  # pairs of a-z: at most 676 rows
-        .groupBy("value")
+        .groupBy("key")
         .agg(F.avg(F.coalesce("rate", unseen)).alias("transitions"))
     )
-    runs = F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), F.lit(0))
+    runs = F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}+"), F.lit(0))
     covered = (
-        values.select("value", F.explode(runs).alias("word"))
+        values.select("key", F.explode(runs).alias("word"))
         .join(common.select("word"), "word")
-        .groupBy("value")
+        .groupBy("key")
         .agg(F.sum(F.length("word")).alias("covered"))
     )
     kinds = F.col("value")
@@ -164,10 +171,10 @@ def described(found: DataFrame, counts: DataFrame) -> DataFrame:
     name = F.concat_ws(" ", "before2", "before", "prefix")
     plain = lambda c: F.col(c).rlike("^[\\p{L}]+[.,;:!?]*$").cast("double")
     return (
-        found.join(shape, "value", "left")
-        .join(covered, "value", "left")
+        found.join(shape, "key", "left")
+        .join(covered, "key", "left")
         .select(
-            *found.columns,
+            *(c for c in found.columns if c != "key"),
             size.alias("length"),
             (F.length(kinds) / size).alias("runs"),
             F.coalesce("transitions", unseen).alias("transitions"),
@@ -243,8 +250,8 @@ def learn_forest(labelled: DataFrame, weights: tuple[float, float] = (1.0, 1.0))
     the features. A level is one aggregate over the (bounded) labelled values: weights by tree, node,
     feature and bin of the feature; only that histogram reaches the driver. Same rows, same forest.
     """
-    cuts = labelled.agg(
-        *[F.percentile_approx(f, [i / BINS for i in range(1, BINS)], 10_000).alias(f) for f in FEATURES],
+    cuts = labelled.agg(  # exact, as the order in which partitions arrive must not matter
+        *[F.percentile(f, [i / BINS for i in range(1, BINS)]).alias(f) for f in FEATURES],
         F.count("label").alias("n"),
         F.sum("label").alias("p"),
     ).first()
@@ -374,38 +381,70 @@ def secret_findings(docs: DataFrame, labels: DataFrame | None = None, max_labell
     )
 
 
-def masked_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """All documents, with MASK in place of each secret found in them, and n_chars to match.
+def _masked_word(word, values):
+    """A word with MASK in place of the values found in it, longer ones first.
 
-    A secret under LEAST_LENGTH is replaced where no letter or digit adjoins it.
+    A value under LEAST_LENGTH is replaced where no letter or digit adjoins it.
     """
-    found = (
-        secret_findings(docs, labels)
-        .where("is_secret")
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.collect_set("value").alias("__values"))
-    )
     longest = F.array_sort(
-        "__values", lambda a, b: F.coalesce(F.nullif(F.length(b) - F.length(a), F.lit(0)), F.when(a < b, -1).otherwise(1))
+        values, lambda a, b: F.coalesce(F.nullif(F.length(b) - F.length(a), F.lit(0)), F.when(a < b, -1).otherwise(1))
     )
     quoted = lambda v: F.concat(F.lit("\\Q"), F.replace(v, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
     alone = lambda v: F.concat(
         F.lit(f"(?<![\\p{{L}}\\p{{N}}])(?!(?<=<){MASK[1:]})"), quoted(v), F.lit("(?![\\p{L}\\p{N}])")
     )
-    text = F.when(F.col("__values").isNull(), F.col("text")).otherwise(
-        F.aggregate(
-            longest,
-            F.col("text"),
-            lambda t, v: F.when(F.length(v) >= LEAST_LENGTH, F.replace(t, v, F.lit(MASK))).otherwise(
-                F.regexp_replace(t, alone(v), F.lit(MASK))
+    return F.aggregate(
+        longest,
+        word,
+        lambda t, v: F.when(F.length(v) >= LEAST_LENGTH, F.replace(t, v, F.lit(MASK))).otherwise(
+            F.regexp_replace(t, alone(v), F.lit(MASK))
+        ),
+    )
+
+
+def masked_documents(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """All documents, with MASK in place of each secret in the word it was found in, and n_chars to match.
+
+    The same characters elsewhere in the text stay. Rows that share an id get the masks of all of
+    them, each where its own words have the value.
+    """
+    found = (
+        secret_findings(docs, labels)
+        .where("is_secret")
+        .groupBy("doc_id", "place")
+        .agg(F.collect_set("value").alias("values"))
+        .groupBy(F.col("doc_id").alias("found_id"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("place", "values"))).alias("found"))
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row")).join(found, F.expr("row.doc_id <=> found_id"), "left")
+    # Each word with the blanks behind it; what is before the first word is no word.
+    text = F.col("row.text")
+    lead = F.regexp_extract(text, f"^{BLANK}*+", 0)
+    begun = F.split(F.substring(text, F.length(lead) + 1, F.length(text)), f"(?<={BLANK})(?={NO_BLANK})")
+    masked = F.concat(
+        lead,
+        F.array_join(
+            F.transform(
+                begun,
+                lambda w, i: F.when(
+                    F.map_contains_key("found", i), _masked_word(w, F.try_element_at("found", i))
+                ).otherwise(w),
             ),
-        )
+            "",
+        ),
     )
-    out = docs.join(found, F.expr("doc_id <=> __id"), "left").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("__values").isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out.select([F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(F.col("found").isNull(), text).otherwise(masked)
+    rows = rows.select("row", text.alias("text"), F.col("found").isNotNull().alias("changed"))
+    columns = []
+    for f in docs.schema.fields:
+        column = F.col(f"row.`{f.name}`")
+        if f.name == "text":
+            column = F.col("text")
+        elif f.name == "n_chars":
+            column = F.when(F.col("changed"), F.length("text")).otherwise(column).cast(f.dataType)
+        columns.append(column.alias(f.name))
+    return rows.select(*columns)
 
 
 @query()
