@@ -109,13 +109,15 @@ def untagged_resources(
 
     ``regions`` are pairs or a table ``(region, label)``, ``aliases`` is a table
     ``(account_id, alias)``; a key that is there twice has its first value in order, so no resource
-    is repeated. Excluded accounts and patterns may be tables of one column as well. An account without alias shows its own id. Tables are not forced
-    to broadcast: the planner does so while they are small, and otherwise splits a hot account
-    at run time.
+    is repeated. Excluded accounts and patterns may be tables of one column as well. An account
+    without alias shows its own id. Tables are not forced to broadcast: the planner does so while
+    they are small, and otherwise splits a hot account at run time.
     """
-    if not isinstance(regions, DataFrame):
-        regions = literal_table(resources.sparkSession, ("region", "label"), regions)
-    regions = unique_keys(regions, "region", "label")
+    if isinstance(regions, DataFrame):
+        regions = unique_keys(regions, "region", "label")
+    else:
+        first = dict(sorted(regions, reverse=True))  # the first label in order is the last one set
+        regions = literal_table(resources.sparkSession, ("region", "label"), sorted(first.items()))
     aliases = unique_keys(aliases, "account_id", "alias")
     arn, owner = F.col("Arn"), F.col("OwningAccountId")
     if isinstance(excluded_account, DataFrame):

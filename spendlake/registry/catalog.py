@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,3 +23,17 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
         return build
 
     return register
+
+
+def fixture(build: Callable[[SparkSession, str], str]) -> Callable[[SparkSession, str], str]:
+    """Files made of the tables, written once in a session: a query that reads them only reads."""
+    built: dict[tuple[str, str], str] = {}
+
+    @wraps(build)
+    def once(spark: SparkSession, sf_dir: str) -> str:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in built:
+            built[key] = build(spark, sf_dir)
+        return built[key]
+
+    return once

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlake.operators import lines as L
-from spendlake.registry.catalog import query
+from spendlake.registry.catalog import fixture, query
 from spendlake.registry.views import CUR_SQL, PERIOD, as_double, cur
 from spendlake.sinks.tables import append_periods, replace_period, write_typed
 from spendlake.sources.files import file_store, open_output, scratch
@@ -33,6 +31,7 @@ def _count_and_cost(rows: DataFrame, *keys: str) -> DataFrame:
     return as_double(grouped, "cost")
 
 
+@fixture
 def _stored_cur(spark: SparkSession, sf_dir: str) -> str:
     """The line items as a table partitioned by billing month."""
     target = scratch(spark, "cur")
@@ -147,7 +146,8 @@ SELECT billing_period, count(*) AS n, cast(sum({COST}) AS double) AS cost
 FROM cur GROUP BY billing_period""")
 def catalog_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An external table declared over the files, read by name."""
-    name = f"cur_{uuid4().hex}"
+    name = "spendlake_declared_cur"  # one at a time: the rows are read by name when they are needed
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     location = _stored_cur(spark, sf_dir)
     create_table(spark, name, location, cur(spark, sf_dir).schema, ("billing_period",))
     return _count_and_cost(read_table(spark, name), "billing_period")
@@ -170,6 +170,7 @@ def scan_excludes_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 KEYS = ("source_account_id", "report_name", "billing_period")
 
 
+@fixture
 def _stored_by_position(spark: SparkSession, sf_dir: str) -> str:
     """The line items in directories that are named by the keys' values alone."""
     payer = F.col("bill_payer_account_id")

@@ -12,7 +12,7 @@ from spendlake.operators.lines import START, TYPE
 from spendlake.operators.typed import to_typed
 from spendlake.plans import billing, convert
 from spendlake.plans import savings as savings_plan
-from spendlake.registry.catalog import ORACLES, query
+from spendlake.registry.catalog import ORACLES, fixture, query
 from spendlake.registry.savings import (
     RI_ARN,
     RI_OUT,
@@ -70,6 +70,7 @@ def _respelled(rows: DataFrame, style: int) -> DataFrame:
     return rows.select(*renamed)
 
 
+@fixture
 def _write_two_layouts(spark: SparkSession, sf_dir: str) -> str:
     """The line items as two deliveries whose headers share neither names nor order."""
     root = scratch(spark, "exports")
@@ -80,6 +81,22 @@ def _write_two_layouts(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+@fixture
+def _write_all_columns(spark: SparkSession, sf_dir: str) -> str:
+    target = scratch(spark, "csv")
+    _write_csv(cur(spark, sf_dir), target)
+    return target
+
+
+@fixture
+def _write_by_payer(spark: SparkSession, sf_dir: str) -> str:
+    """A directory of exports for each paying account."""
+    bucket = scratch(spark, "bucket")
+    payer = F.col("bill_payer_account_id").alias("account")
+    _write_csv(cur(spark, sf_dir).select(TYPE, COST, payer), bucket, "account")
+    return bucket
+
+
 @query(f"""WITH {CUR_SQL}
 SELECT line_item_usage_account_id, line_item_usage_type,
   coalesce(line_item_line_item_type, '') AS line_item_line_item_type,
@@ -91,9 +108,8 @@ GROUP BY line_item_usage_account_id, line_item_usage_type,
   coalesce(line_item_line_item_type, '')""")
 def csv_typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All line items to gzipped CSV, back as text, typed, to Parquet, and back again."""
-    source, target = scratch(spark, "csv"), scratch(spark, "typed")
-    _write_csv(cur(spark, sf_dir), source)
-    convert.run(spark, source, target, rebalance=True)
+    target = scratch(spark, "typed")
+    convert.run(spark, _write_all_columns(spark, sf_dir), target, rebalance=True)
     grouped = (
         spark.read.parquet(target)
         .groupBy("line_item_usage_account_id", "line_item_usage_type", TYPE)
@@ -232,11 +248,9 @@ SELECT bill_payer_account_id AS source_account_id, line_item_line_item_type, cou
 FROM cur GROUP BY bill_payer_account_id, line_item_line_item_type""")
 def account_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One export directory per paying account, found through the registry."""
-    bucket = scratch(spark, "bucket")
+    bucket = _write_by_payer(spark, sf_dir)
     payer = F.col("bill_payer_account_id")
     folder = F.concat(F.lit("account="), payer)
-    rows = cur(spark, sf_dir).select(TYPE, COST, payer.alias("account"))
-    _write_csv(rows, bucket, "account")
     registry = (
         cur(spark, sf_dir)
         .select("bill_payer_account_id")

@@ -96,6 +96,28 @@ def _entries(fs, root: str, recursive: bool) -> list[tuple]:
     return sorted(rows) or [("", root, None, None, None)]
 
 
+def first_files(folders: DataFrame, suffix: str, column: str = "path") -> DataFrame:
+    """``path`` of one file with the suffix below each folder that has one; stops there in each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for root in batch.column(0).to_pylist():
+                left = [root]
+                while left:
+                    entries = [e for e in _entries(fs, left.pop(), False) if e[0]]
+                    here = next((path for name, path, is_folder, *_ in entries if not is_folder and name.endswith(suffix)), None)
+                    if here is not None:
+                        found.append(here)
+                        break
+                    left += [path for _, path, is_folder, *_ in entries if is_folder]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["path"])
+
+    return folders.select(f"`{column}`").mapInArrow(run, "path string")
+
+
 def found_files(entries: DataFrame, glob: str) -> DataFrame:
     """Entries of a recursive listing that are files of that name, none of them hidden."""
     name = F.element_at(F.split("entry.name", "/"), -1)

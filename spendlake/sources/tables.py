@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlake.sources.listing import first_files, list_folders, shown, spread
 from spendlake.sources.positional import declare_partitions, partition_folders, read_positional
 from spendlake.sources.schema import PARTITION_ALIASES, PARTITION_KEYS, cur_schema
 
@@ -30,8 +31,8 @@ def read_table(
     """Line items of a catalogue table (a name) or of Parquet files (a path).
 
     Only Parquet files are read, whatever else lies between them. Parquet files that lie beside
-    partition directories, in none of them, are an error: they would not be read. ``predicate`` on partition
-    keys prunes directories. ``renamed`` gives columns their usual names, for instance
+    partition directories, in none of them, are an error: they would not be read. ``predicate`` on
+    partition keys prunes directories. ``renamed`` gives columns their usual names, for instance
     ``CRAWLED_KEYS`` when a crawler named the partition keys.
 
     ``positional`` names keys, for instance ``PARTITION_KEYS``, whose values are the directories
@@ -64,25 +65,19 @@ def without_excluded(rows: DataFrame, excluded_parts: Sequence[str]) -> DataFram
 
 
 def _beside_partitions(spark: SparkSession, root: str, excluded: Sequence[str]) -> list[str]:
-    """What lies directly under ``root``, is no partition directory and holds Parquet files."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    for status in store.listStatus(path):
-        name, here = status.getPath().getName(), status.getPath().toString()
-        known = name.startswith(("_", ".")) or (status.isDirectory() and "=" in name)
-        if known or any(part in f"{here}/" for part in excluded):
-            continue
-        if status.isFile():
-            if name.endswith(".parquet"):
-                found.append(here)
-            continue
-        files = store.listFiles(status.getPath(), True)
-        while files.hasNext():
-            if files.next().getPath().getName().endswith(".parquet"):
-                found.append(here)
-                break
-    return found
+    """Parquet files directly under ``root`` or in what lies there and is no partition directory."""
+    top = list_folders(spark.createDataFrame([(root.rstrip("/"),)], "path string"))
+    path, name, is_folder = (F.col(f"entry.{c}") for c in ("path", "name", "is_folder"))
+    there = shown(top).where(~(is_folder & name.contains("=")))
+    for part in excluded:
+        there = there.where(~F.contains(F.concat(path, F.lit("/")), F.lit(part)))
+    entries = there.select("entry.path", "entry.is_folder").collect()  # what lies at the top
+    files = [r["path"] for r in entries if not r["is_folder"] and r["path"].endswith(".parquet")]
+    folders = [(r["path"],) for r in entries if r["is_folder"]]
+    if folders and not files:
+        found = first_files(spread(spark.createDataFrame(folders, "path string")), ".parquet")
+        files = [r["path"] for r in found.limit(5).collect()]
+    return files
 
 
 def _read_files(
