@@ -9,10 +9,12 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.chunks import ChunkCoder, PieceCoder, batches_of
+from spendlake.llm.chunks import Lists, TextCoder, grouped, ordered, slices_of
 from spendlake.llm.common import query, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -100,21 +102,22 @@ class SqlBpe:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM arrived")
         self.db.unregister("arrived")
 
-    def code(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
-        """(ids as 32-bit numbers, decoded bytes) of each piece."""
-        out: list[tuple[bytes, bytes] | None] = [None] * len(pieces)
+    def code(self, pieces: list[str]) -> list[Lists]:
+        """The ids of each piece, and the bytes that they decode to."""
         raw = [p.encode() for p in pieces]
-        short = [i for i, p in enumerate(raw) if len(p) <= SHORT]
-        long = [i for i, p in enumerate(raw) if len(p) > SHORT]
-        for sql, group in ((ENCODE, short), (ENCODE_LONG, long)):
+        size = np.array([len(p) for p in raw], np.int64)
+        out = [[(np.empty(0, kind), np.empty(0, np.int64))] for kind in (np.uint32, np.uint8)]
+        order = []
+        for sql, group in ((ENCODE, np.flatnonzero(size <= SHORT)), (ENCODE_LONG, np.flatnonzero(size > SHORT))):
             for low in range(0, len(group), PIECES):
                 at = group[low : low + PIECES]
-                for i, both in zip(at, self._merged(sql, [raw[i] for i in at]), strict=True):
-                    out[i] = both
-        return out
+                for lists, found in zip(out, self._merged(sql, [raw[i] for i in at.tolist()]), strict=True):
+                    lists.append(found)
+                order.append(at)
+        place = np.argsort(np.concatenate([np.empty(0, np.int64), *order]))
+        return [ordered(tuple(np.concatenate(x) for x in zip(*lists, strict=True)), place) for lists in out]
 
-    def _merged(self, sql: str, part: list[bytes]) -> list[tuple[bytes, bytes] | None]:
-        out: list[tuple[bytes, bytes] | None] = [None] * len(part)
+    def _merged(self, sql: str, part: list[bytes]) -> list[Lists]:
         sizes = np.array([len(p) for p in part])
         w = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
         pos = np.arange(len(w), dtype=np.int64)
@@ -124,45 +127,63 @@ class SqlBpe:
         first = np.cumsum(sizes) - sizes
         keep = ~entire[w] | (pos == first[w])
         self._put("begin", w=w[keep], pos=pos[keep], id=np.where(entire[w], whole[w], ids)[keep])
-        found = self.db.execute(sql).to_arrow_table()
-        at = found.column("w").to_pylist()
+        found = self.db.sql(sql).to_arrow_table().combine_chunks()
+        place = np.argsort(found.column("w").to_numpy())
         lists = found.column("ids").combine_chunks()
-        flat = lists.values.to_numpy().astype("<u4").tobytes()
-        ends = lists.offsets.to_pylist()
-        for i, a, b, h in zip(at, ends, ends[1:], found.column("decoded").to_pylist(), strict=False):
-            out[i] = (flat[4 * a : 4 * b], bytes.fromhex(h))
-        return out
+        texts = found.column("decoded")
+        decoded = np.frombuffer(bytes.fromhex("".join(texts.to_pylist())), np.uint8)
+        return [
+            ordered((lists.flatten().to_numpy().astype(np.uint32), np.diff(lists.offsets.to_numpy()).astype(np.int64)), place),
+            ordered((decoded, pc.binary_length(texts).to_numpy().astype(np.int64) // 2), place),
+        ]
+
+
+class SqlCoder(TextCoder):
+    """Ids and decoded bytes by the recursion, each different piece of the public pattern once."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.code = SqlBpe(path).code
+        self.findall = regex.compile(public_tokenizers.PATTERN).findall
+
+    def each(self, texts: list[str]) -> list[Lists]:
+        cut = list(map(self.findall, texts))
+        number = {p: i for i, p in enumerate(dict.fromkeys(p for x in cut for p in x))}
+        at = np.array([number[p] for x in cut for p in x], np.int64)
+        groups = np.array([len(x) for x in cut], np.int64)
+        return [grouped(ordered(lists, at), groups) for lists in self.code(list(number))]
 
+    def spaced(self, parts: pa.Array, words: bool) -> list[Lists]:
+        texts = [" " + p for p in parts.to_pylist()]
+        return self.code(texts) if words else self.each(texts)  # a word is one piece
 
-_coders: dict[str, ChunkCoder] = {}
 
+BATCH = 6_000_000  # characters of texts whose parts are looked up together
 
-def _join(values: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
-    return b"".join([v[0] for v in values]), b"".join([v[1] for v in values])
+_coders: dict[str, SqlCoder] = {}
 
 
-def _coder(path: str) -> ChunkCoder:
+def _coder(path: str) -> SqlCoder:
     if path not in _coders:
-        code = SqlBpe(path).code
-        pieces = PieceCoder(code, _join, limit=400_000)
-        _coders[path] = ChunkCoder(code, pieces, pieces, _join, limit=250_000)
+        _coders[path] = SqlCoder(path)
     return _coders[path]
 
 
+def _binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Lists of numbers as their bytes."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]) * values.itemsize
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
+
+
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for i, j in batches_of(texts):
-                both = [_join(v) for v in coder.texts(texts[i:j])]
+            for i, j in slices_of(batch.column(0), BATCH):
+                rows = batch.slice(i, j - i)
+                (ids, n), (decoded, size) = _coder(path).texts(rows.column(0))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *(c.slice(i, j - i) for c in batch.columns[1:]),
-                        pa.array([len(b[0]) // 4 for b in both], pa.int64()),
-                        pa.array([b[0] for b in both], pa.binary()),
-                        pa.array([b[1] for b in both], pa.binary()),
-                    ],
+                    [*rows.columns[1:], pa.array(n), _binary(ids.astype("<u4"), n), _binary(decoded, size)],
                     [*batch.schema.names[1:], "n_tokens", "token_ids", "decoded"],
                 )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.chunks import chunks
+from spendlake.llm.chunks import Lists, TextCoder, slices_of
 from spendlake.llm.common import query, scratch, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -37,40 +37,12 @@ FORMAT = {
 AT_ONCE = 2_000  # parts that are given to the library as one text
 BATCH = 16_000_000  # characters of texts whose parts are looked up together
 
-# Parts of a text between single spaces. A cut before such a space is sure if neither side has white
-# space there; then what is made of the parts, put together, is what is made of the text.
-_WHITE = "\\x{9}-\\x{D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{180E}\\x{2000}-\\x{200B}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{2060}\\x{3000}\\x{FEFF}"
-_UNSURE = f"^$|^[{_WHITE}]|[{_WHITE}]$"
-_END_UNSURE = f"^$|[{_WHITE}]$"
-_LATIN = "^[\\x{0}-\\x{24F}]*$"  # every library knows the letters up to here
-_MARKED = "[.,;:!?)]$"  # a mark that is a piece of its own between a word and a blank
 
-
-class _Pool:
-    """Lists of ids, one behind the other; a list is known by where it begins and how long it is."""
-
-    def __init__(self):
-        self.parts: list[np.ndarray] = []
-        self.size = 0
-
-    def put(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Adds lists; returns their begins."""
-        begins = self.size + np.cumsum(lengths) - lengths
-        self.parts.append(ids)
-        self.size += len(ids)
-        return begins
-
-    def taken(self, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """The ids of lists, one list after the other."""
-        pool = np.concatenate(self.parts) if self.parts else np.empty(0, np.uint32)
-        ends = np.cumsum(lengths)
-        return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - lengths), lengths)]
-
-
-class TextCoder:
-    """Ids of whole texts, each different part of a batch of texts given to the library once."""
+class LibraryCoder(TextCoder):
+    """Ids by the tokenizers library."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -80,120 +52,39 @@ class TextCoder:
         self.begins = np.zeros(max(self.tokenizer.get_vocab(True).values()) + 1, bool)
         self.begins[[i for t, i in self.tokenizer.get_vocab(False).items() if t.startswith("\u0120")]] = True
 
-    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts, one after the other, and their numbers."""
+    def each(self, texts: list[str]) -> list[Lists]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ids = [np.array(e.ids, np.uint32) for e in found]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        return np.concatenate(ids) if ids else np.empty(0, np.uint32), lengths
+        return [(np.concatenate([np.empty(0, np.uint32), *ids]), np.array([len(x) for x in ids], np.int64))]
 
-    def spaced(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The same of sure parts with a space before each; many of them are one call's text."""
+    def spaced(self, parts: pa.Array, words: bool) -> list[Lists]:
+        """Many parts are one text for the library, which cuts it before each space."""
         n = len(parts)
         cuts = pa.array([*range(0, n, AT_ONCE), n], pa.int32())
         blocks = [" " + x for x in pc.binary_join(pa.ListArray.from_arrays(cuts, parts), " ").to_pylist()]
-        ids, lengths = [], []
-        found = self.tokenizer.encode_batch_fast(blocks, add_special_tokens=False)
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        found = self.tokenizer.encode_batch_fast(blocks if n else [], add_special_tokens=False)
         for i, e in enumerate(found):
-            size = min(AT_ONCE, n - i * AT_ONCE)
+            part = parts.slice(i * AT_ONCE, AT_ONCE)
             x = np.array(e.ids, np.uint32)
             at = np.flatnonzero(self.begins[x])
-            if len(at) == size:
-                lengths.append(np.diff(np.append(at, len(x))))
+            if len(at) == len(part):
+                ids.append(x)
+                sizes.append(np.diff(np.append(at, len(x))))
             else:  # a tokenizer that cuts otherwise, or a special token
-                x, sizes = self.each([" " + p for p in parts.slice(i * AT_ONCE, size).to_pylist()])
-                lengths.append(sizes)
-            ids.append(x)
-        if not ids:
-            return np.empty(0, np.uint32), np.empty(0, np.int64)
-        return np.concatenate(ids), np.concatenate(lengths)
-
-    def texts(self, texts: pa.Array, end: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after the other, each followed by ``end``, and where each begins.
-
-        NULL is an empty text. A text with a cut that is not sure is cut where it is; one that holds
-        the string of a special token is given to the library as a whole.
-        """
-        if not len(texts):
-            return np.empty(0, np.uint32), np.zeros(1, np.int64)
-        texts = pc.fill_null(texts.cast(pa.string()), "")
-        cut = pc.split_pattern(texts, " ")
-        offsets = cut.offsets.to_numpy().astype(np.int64)
-        offsets, flat = offsets - offsets[0], cut.flatten()
-        firsts, counts = offsets[:-1], np.diff(offsets)
-        coded = flat.dictionary_encode()
-        codes, parts = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        pool = _Pool()
-        begins, lengths, unsure = self._parts(pool, parts)
-        begins, lengths = begins[codes], lengths[codes]
-
-        # Texts that are not cut at every space, by the first of their parts.
-        doubt = unsure[codes]
-        doubt[firsts] = pc.match_substring_regex(flat.take(pa.array(firsts)), _END_UNSURE).to_numpy(False) & (counts > 1)
-        odd = np.add.reduceat(doubt, firsts) > 0
-        for s in self.special:
-            odd |= pc.match_substring(texts, s).to_numpy(False)
-        lengths[np.repeat(odd, counts)] = 0
-        plain = np.flatnonzero(~odd)
-        ids, sizes = self.each(flat.take(pa.array(firsts[plain])).to_pylist())
-        begins[firsts[plain]], lengths[firsts[plain]] = pool.put(ids, sizes), sizes
-        at = np.flatnonzero(odd)
-        ids, sizes = self._odd([texts[i].as_py() for i in at.tolist()])
-        begins[firsts[at]], lengths[firsts[at]] = pool.put(ids, sizes), sizes
-
-        last = pool.put(np.array(end, np.uint32), np.array([len(end)]))[0]
-        begins, lengths = np.insert(begins, offsets[1:], last), np.insert(lengths, offsets[1:], len(end))
-        starts = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum(np.add.reduceat(lengths, firsts + np.arange(len(firsts))), out=starts[1:])
-        return pool.taken(begins, lengths), starts
-
-    def _parts(self, pool: _Pool, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where the ids of different parts begin, how many they are, and which parts are not sure."""
-        mask = lambda p: pc.match_substring_regex(parts, p).to_numpy(False)
-        unsure, latin = mask(_UNSURE), mask(_LATIN)
-        word = pc.utf8_is_alpha(parts).to_numpy(False) & latin
-        stems = pc.utf8_slice_codeunits(parts, 0, -1)
-        marked = mask(_MARKED) & latin & pc.utf8_is_alpha(stems).to_numpy(False)
-        words = pc.unique(pa.concat_arrays([parts.filter(pa.array(word)), stems.filter(pa.array(marked))]))
-        begins, lengths = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
-
-        found = _Pool()  # a word, or a word and its mark
-        ids, sizes = self.spaced(words)
-        at = found.put(ids, sizes)
-        place = lambda x: pc.index_in(x, words).to_numpy(False)
-        k = place(parts.filter(pa.array(word)))
-        begins[word], lengths[word] = pool.put(found.taken(at[k], sizes[k]), sizes[k]), sizes[k]
-        k = place(stems.filter(pa.array(marked)))
-        marks = pc.utf8_slice_codeunits(parts.filter(pa.array(marked)), -1).dictionary_encode()
-        ids, two = self.each(marks.dictionary.to_pylist())
-        m = found.put(ids, two)[marks.indices.to_numpy()], two[marks.indices.to_numpy()]
-        both = lambda a, b: np.stack([a, b], axis=1).ravel()
-        sizes = sizes[k]
-        lengths[marked] = sizes + m[1]
-        begins[marked] = pool.put(found.taken(both(at[k], m[0]), both(sizes, m[1])), lengths[marked])
-        rest = ~(word | marked | unsure)
-        ids, sizes = self.spaced(parts.filter(pa.array(rest)))
-        begins[rest], lengths[rest] = pool.put(ids, sizes), sizes
-        return begins, lengths, unsure
-
-    def _odd(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        cut = [[t] if any(s in t for s in self.special) else chunks(t) for t in texts]
-        each = list(set().union(*cut))
-        ids, sizes = self.each(each)
-        pool = _Pool()
-        at = dict(zip(each, zip(pool.put(ids, sizes).tolist(), sizes.tolist(), strict=True), strict=True))
-        pairs = np.array([at[c] for x in cut for c in x], np.int64).reshape(-1, 2)
-        sizes = np.array([sum(at[c][1] for c in x) for x in cut], np.int64)
-        return pool.taken(pairs[:, 0], pairs[:, 1]), sizes
-
-
-_coders: dict[str, TextCoder] = {}
-
-
-def coder(path: str) -> TextCoder:
-    """One for each Python worker."""
+                ((x, k),) = self.each([" " + p for p in part.to_pylist()])
+                ids.append(x)
+                sizes.append(k)
+        return [(np.concatenate(ids), np.concatenate(sizes))]
+
+
+_coders: dict[str, LibraryCoder] = {}
+
+
+def coder(path: str) -> LibraryCoder:
+    """One for each Python worker, with the words that earlier tasks have taught it."""
     if path not in _coders:
-        _coders[path] = TextCoder(path)
+        _coders[path] = LibraryCoder(path)
     return _coders[path]
 
 
@@ -203,17 +94,17 @@ def _encode(path: str, end_id: int):
 
         part, first = TaskContext.get().partitionId(), 0
         for batch in batches:
-            sizes = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(False)
-            for i, j in slices_of(sizes, BATCH):
+            for i, j in slices_of(batch.column(1), BATCH):
                 rows = batch.slice(i, j - i)
-                ids, starts = coder(path).texts(rows.column(1), [end_id])
-                n = np.diff(starts)
+                ((ids, sizes),) = coder(path).texts(rows.column(1))
+                ids = np.insert(ids, np.cumsum(sizes), np.uint32(end_id))
+                starts = np.concatenate([[0], np.cumsum(sizes + 1)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0).cast(pa.int64()),
-                        pa.array(np.full(len(n), part, np.int32)),
+                        pa.array(np.full(j - i, part, np.int32)),
                         pa.array(first + starts[:-1]),
-                        pa.array(n),
+                        pa.array(sizes + 1),
                         pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.view(np.int32))),
                     ],
                     ["doc_id", "part", "first", "n_tokens", "token_ids"],
@@ -223,18 +114,6 @@ def _encode(path: str, end_id: int):
     return run
 
 
-def slices_of(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Slices whose sizes come to about ``most`` together."""
-    begin = total = 0
-    for i, n in enumerate(sizes.tolist()):
-        total += n
-        if total >= most:
-            yield begin, i + 1
-            begin, total = i + 1, 0
-    if begin < len(sizes):
-        yield begin, len(sizes)
-
-
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> None:
     """Writes doc_id, part, first, n_tokens and token_ids of every document, by ascending doc_id.
 
