@@ -43,13 +43,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, token_ids (binary, 32-bit), round_trip (decodes to the text)."""
-    carry = tuple(c for c in ("doc_id", "lang", "source") if c in docs.columns)
-    named = docs.select("*", F.col("text").alias("__text"))
-    return bpe_documents(named, carry=(*carry, "__text")).select(
-        *carry,
-        "n_tokens",
-        "token_ids",
-        (F.col("decoded") == F.encode(F.coalesce("__text", F.lit("")), "UTF-8")).alias("round_trip"),
+    carry = [c for c in ("doc_id", "lang", "source") if c in docs.columns]
+    named = docs.select(*carry, "text", F.coalesce("text", F.lit("")).alias("given"))
+    return bpe_documents(named, carry=(*carry, "given")).select(
+        *carry, "n_tokens", "token_ids", (F.col("decoded") == F.encode("given", "UTF-8")).alias("round_trip")
     )
 
 
@@ -66,6 +63,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table ``documents``: doc_id, lang, source, n_tokens, token_ids, round_trip.
+
+    A row for each time that the mix takes a document. NULL and empty texts fail the quality limits;
+    rows without id pass near-duplicate detection as they are; of rows that share id and text one
+    stays; other columns of the table, whatever their names, change nothing; without labels the
+    base limits alone decide on quality; empty tables give an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         done = stored(stage(spark, docs, sf_dir), f"stage{i}")
