@@ -161,7 +161,7 @@ def mixed_documents(docs: DataFrame, schedules=SCHEDULES, max_repeat: int = MAX_
     """
     plan = (
         _placed(docs, schedules, max_repeat)
-        .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"))
+        .groupBy(F.col("doc_id").alias("id"), F.col("source").alias("of"))
         .agg(
             F.max("copies").alias("copies"),
             F.max("size").alias("size"),
@@ -169,24 +169,24 @@ def mixed_documents(docs: DataFrame, schedules=SCHEDULES, max_repeat: int = MAX_
         )
         .where("copies > 0 or size = 0")
         .withColumn(
-            "__k", F.explode(F.sequence(F.lit(0), F.greatest(F.col("copies"), F.lit(1)) - 1))
+            "k", F.explode(F.sequence(F.lit(0), F.greatest(F.col("copies"), F.lit(1)) - 1))
         )
         .withColumn(
-            "__position",
+            "position",
             F.coalesce(
                 training_time(
-                    (F.col("__k") * F.col("source_size") + F.col("place")) / F.col("target")
+                    (F.col("k") * F.col("source_size") + F.col("place")) / F.col("target")
                 ),
                 F.lit(0.0),
             ),
         )
-        .select("__id", "__source", "__k", "__position")
+        .select("id", "of", "k", "position")
     )
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return (
-        docs.alias("d")
-        .join(plan, F.expr("d.doc_id <=> __id AND d.source <=> __source"))
-        .orderBy("__position", "__id", "__k")
-        .select([F.col(f"d.`{c}`") for c in docs.columns])
+        rows.join(plan, F.expr("row.doc_id <=> id AND row.source <=> of"))
+        .orderBy("position", "id", "k")
+        .select("row.*")
     )
 
 

@@ -278,8 +278,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``docs`` has doc_id and text, ``labels`` doc_id and quality; other columns are ignored. Returns
     doc_id, the measures, base_failed, rule, kept; a row for each row. NULL and empty texts have
     zeros throughout and fail the base limits; a NULL id can't be labelled; repeated rows are judged
-    alike; without labels there are no rules and the base limits decide; empty gives empty. A text
-    may have up to 2^24 words.
+    alike; without labels there are no rules and the base limits decide; empty gives empty.
     """
     measured = stored(text_measures(docs.select("doc_id", "text")).drop("text"), "measures")
     return judged(measured, labels).select("doc_id", *MEASURES, "base_failed", "rule", "kept")

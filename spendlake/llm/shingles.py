@@ -264,10 +264,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 def distinct_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each class, the one with the least id, with its columns; equal rows once."""
     kept = near_duplicates(docs, k, percent).where("kept AND doc_id IS NOT NULL")
-    chosen = docs.join(
-        kept.select(F.col("doc_id").alias("__id")).distinct(), F.col("doc_id") == F.col("__id")
-    ).drop("__id")
-    return chosen.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    chosen = rows.join(
+        kept.select(F.col("doc_id").alias("kept_id")).distinct(), F.col("row.doc_id") == F.col("kept_id")
+    )
+    once = chosen.groupBy("kept_id", F.sha2("row.text", 256)).agg(F.first("row").alias("row"))
+    return once.select("row.*").unionByName(docs.where("doc_id IS NULL"))
 
 
 @query()
