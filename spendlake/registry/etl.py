@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlake.operators import lines as L
 from spendlake.registry.catalog import fixture, query
@@ -209,6 +210,18 @@ def positional_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count_and_cost(read_table(spark, root, schema, months, positional=KEYS), *KEYS)
 
 
+@query(POSITIONAL_SQL)
+def positional_declared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same directories declared as a table's partitions, pruned by the catalogue."""
+    name = "spendlake_positional_cur"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    columns = cur(spark, sf_dir).select(L.TYPE, COST).schema
+    schema = T.StructType([*columns.fields, *(T.StructField(k, T.StringType()) for k in KEYS)])
+    create_table(spark, name, _stored_by_position(spark, sf_dir), schema, KEYS, positional=True)
+    wanted = ["source_account_id <> '000000000003'", "billing_period >= '1997-01'"]
+    return _count_and_cost(read_table(spark, name, predicate=wanted), *KEYS)
+
+
 @query(POSITIONAL_SQL)
 def positional_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same directories as a stream of new files."""

@@ -10,7 +10,7 @@ from spendlake.registry.catalog import query
 from spendlake.registry.views import CUR_SQL, JSON_TEXTS_SQL, cur, json_texts, table
 from spendlake.plans.profiling import null_counts
 from spendlake.sinks.tables import write_typed
-from spendlake.sources.files import list_files, scratch
+from spendlake.sources.files import file_sizes, list_files, scratch
 from spendlake.sources.footers import read_footers
 from spendlake.sources.schema import from_json_list, to_json_list
 from spendlake.sources.tables import read_table, sample_rows
@@ -183,6 +183,14 @@ def row_and_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""SELECT regexp_extract(filename, '([^/]+)/[^/]*$', 1) AS directory, count(*) AS n_files,
+  cast(sum(size) AS bigint) AS n_bytes
+FROM read_blob('{CHECKED_DIR}/*.parquet') GROUP BY ALL""")
+def directory_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = file_sizes(list_files(spark, sf_dir, "*.parquet"))
+    return sizes.withColumn("directory", F.element_at(F.split("directory", "/"), -1))
+
+
 @query(f"""WITH {CUR_SQL} SELECT count(*) AS n_rows, cast(14 AS bigint) AS n_columns FROM cur""")
 def table_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.shape(cur(spark, sf_dir))

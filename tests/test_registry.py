@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 CHECKED = "/root/testdata/sf0.01"
 
 # Their SQL reads footers of the directory that it names.
-BY_PATH = {"storage_profile", "storage_totals", "storage_report", "row_and_file_counts"}
+BY_PATH = {"storage_profile", "storage_totals", "storage_report", "row_and_file_counts", "directory_sizes"}
 
 
 @pytest.fixture(scope="module")
