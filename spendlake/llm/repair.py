@@ -197,7 +197,7 @@ def _facts(rows: DataFrame) -> DataFrame:
     """
     live = rows.copies > 0
     blank = ~rows.text.rlike(NO_BLANK)
-    cut = ~F.regexp_replace(rows.text, f"{BLANK}+$", "").rlike("[.!?]$")
+    cut = ~rows.text.rlike(f"[.!?]{BLANK}*+\\z")  # not $, before which a line's end may stand
     initial = F.instr(F.lit("sua"), F.substring("role", 1, 1)) - 1
     initial = F.when((F.length("role") > 0) & (initial >= 0), initial).otherwise(3)
     narrow = (

@@ -128,7 +128,7 @@ def expected(rows):
 
 def odd_rows():
     r = random.Random(11)
-    texts = [None, "", " \t\n", "Yes.", "No", "What?  ", "é!", "x\x1c", "a" * 3000 + ".", "cut, "]
+    texts = [None, "", " \t\n", "Yes.", "No", "What?  ", "é!", "x\x1c", "a" * 3000 + ".", "cut, ", "Hi.\u2028", "Hi. \x85", "Hi.\n\n", "Hi" + " " * 2000 + "."]
     roles = ["system", "user", "assistant", "user", "assistant", None, "", "User", "tool", "süd"]
     rows = [
         (c, r.choice([None, *range(12)]), r.choice(roles), r.choice(texts))
