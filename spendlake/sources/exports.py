@@ -75,14 +75,17 @@ def scan_headers(listing: DataFrame) -> DataFrame:
 def _first_row(path: str) -> tuple[list[str] | None, str | None]:
     try:
         with open_stream(path) as raw:
-            header = next((row for row in _rows(raw, path, csv.QUOTE_MINIMAL) if row), None)
+            header = next((row for row in _rows(_unzipped(raw, path), csv.QUOTE_MINIMAL) if row), None)
             return header, None if header else "no header"
     except Exception as e:  # whatever is wrong with one file must not stop the others
         return None, f"{type(e).__name__}: {e}"
 
 
-def _rows(raw, path: str, quoting: int) -> csv.reader:
-    data = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
+def _unzipped(raw, path: str):
+    return gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
+
+
+def _rows(data, quoting: int) -> csv.reader:
     text = io.TextIOWrapper(io.BufferedReader(data, 1 << 20), encoding="utf-8-sig", newline="")
     csv.field_size_limit(1 << 30)
     return csv.reader(text, strict=True, quoting=quoting)
@@ -91,8 +94,8 @@ def _rows(raw, path: str, quoting: int) -> csv.reader:
 # An empty cell is NULL and a quoted empty one is empty text, where Python tells them apart.
 EMPTY_IS_NULL = getattr(csv, "QUOTE_NOTNULL", csv.QUOTE_MINIMAL)
 
-STAGED_ROWS = 20_000  # rows of a batch, fewer when they are long
-STAGED_CHARS = 8_000_000
+STAGED_ROWS = 20_000  # rows of a batch, fewer when they come from more bytes than
+STAGED_BYTES = 8_000_000
 
 FILES = (
     "path string, length long, modified long, header array<string>, problem string, "
@@ -152,7 +155,8 @@ def _staged(carried: list[str], wanted: Sequence[str] | None, optional: Sequence
         header, problem, n_rows, n_short, path = None, None, 0, 0, file.column(0)[0].as_py()
         try:
             with open_stream(path) as raw:
-                rows = _rows(raw, path, EMPTY_IS_NULL)
+                data = _unzipped(raw, path)
+                rows = _rows(data, EMPTY_IS_NULL)
                 first = next((row for row in rows if row), None)
                 if first is None:
                     problem = "no header"
@@ -160,7 +164,7 @@ def _staged(carried: list[str], wanted: Sequence[str] | None, optional: Sequence
                     header = ["" if c is None else c for c in first]
                     layout = _Layout(header, wanted, optional)
                     problem = layout.problem
-                    held, chars = [], 0
+                    held, begun = [], data.tell()
                     for row in rows if problem is None else ():
                         if not row:
                             continue
@@ -172,10 +176,9 @@ def _staged(carried: list[str], wanted: Sequence[str] | None, optional: Sequence
                             row += [None] * (layout.width - len(row))
                         held.append(row)
                         n_rows += 1
-                        chars += sum(map(len, filter(None, row))) if layout.width < 32 else 16 * layout.width
-                        if len(held) >= STAGED_ROWS or chars >= STAGED_CHARS:
+                        if len(held) >= STAGED_ROWS or data.tell() - begun >= STAGED_BYTES:
                             yield out(file, len(held), layout.key, None, layout.columns(held))
-                            held, chars = [], 0
+                            held, begun = [], data.tell()
                     if held and problem is None:
                         yield out(file, len(held), layout.key, None, layout.columns(held))
         except Exception as e:  # whatever is wrong with one file must not stop the others
