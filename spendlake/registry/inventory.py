@@ -16,10 +16,15 @@ from spendlake.registry.views import (
     inventory_documents,
     table,
 )
+from spendlake.sinks.documents import write_documents
 from spendlake.sinks.reports import write_text_report
 from spendlake.sources.files import scratch
+from spendlake.sources.listing import spread
 from spendlake.sources.lists import read_inventory
 
+# Small files that a task writes.
+FILES_PER_TASK = 5_000
+
 _LINE_SQL = """concat(rpad(region_label, 5, ' '), ' ', account,
   repeat(' ', greatest(0, 18 - length(account))), '  ', arn)"""
 
@@ -73,12 +78,11 @@ FROM res""")
 def inventory_whole_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per file, some spread over lines; files that hold next to nothing are passed over."""
     target = scratch(spark, "inventory")
-    spread = F.regexp_replace("value", r"\},\{", "},\n  {")
-    documents = inventory_documents(spark, sf_dir).select(spread.alias("value"))
+    over_lines = F.regexp_replace("value", r"\},\{", "},\n  {")
+    documents = inventory_documents(spark, sf_dir).select(over_lines.alias("value"))
     empty = F.element_at(F.array(F.lit("{}"), F.lit(""), F.lit("null"), F.lit("[ ]\n")), (F.col("s_suppkey") % 4 + 1).cast("int"))
     nothing = table(spark, sf_dir, "supplier").select(empty.cast("string").alias("value"))
-    files = documents.unionByName(nothing).write.option("maxRecordsPerFile", 1)
-    files.text(target)
+    write_documents(documents.unionByName(spread(nothing, FILES_PER_TASK)), target)
     return I.flatten_resources(read_inventory(spark, target, ".txt", whole_files=True))
 
 

@@ -1,4 +1,5 @@
 import json
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 from spendlake.operators import inventory as I
 from spendlake.operators import profile as P
 from spendlake.plans import profiling, untagged
+from spendlake.registry import inventory as queries
+from spendlake.sinks.documents import write_documents
 from spendlake.sources import files, footers, lists
 
 
@@ -138,3 +141,28 @@ def test_whole_profile(spark, tmp_path):
     assert [r.size for r in p.report.collect()] == ["400.00 B", "50.00 B"]
     assert p.nulls.count() == 2
     assert profiling.run(spark, f"{tmp_path}/t", 7).shape.first().n_rows == 7
+
+
+def test_documents_as_files(spark, tmp_path):
+    values = ["{}", "", None, "{}", "a\nü"]
+    rows = spark.createDataFrame([(v,) for v in values], "value string").repartition(3)
+    assert write_documents(rows, f"{tmp_path}/out") == 5
+    found = sorted(open(f"{tmp_path}/out/{n}", encoding="utf-8").read() for n in os.listdir(f"{tmp_path}/out"))
+    assert found == ["\n", "\n", "a\nü\n", "{}\n", "{}\n"]
+    assert write_documents(rows.limit(0), f"{tmp_path}/none") == 0
+    assert lists.read_inventory(spark, f"{tmp_path}/none", ".txt").count() == 0
+
+
+def test_small_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    events = [(i, 7, "view", '{"k": 1}') for i in range(3)]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, props string").write.parquet(
+        f"{tmp_path}/sf/events.parquet"
+    )
+    keys = spark.createDataFrame([(i,) for i in range(40)], "s_suppkey long").coalesce(1)
+    keys.write.parquet(f"{tmp_path}/sf/supplier.parquet")
+    monkeypatch.setattr(queries, "FILES_PER_TASK", 5)
+    monkeypatch.setattr(queries, "scratch", lambda *_: f"{tmp_path}/files")
+    assert queries.inventory_whole_files(spark, f"{tmp_path}/sf").count() == 3
+    written = os.listdir(f"{tmp_path}/files")
+    assert len(written) == 41
+    assert len({name.split("-")[1] for name in written}) > 4
