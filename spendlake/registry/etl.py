@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from spendlake.operators import lines as L
 from spendlake.registry.catalog import fixture, query
-from spendlake.registry.views import CUR_SQL, PERIOD, as_double, cur
+from spendlake.registry.views import CUR_SQL, PERIOD, as_double, cur, cur_columns, cur_parts
 from spendlake.sinks.tables import append_periods, replace_period, write_typed
 from spendlake.sources.files import file_store, open_output, scratch
 from spendlake.sources.tables import create_table, read_table
@@ -36,7 +36,7 @@ def _count_and_cost(rows: DataFrame, *keys: str) -> DataFrame:
 def _stored_cur(spark: SparkSession, sf_dir: str) -> str:
     """The line items as a table partitioned by billing month."""
     target = scratch(spark, "cur")
-    append_periods(cur(spark, sf_dir), target, "billing_period", rebalance=True)
+    append_periods(cur_parts(spark, sf_dir), target, "billing_period", rebalance=True, shape=cur_columns)
     return target
 
 

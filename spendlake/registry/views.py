@@ -21,6 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cur(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items: ``lineitem`` with the account and billing month of its order."""
+    return cur_columns(cur_parts(spark, sf_dir))
+
+
+def cur_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the columns of line items are made of, and the billing month."""
+    order_month = F.concat_ws(
+        "-", F.year("o_orderdate").cast("string"), F.format_string("%02d", F.month("o_orderdate"))
+    )
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    # Both sides grow with the data: join them as they have to be joined when large.
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_custkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate",
+        "l_quantity", "l_extendedprice", "l_discount", order_month.alias("billing_period"),
+    )
+
+
+def cur_columns(parts: DataFrame) -> DataFrame:
+    """The columns of line items, row by row."""
     text = "string"
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     price = F.col("l_extendedprice")
@@ -35,12 +53,7 @@ def cur(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((flag == "R") & (status == "F"), "EdpDiscount")
         .when((flag == "R") & (status == "O") & (F.col("l_linenumber") != 7), "Refund")
     )
-    order_month = F.concat_ws(
-        "-", F.year("o_orderdate").cast(text), F.format_string("%02d", F.month("o_orderdate"))
-    )
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    # Both sides grow with the data: join them as they have to be joined when large.
-    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return parts.select(
         F.lpad(F.col("o_custkey").cast(text), 12, "0").alias("line_item_usage_account_id"),
         F.lpad((F.col("l_suppkey") % PAYERS).cast(text), 12, "0").alias("bill_payer_account_id"),
         line_type.alias("line_item_line_item_type"),
@@ -62,7 +75,7 @@ def cur(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("arn:aws:ec2:r:x:reserved-instances/ri-"),
             F.lpad((F.col("l_partkey") % RESERVATIONS).cast(text), 3, "0"),
         ).alias("reservation_reservation_a_r_n"),
-        order_month.alias("billing_period"),
+        "billing_period",
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -9,16 +11,26 @@ from spendlake.sinks.batches import BatchLedger
 
 
 def append_periods(
-    lines: DataFrame, target: str, column: str = "usage_period", rebalance: bool = False
+    lines: DataFrame,
+    target: str,
+    column: str = "usage_period",
+    rebalance: bool = False,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Appends, one directory per period.
 
     Without ``rebalance`` there is no shuffle, and every task writes a file for each period
     it meets. With it, rows are first brought together by period, and a large period is
     split into several files of even size at run time.
+
+    ``shape`` gives the rows their columns, row by row and the period as it is. Rows are brought
+    together and put in order of their periods before it, so that what it adds is neither moved
+    nor sorted.
     """
     if rebalance:
         lines = lines.hint("rebalance", column)
+    if shape is not None:
+        lines = shape(lines.sortWithinPartitions(column))
     lines.write.mode("append").partitionBy(column).parquet(target)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spendlake.operators import lines as L
 from spendlake.plans import billing
+from spendlake.registry import etl
 from spendlake.sinks import tables as sinks
 from spendlake.sources import files, schema, tables
 
@@ -200,3 +201,25 @@ def test_scratch_is_in_the_shared_folder(tmp_path):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         files.scratch(FakeSession(spark_master="yarn"), "x")
     assert "spendlake-" in files.scratch(FakeSession(spark_master="local[2]"), "x")
+
+
+def test_what_is_computed_is_not_moved(spark, tmp_path):
+    rows = L.billable_lines(lines(spark, [("Usage", JUNE), ("Usage", JULY)] * 3)).select(L.TYPE, "usage_period")
+    seen = []
+
+    def shape(parts):
+        seen.append((parts.columns, parts._jdf.queryExecution().optimizedPlan().toString()))
+        return parts.withColumn("arn", F.concat(F.lit("arn:"), L.TYPE))
+
+    sinks.append_periods(rows, f"{tmp_path}/t", rebalance=True, shape=shape)
+    columns, plan = seen[0]
+    assert columns == [L.TYPE, "usage_period"] and "Sort" in plan and "Rebalance" in plan
+    assert counts(spark, f"{tmp_path}/t") == {"2025-06": 3, "2025-07": 3}
+    assert {r.arn for r in spark.read.parquet(f"{tmp_path}/t").collect()} == {"arn:Usage"}
+
+
+def test_stored_lines_are_brought_together_as_their_parts(spark, monkeypatch):
+    moved = []
+    monkeypatch.setattr(etl, "append_periods", lambda rows, *_, **__: moved.extend(rows.columns))
+    etl._stored_cur.__wrapped__(spark, "/root/testdata/sf0.001")
+    assert "l_partkey" in moved and "reservation_reservation_a_r_n" not in moved
