@@ -49,11 +49,9 @@ ROWS_PER_TEXT = 20_000
 
 
 def _write_csv(rows: DataFrame, target: str, by: str | None = None) -> None:
-    """Gzipped CSV in as many files as the session has shuffle partitions, or more."""
-    files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Gzipped CSV, a file or more of each task that holds rows: a join has dealt them to many."""
     writer = (
         time_text(rows)
-        .repartition(files)
         .write.option("header", True)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
@@ -62,6 +60,11 @@ def _write_csv(rows: DataFrame, target: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).csv(target)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """A table as it lies, which may be one task, dealt to as many as the session shuffles to."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _respelled(rows: DataFrame, style: int) -> DataFrame:
     """The same rows under another of the header spellings, columns in another order."""
     renamed = [
@@ -169,7 +172,7 @@ def csv_bad_files_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = find_exports(spark, root).select("path").first()["path"]
     with open_input(good) as source, open_output(f"{root}/2025a/cut.csv.gz") as out:
         out.write(source.read(120))
-    _write_csv(table(spark, sf_dir, "region"), f"{root}/2025b")
+    _write_csv(_spread(table(spark, sf_dir, "region")), f"{root}/2025b")
     exports = read_exports(spark, find_exports(spark, root), (TYPE, COST))
     rejected = exports.rejected.where(
         F.col("problem").contains("EOFError") | F.col("problem").startswith("Missing required")
@@ -230,7 +233,7 @@ def account_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "supplier").select(
         "s_name", F.lpad((F.col("s_suppkey") % 5).cast("string"), 12, "0").alias("account")
     )
-    _write_csv(rows, bucket, "account")
+    _write_csv(_spread(rows), bucket, "account")
     customers = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("account"))
     registry = rows.select("account").distinct().unionByName(customers).select(
         F.col("account").alias("aws_id"),
@@ -389,7 +392,7 @@ FROM documents GROUP BY lang, source""")
 def csv_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with quotes, commas and line breaks survive gzipped CSV whole."""
     source = scratch(spark, "texts")
-    _write_csv(table(spark, sf_dir, "documents"), source)
+    _write_csv(_spread(table(spark, sf_dir, "documents")), source)
     lines = read_exports(spark, list_files(spark, source, "*.csv.gz")).lines
     return lines.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"),
@@ -429,8 +432,8 @@ def required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "supplier").select(
         F.col("s_name").alias("LineItemType"), F.col("s_acctbal").alias("UnblendedCost"), F.lit(1).alias("UsageAmount")
     )
-    _write_csv(rows.select("LineItemType"), f"{root}/2025a")
-    _write_csv(rows, f"{root}/2025b")
+    _write_csv(_spread(rows.select("LineItemType")), f"{root}/2025a")
+    _write_csv(_spread(rows), f"{root}/2025b")
     wanted = (TYPE, "line_item_usage_amount", COST)
     files = read_exports(spark, find_exports(spark, root), wanted).files
     folder = F.element_at(F.split("path", "/"), -2)

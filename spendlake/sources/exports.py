@@ -85,6 +85,21 @@ def _unzipped(raw, path: str):
     return gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
 
 
+class _Counted(io.RawIOBase):
+    """Bytes of a file as they are read, and how many there were: a position costs a call for each row."""
+
+    def __init__(self, data):
+        self.data, self.n = data, 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        n = self.data.readinto(buffer)
+        self.n += n
+        return n
+
+
 def _rows(data, quoting: int) -> csv.reader:
     text = io.TextIOWrapper(io.BufferedReader(data, 1 << 20), encoding="utf-8-sig", newline="")
     csv.field_size_limit(1 << 30)
@@ -140,12 +155,12 @@ def _staged(carried: list[str], wanted: Sequence[str] | None, optional: Sequence
                 yield from staged_file(batch.slice(i, 1))
 
     def out(file: pa.RecordBatch, n: int, layout, found: dict | None, columns) -> pa.RecordBatch:
-        repeat = pa.array([0] * n, pa.int64())
+        repeat = pa.repeat(pa.scalar(0, pa.int64()), n)
         return pa.RecordBatch.from_arrays(
             [
                 *(c.take(repeat) for c in file.columns),
-                pa.array([layout] * n, pa.string()),
-                pa.array([found] * n, state),
+                pa.repeat(pa.scalar(layout, pa.string()), n),
+                pa.nulls(n, state) if found is None else pa.array([found] * n, state),
                 *columns,
             ],
             [*(f"__{c}" for c in carried), "__layout", "__state", *names],
@@ -155,7 +170,7 @@ def _staged(carried: list[str], wanted: Sequence[str] | None, optional: Sequence
         header, problem, n_rows, n_short, path = None, None, 0, 0, file.column(0)[0].as_py()
         try:
             with open_stream(path) as raw:
-                data = _unzipped(raw, path)
+                data = _Counted(_unzipped(raw, path))
                 rows = _rows(data, EMPTY_IS_NULL)
                 first = next((row for row in rows if row), None)
                 if first is None:
@@ -164,7 +179,7 @@ def _staged(carried: list[str], wanted: Sequence[str] | None, optional: Sequence
                     header = ["" if c is None else c for c in first]
                     layout = _Layout(header, wanted, optional)
                     problem = layout.problem
-                    held, begun = [], data.tell()
+                    held, begun = [], data.n
                     for row in rows if problem is None else ():
                         if not row:
                             continue
@@ -176,9 +191,9 @@ def _staged(carried: list[str], wanted: Sequence[str] | None, optional: Sequence
                             row += [None] * (layout.width - len(row))
                         held.append(row)
                         n_rows += 1
-                        if len(held) >= STAGED_ROWS or data.tell() - begun >= STAGED_BYTES:
+                        if len(held) >= STAGED_ROWS or data.n - begun >= STAGED_BYTES:
                             yield out(file, len(held), layout.key, None, layout.columns(held))
-                            held, begun = [], data.tell()
+                            held, begun = [], data.n
                     if held and problem is None:
                         yield out(file, len(held), layout.key, None, layout.columns(held))
         except Exception as e:  # whatever is wrong with one file must not stop the others

@@ -3,13 +3,17 @@ import gzip
 import io
 import os
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from spendlake.operators import savings as S
 from spendlake.operators.columns import RI_COLUMNS
 from spendlake.operators.typed import to_typed
 from spendlake.plans import convert
 from spendlake.plans import savings as plans
+from spendlake.registry import exports as registry
 from spendlake.sources import accounts, exports, files, lists
 
 
@@ -289,3 +293,24 @@ def test_result_does_not_depend_on_the_split(spark, tmp_path):
         read = exports.read_exports(spark, listing(spark, tmp_path / name), RI_COLUMNS)
         results.append(sorted(S.ri_savings(exports.typed_lines(read.lines), "2025-06").collect()))
     assert results[0] == results[1] and len(results[0]) == 15
+
+
+def test_no_position_is_asked_for_rows(monkeypatch):
+    class Untold(io.BytesIO):
+        def tell(self):
+            raise AssertionError("asked for a position")
+
+    monkeypatch.setattr(exports, "_unzipped", lambda raw, path: Untold(b"a,b\n1,2\n3\n\n"))
+    monkeypatch.setattr(exports, "open_stream", lambda path: io.BytesIO())
+    file = pa.RecordBatch.from_arrays([pa.array(["x"])], ["path"])
+    *rows, last = exports._staged(["path"], None, ())(iter([file]))
+    assert [r["cells"] for b in rows for r in b.to_pylist()] == [["1", "2"], ["3", None]]
+    assert last.to_pylist()[0]["__state"] == {"header": ["a", "b"], "problem": None, "n_rows": 2, "n_short": 1}
+
+
+def test_exports_are_written_where_a_join_left_them(spark, monkeypatch, tmp_path):
+    moved = []
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *_: moved.append(self) or self)
+    registry._write_csv(spark.range(5).withColumn("b", F.lit("x")), f"{tmp_path}/out")
+    assert not moved
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out").count() == 5
