@@ -22,9 +22,9 @@ def run(
     """Converts all good files at once; returns the files that were left out.
 
     A gzip file is read by one task. With ``rebalance`` its rows are spread after reading, so
-    that one large file neither types nor writes all its rows in that task.
+    that one large file neither types nor writes all its rows in that task: they are staged in
+    pieces that many tasks read, and not shuffled.
     """
-    exports = read_exports(spark, list_files(spark, paths, glob))
-    lines = exports.lines.hint("rebalance") if rebalance else exports.lines
-    write_typed(to_typed(lines, maps_as), target, mode)
+    exports = read_exports(spark, list_files(spark, paths, glob), spread_rows=rebalance)
+    write_typed(to_typed(exports.lines, maps_as), target, mode)
     return exports.rejected

@@ -112,6 +112,8 @@ EMPTY_IS_NULL = getattr(csv, "QUOTE_NOTNULL", csv.QUOTE_MINIMAL)
 STAGED_ROWS = 20_000  # rows of a batch, fewer when they come from more bytes than
 STAGED_BYTES = 8_000_000
 
+SPREAD_BYTES = 8 << 20  # of a row group that one task reads alone
+
 FILES = (
     "path string, length long, modified long, header array<string>, problem string, "
     "n_rows long, n_short long"
@@ -237,6 +239,7 @@ def read_exports(
     tags: dict[str, str] | None = None,
     tag_name: str = "source_account_id",
     store: str | None = None,
+    spread_rows: bool = False,
 ) -> Exports:
     """Rows of all good files, as text.
 
@@ -249,6 +252,9 @@ def read_exports(
     ``store`` keeps them: files that it holds with the same path, length and time are not opened
     again, good or not, and of files that changed or are no longer listed nothing is used.
 
+    ``spread_rows`` stages in row groups of SPREAD_BYTES, so that the rows of one large file are read
+    by many tasks, and none is moved for it.
+
     ``verify=False`` reads headers alone and leaves the rest to Spark's reader, as fits when only a
     few columns of files that are known to be whole are needed: a broken file then fails the read.
     The driver sees one line per file only then; otherwise one per header layout.
@@ -260,7 +266,7 @@ def read_exports(
     names = [c for c in ("path", "length", "modified", tag_name) if c in listing.columns]
     listed = listing.select(*names)
     folder = scratch(spark, "exports") if store is None else _store_of(store, wanted, optional)
-    known = _ExportStore(spark, folder, listed.schema, wanted, optional)
+    known = _ExportStore(spark, folder, listed.schema, wanted, optional, spread_rows)
     known.stage(listed, fresh=store is None)
     files = known.files(listed)
     counted = files.agg(
@@ -301,8 +307,9 @@ class _ExportStore:
     had not been.
     """
 
-    def __init__(self, spark, folder, listed: T.StructType, wanted, optional):
+    def __init__(self, spark, folder, listed: T.StructType, wanted, optional, spread_rows: bool = False):
         self.spark, self.folder, self.wanted, self.optional = spark, folder, wanted, optional
+        self.options = {"parquet.block.size": str(SPREAD_BYTES)} if spread_rows else {}
         self.tags = [f for f in listed.fields if f.name not in ("path", "length", "modified")]
         fields = T.StructType.fromDDL(f"run string, {FILES}").fields
         self.schema = T.StructType([*fields, *self.tags])
@@ -325,7 +332,7 @@ class _ExportStore:
         if listed.isEmpty():
             return
         spread_out = spread(listed, per_task=1)
-        scan_exports(spread_out, self.wanted, self.optional).write.parquet(rows)
+        scan_exports(spread_out, self.wanted, self.optional).write.options(**self.options).parquet(rows)
         found = self.spark.read.parquet(rows).where("__state IS NOT NULL")
         columns = [
             F.lit(run).alias("run"),

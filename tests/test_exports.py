@@ -4,6 +4,7 @@ import io
 import os
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -295,6 +296,19 @@ def test_result_does_not_depend_on_the_split(spark, tmp_path):
     assert results[0] == results[1] and len(results[0]) == 15
 
 
+def test_rows_of_a_large_file_are_spread_without_a_shuffle(spark, tmp_path, monkeypatch):
+    write_gz(f"{tmp_path}/in/1.csv.gz", ["a", "b"], [[str(i), str(i * 7919 % 10007)] for i in range(20_000)])
+    monkeypatch.setattr(exports, "SPREAD_BYTES", 20_000)
+    typed = []
+    monkeypatch.setattr(convert, "write_typed", lambda rows, *_: typed.append(rows))
+    convert.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", rebalance=True)
+    plan = typed[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    staged = [f.removeprefix("file://") for f in typed[0].inputFiles()]
+    assert sum(pq.ParquetFile(f).num_row_groups for f in staged) > 4
+    assert typed[0].count() == 20_000
+
+
 def test_no_position_is_asked_for_rows(monkeypatch):
     class Untold(io.BytesIO):
         def tell(self):
