@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +63,26 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(target)
 
 
+@contextmanager
+def lean(spark: SparkSession, batch: int = 10_000) -> Iterator[None]:
+    """Jobs within send ``batch`` rows at once to Python, and their shuffles' files go with them.
+
+    For rows that are large; what is built within and run later is not concerned.
+    """
+    held = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(batch),
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    }
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def dropped(rows: DataFrame) -> None:
     """Removes a scratch table made by ``stored`` that no later step reads."""
     spark = rows.sparkSession

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import dropped, query, stored, table
+from spendlake.llm.common import dropped, lean, query, stored, table
 
 STATES = 8
 ROUNDS = 4
@@ -22,7 +23,10 @@ CLASSES = END_CLASS + 1
 BLOCK_CHARS = 6_000_000  # of texts that are coded together
 SEGMENT = 64  # tokens of a training segment
 SIDE_BY_SIDE = 1024  # segments that a task trains on at a time
-PLACE_BITS, OWN = 40, 1 << 39  # of a looked-up word: its place above, its count or own class below
+OWN = 1 << 39  # marks a looked-up word's own class, which stands where its count would
+TEXTS = 500  # texts that Python is sent at once
+WORDS = 10_000  # distinct words that it sends back at once
+PLACED = 1 << 20  # looked-up words that a task brings together by their blocks
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -40,14 +44,42 @@ def _list(values: np.ndarray | list, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, the highest first, which are mostly 0 and so stored small."""
+    wide = np.ascontiguousarray(values, values.dtype.newbyteorder(">"))
+    return wide.view(np.uint8).reshape(len(wide), wide.itemsize).T.tobytes()
+
+
+def _numbers(planes: pa.Buffer | memoryview, kind: str) -> np.ndarray:
+    wide = np.dtype(kind).newbyteorder(">")
+    flat = np.frombuffer(planes, np.uint8).reshape(wide.itemsize, -1).T
+    return np.ascontiguousarray(flat).view(wide).ravel().astype(kind)
+
+
+CODED = pa.schema([
+    ("block", pa.int64()), ("pos", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
+    ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())),
+    ("tokens", pa.binary()), ("endings", pa.binary()),
+])
+
+
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts as numbers: the distinct words once, and each token's place among them."""
+    """Blocks of texts as numbers: a row with each token's place among the block's distinct words.
+
+    These words, the more frequent ones first, are rows of their own, with their training count.
+    """
     from pyspark import TaskContext
 
     part, k = TaskContext.get().partitionId(), 0
     local, ids, tokens, size = _Local(), [], [], 0
 
-    def block() -> pa.RecordBatch:
+    def rows(count: int, **columns) -> pa.RecordBatch:
+        columns["block"] = pa.array(np.full(count, (part << 32) + k))
+        return pa.RecordBatch.from_arrays(
+            [columns.get(f.name, pa.nulls(count, f.type)) for f in CODED], schema=CODED
+        )
+
+    def block() -> Iterator[pa.RecordBatch]:
         held = [is_held_out(i) for i in ids]
         seen = [np.empty(0, np.int32)]
         for h, t in zip(held, tokens, strict=True):
@@ -55,19 +87,27 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.append(t)
         counts = np.bincount(np.concatenate(seen), minlength=len(local))
         flat = np.concatenate(tokens)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([(part << 32) + k]),
-                _list(ids, pa.int64()),
-                _list(held, pa.bool_()),
-                _list([len(t) for t in tokens], pa.int32()),
-                _list(flat, pa.int32()),
-                _list(list(local), pa.binary()),
-                _list(counts, pa.int64()),
-                _list([FREQUENT + zlib.crc32(w[-3:]) % ENDINGS for w in local], pa.int16()),
-            ],
-            ["block", "doc_ids", "held", "sizes", "tokens", "words", "counts", "endings"],
+        order = np.argsort(-np.bincount(flat, minlength=len(local)), kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order))
+        words = pa.array(list(local), pa.binary()).take(pa.array(order))
+        endings = [FREQUENT + zlib.crc32(w[-3:]) % ENDINGS for w in words.to_pylist()]
+        yield rows(
+            1,
+            doc_ids=_list(ids, pa.int64()),
+            held=_list(held, pa.bool_()),
+            sizes=_list([len(t) for t in tokens], pa.int32()),
+            tokens=pa.array([_planes(place[flat])]),
+            endings=pa.array([_planes(np.array(endings, np.int16))]),
         )
+        for low in range(0, len(words), WORDS):
+            some = words.slice(low, WORDS)
+            yield rows(
+                len(some),
+                pos=pa.array(np.arange(low, low + len(some), dtype=np.int32)),
+                word=some,
+                n=pa.array(counts[order[low : low + WORDS]].astype(np.int64)),
+            )
 
     for batch in batches:
         for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -76,11 +116,11 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tokens.append(np.fromiter(map(local.__getitem__, words), np.int32, len(words)))
             size += len(text or "")
             if size >= BLOCK_CHARS:
-                yield block()
+                yield from block()
                 local, ids, tokens, size, k = _Local(), [], [], 0, k + 1
                 pa.default_memory_pool().release_unused()
     if ids:
-        yield block()
+        yield from block()
 
 
 @dataclass
@@ -94,44 +134,72 @@ class Counted:
     class_words: np.ndarray
 
 
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Looked-up words (block, pos, known) as a row for each block that is met: places, then what is known."""
+    held, size = [], 0
+
+    def rows() -> pa.RecordBatch:
+        block, pos, known = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((pos, block))
+        block, pos, known = block[order], pos[order], known[order]
+        cuts = np.flatnonzero(np.diff(block, prepend=block[:1] - 1, append=block[-1:] + 1))
+        found = [_planes(pos[i:j]) + _planes(known[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(block[cuts[:-1]]), pa.array(found, pa.binary())], ["block", "found"])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append([c.to_numpy() for c in batch.columns])
+            size += batch.num_rows
+        if size >= PLACED:
+            yield rows()
+            held, size = [], 0
+    if size:
+        yield rows()
+
+
 def _measure(n: Counted):
-    """For each block: classes of its tokens, ends included, and each text's sums over its words."""
+    """For a block: classes of its tokens, ends included, and each text's sums over its words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                block, ids, held, sizes, tokens, cls, found = (c[r] for c in batch.columns)
-                sizes, tokens = sizes.values.to_numpy(), tokens.values.to_numpy()
-                found = np.sort(found.values.to_numpy())  # by place, of which each is there once
-                c, cls = found & (OWN - 1), cls.values.to_numpy().copy()
-                own = found & OWN != 0
-                cls[own] = c[own]
-                c[own] = n.class_tokens[cls[own]]
-                base = np.log10((c + 1) / (n.total + n.distinct + 1))
-                inner = np.log10((c + 1) / (n.class_tokens[cls] + n.class_words[cls] + 1))
-                inner[cls < FREQUENT] = 0.0
-                ends = np.cumsum(sizes)
-                sums = []
-                for per_word in (base, inner, (c > 0).astype(np.float64)):
-                    run_sum = np.concatenate([[0.0], np.cumsum(per_word[tokens])])
-                    sums.append(run_sum[ends] - run_sum[ends - sizes])
-                end_base = np.log10((n.texts + 1) / (n.total + n.distinct + 1))
-                classes = np.insert(cls[tokens], ends, END_CLASS)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block.as_py()]),
-                        _list(ids.values, pa.int64()),
-                        _list(held.values, pa.bool_()),
-                        _list(sizes + 1, pa.int32()),
-                        _list(classes, pa.int16()),
-                        _list(sums[0] + end_base, pa.float64()),
-                        _list(sums[1], pa.float64()),
-                        _list(np.rint(sums[2]).astype(np.int64) + (n.texts > 0), pa.int64()),
-                    ],
-                    ["block", "doc_ids", "held", "sizes", "classes", "base", "inner", "known"],
-                )
-            del batch
-            pa.default_memory_pool().release_unused()
+    def run(rows: pa.Table) -> pa.Table:
+        text = rows.filter(pc.is_valid(rows["tokens"]))
+        block, ids, held, sizes, tokens, endings = (
+            text[c][0] for c in ("block", "doc_ids", "held", "sizes", "tokens", "endings")
+        )
+        sizes, tokens = sizes.values.to_numpy(), _numbers(tokens.as_buffer(), "i4")
+        cls = _numbers(endings.as_buffer(), "i2")
+        c = np.zeros(len(cls), np.int64)
+        for found in rows["found"].drop_null():
+            data = memoryview(found.as_buffer())
+            cut = len(data) // 12 * 4
+            c[_numbers(data[:cut], "i4")] = _numbers(data[cut:], "i8")
+        own = c & OWN != 0
+        c &= OWN - 1
+        cls[own] = c[own]
+        c[own] = n.class_tokens[cls[own]]
+        base = np.log10((c + 1) / (n.total + n.distinct + 1))
+        inner = np.log10((c + 1) / (n.class_tokens[cls] + n.class_words[cls] + 1))
+        inner[cls < FREQUENT] = 0.0
+        ends = np.cumsum(sizes)
+        sums = []
+        for per_word in (base, inner, (c > 0).astype(np.float64)):
+            run_sum = np.concatenate([[0.0], np.cumsum(per_word[tokens])])
+            sums.append(run_sum[ends] - run_sum[ends - sizes])
+        end_base = np.log10((n.texts + 1) / (n.total + n.distinct + 1))
+        classes = np.insert(cls[tokens], ends, END_CLASS)
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_arrays(
+            [
+                pa.array([block.as_py()]),
+                _list(ids.values, pa.int64()),
+                _list(held.values, pa.bool_()),
+                _list(sizes + 1, pa.int32()),
+                pa.array([_planes(classes)]),
+                _list(sums[0] + end_base, pa.float64()),
+                _list(sums[1], pa.float64()),
+                _list(np.rint(sums[2]).astype(np.int64) + (n.texts > 0), pa.int64()),
+            ],
+            ["block", "doc_ids", "held", "sizes", "classes", "base", "inner", "known"],
+        )
 
     return run
 
@@ -204,7 +272,8 @@ def _expect(model: Model):
         total = None
         for batch in batches:
             for r in range(batch.num_rows):
-                held, sizes, classes = (c[r].values.to_numpy(zero_copy_only=False) for c in batch.columns)
+                held, sizes = (c[r].values.to_numpy(zero_copy_only=False) for c in batch.columns[:2])
+                classes = _numbers(batch.column(2)[r].as_buffer(), "i2")
                 run_of = classes[np.repeat(~held.astype(bool), sizes)]
                 if len(run_of):
                     found = expected_counts(model, run_of)
@@ -277,9 +346,10 @@ def _score(model: Model, total: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, held, sizes, classes, base, inner, known = (c[r].values for c in batch.columns)
+                ids, held, sizes, base, inner, known = (c[r].values for c in batch.columns[:-1])
                 n = sizes.to_numpy()
-                score = log_likelihoods(model, classes.to_numpy(), n) + inner.to_numpy()
+                classes = _numbers(batch.column(6)[r].as_buffer(), "i2")
+                score = log_likelihoods(model, classes, n) + inner.to_numpy()
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids,
@@ -303,34 +373,47 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
     (crc32 of its digits, mod 7) are held out, all others train. The model's states emit word classes:
     each of the most frequent words is one, all other words share classes by their ending; within a
     class a word has its share of the training count, with one part left for unknown words. So the
-    vocabulary stays a distributed table and the model bounded. Texts are coded once in blocks whose
-    distinct words are joined with the corpus counts; no token is shuffled.
+    vocabulary stays a distributed table and the model bounded. Texts are coded once in blocks; their
+    distinct words are shuffled once to be counted, and what is known of them comes to their block in
+    rows of numbers, so that a task holds one block at a time.
 
     Returns doc_id, held_out, n_tokens (with the end), n_known, train_tokens, base_score, score; a
     row for each row. NULL and empty texts are the end alone; rows without id train; repeated rows
     count as often as they occur; empty gives empty.
     """
-    blocks = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-            _code,
-            "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, "
-            "tokens array<int>, words array<binary>, counts array<long>, endings array<short>",
-        ),
-        "blocks",
-    )
-    words = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "w")).select(
-        "block", "pos", F.col("w.words").alias("word"), F.col("w.counts").alias("n")
-    )
-    counts = words.groupBy("word").agg(F.sum("n").alias("c"))
-    counts = stored(counts, "words")
+    spark = docs.sparkSession
+    with lean(spark, TEXTS):
+        blocks = stored(
+            docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+                _code,
+                "block long, pos int, word binary, n long, doc_ids array<long>, held array<boolean>, "
+                "sizes array<int>, tokens binary, endings binary",
+            ),
+            "blocks",
+        )
+    words = blocks.where("word IS NOT NULL").select("word", "block", "pos", "n")
+    blocks = blocks.where("tokens IS NOT NULL").select("block", "doc_ids", "held", "sizes", "tokens", "endings")
+    of_word = Window.partitionBy("word")  # a row for each block that has the word, at most
+    with lean(spark):
+        pairs = stored(
+            words.select(
+                "word",
+                "block",
+                "pos",
+                F.sum("n").over(of_word).alias("c"),
+                (F.col("block") == F.min("block").over(of_word)).alias("first"),
+            ),
+            "words",
+        )
+    counts = pairs.where("first").select("word", "c")
     top = (
         counts.where("c > 0")
         .orderBy(F.col("c").desc(), "word")
         .limit(FREQUENT)
         .collect()
     )
-    frequent = docs.sparkSession.createDataFrame(
-        [(r["word"], i) for i, r in enumerate(top)], "word binary, own int"
+    frequent = spark.createDataFrame(
+        pa.table([pa.array([r["word"] for r in top], pa.binary()), pa.array(range(len(top)), pa.int32())], ["word", "own"])
     )
     ending = F.lit(FREQUENT) + F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(ENDINGS))
     marked = counts.join(F.broadcast(frequent), "word", "left")  # FREQUENT rows at most
@@ -347,26 +430,25 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
     n = Counted(int(class_tokens.sum()), int(class_words.sum()), texts, class_tokens, class_words)
     known = F.coalesce(F.col("own") + F.lit(OWN), F.col("c"))
     looked_up = (
-        words.select("block", "pos", "word")
-        .join(marked, "word")
-        .select("block", F.shiftleft(F.col("pos").cast("long"), PLACE_BITS).bitwiseOR(known).alias("found"))
-        .groupBy("block")
-        .agg(F.collect_list("found").alias("found"))
-    )
-    measured = stored(
-        blocks.select("block", "doc_ids", "held", "sizes", "tokens", "endings")
-        .join(looked_up, "block", "left")
-        .withColumn("found", F.coalesce("found", F.array().cast("array<bigint>")))
-        .mapInArrow(
-            _measure(n),
-            "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, "
-            "classes array<short>, base array<double>, inner array<double>, known array<long>",
-        ),
-        "measured",
+        pairs.join(F.broadcast(frequent), "word", "left")
+        .select("block", "pos", known.alias("known"))
+        .mapInArrow(_placed, "block long, found binary")
     )
+    with lean(spark):
+        measured = stored(
+            blocks.unionByName(looked_up, allowMissingColumns=True)
+            .groupBy("block")
+            .applyInArrow(
+                _measure(n),
+                "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, "
+                "classes binary, base array<double>, inner array<double>, known array<long>",
+            ),
+            "measured",
+        )
     dropped(blocks)
+    dropped(pairs)
     model = train(measured, n, states, rounds)
-    return measured.drop("block").mapInArrow(
+    return measured.select("doc_ids", "held", "sizes", "base", "inner", "known", "classes").mapInArrow(
         _score(model, n.total),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double",
