@@ -9,11 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlake.llm.common import components, query, stored, table
+from spendlake.llm.common import components, dropped, lean, query, stored, table
 
 LEADING = 8  # principal dimensions that order the grid
-KEYED = 3  # of them, those whose cells bring sequence intervals together
-INTERVAL = 4096  # vectors of a sequence interval, the unit that is shuffled
+INTERVAL = 4096  # vectors of a sequence interval, the unit that is joined, while there are few
+FEW = 16  # intervals from which on they have more vectors instead
+INTERVAL_BYTES = 8 << 20  # of vectors in an interval, about, so that a task holds few times as much
 LEAF = 512  # vectors below which the recursion compares all
 
 
@@ -86,28 +87,14 @@ def _celled(axes: np.ndarray, eps: float):
     return run
 
 
-def _codes(cells: np.ndarray) -> np.ndarray:
-    """One number for the cells in the keyed dimensions."""
-    code = np.zeros(len(cells), np.int64)
-    for i in range(cells.shape[1]):
-        code = code * 100_003 + cells[:, i]
-    return code
-
-
-def _intervals(axes: np.ndarray, eps: float, first: str):
-    """Cuts a sorted partition into intervals; each is one row with its vectors and its cells."""
+def _intervals(axes: np.ndarray, most: int, first: str):
+    """Cuts a sorted partition into intervals; each is one row with its vectors and their box."""
 
     def row(rows: pa.Table, block: int) -> pa.RecordBatch:
         v = _matrix(rows.column("embedding").combine_chunks())
         y = _rotated(_unit(v), axes)
-        keyed = min(KEYED, y.shape[1] - 1)
-        own = np.unique(np.floor(y[:, :keyed] / eps).astype(np.int64), axis=0)
-        steps = np.array(np.meshgrid(*[[-1, 0, 1]] * keyed)).reshape(keyed, -1).T
-        near = np.unique((own[:, None, :] + steps[None]).reshape(-1, keyed), axis=0)
         values = {
             "block": [block],
-            "own": [_codes(own)],
-            "near": [_codes(near)],
             "lo": [y.min(axis=0)],
             "hi": [y.max(axis=0)],
             "ids": [rows.column("rep").to_numpy()],
@@ -123,11 +110,11 @@ def _intervals(axes: np.ndarray, eps: float, first: str):
         for batch in batches:
             held.append(batch)
             n += batch.num_rows
-            while n >= INTERVAL:
+            while n >= most:
                 rows = pa.Table.from_batches(held)
-                yield row(rows.slice(0, INTERVAL), (part << 32) + k)
-                k, n = k + 1, n - INTERVAL
-                held = rows.slice(INTERVAL).to_batches()
+                yield row(rows.slice(0, most), (part << 32) + k)
+                k, n = k + 1, n - most
+                held = rows.slice(most).to_batches()
         if n:
             yield row(pa.Table.from_batches(held), (part << 32) + k)
 
@@ -158,7 +145,10 @@ def grid_order_join(a: _Side, b: _Side, eps: float, cosine: float, found, spans=
         if (gap * gap).sum() > eps * eps + 1e-9:
             return
     if j - i <= LEAF and q - p <= LEAF:
-        rows, cols = np.nonzero(a.rough[i:j] @ b.rough[p:q].T >= cosine - 1e-4)
+        near = a.rough[i:j] @ b.rough[p:q].T
+        if not same and near.max() < cosine - 1e-4:
+            return
+        rows, cols = np.nonzero(near >= cosine - 1e-4)
         if same:
             rows, cols = rows[rows < cols], cols[rows < cols]
         for s in range(0, len(rows), 1 << 16):
@@ -215,12 +205,14 @@ def _joined(axes: np.ndarray, eps: float, cosine: float, first: str):
                 links = np.zeros(len(ids), np.int64)
                 stars = [np.empty((0, 2), np.int64)]
 
-                def found(i, j, a=a, b=b, links=links, stars=stars, shift=shift, n=len(ids)):
+                def found(i, j, a=a, b=b, links=links, stars=stars, shift=shift):
                     np.add.at(links, i, b.copies[j])
                     np.add.at(links, j + shift, a.copies[i])
-                    label = _least(n, i, j + shift)
-                    moved = np.nonzero(label != np.arange(n))[0]
-                    stars.append(np.stack([moved, label[moved]], axis=1))
+                    j = j + shift
+                    here = np.concatenate([np.arange(i.min(), i.max() + 1), np.arange(j.min(), j.max() + 1)])
+                    label = _least(len(here), i - i.min(), j - j.min() + i.max() - i.min() + 1)
+                    moved = np.nonzero(label != np.arange(len(here)))[0]
+                    stars.append(np.stack([here[moved], here[label[moved]]], axis=1))
 
                 grid_order_join(a, b, eps, cosine, found)
                 s = np.concatenate(stars)
@@ -234,59 +226,52 @@ def _joined(axes: np.ndarray, eps: float, cosine: float, first: str):
     return run
 
 
-def _links(reps: DataFrame, dims: int, cosine: float) -> DataFrame:
-    """Links of different vectors of one length: a, n (vectors linked within a pair), b (a star)."""
-    spark = reps.sparkSession
-    eps = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
-    single = reps.schema["embedding"].dataType.elementType.typeName() == "float"
-    first = "<f4" if single else "<f8"
-    axes = principal_axes(reps)
+def _stored_intervals(reps: DataFrame, dims: int, axes: np.ndarray, eps: float, first: str) -> DataFrame:
+    """The vectors in grid order, an interval a row: block, lo, hi (their box), ids, copies, vectors."""
     cells = [f"c{i}" for i in range(LEADING)]
-    kind = "float" if single else "double"
+    kind = reps.schema["embedding"].dataType.elementType.typeName()
     celled = reps.select("rep", "copies", "embedding").mapInArrow(
         _celled(axes, eps),
         f"rep long, copies long, embedding array<{kind}>, " + ", ".join(f"{c} int" for c in cells),
     )
-    parts = max(1, -(-reps.count() // INTERVAL))
-    intervals = stored(
-        celled.repartitionByRange(parts, *cells, "rep")
-        .sortWithinPartitions(*cells, "rep")
-        .mapInArrow(
-            _intervals(axes, eps, first),
-            "block long, own array<long>, near array<long>, lo array<double>, hi array<double>, "
-            "ids array<long>, copies array<long>, vectors binary",
-        ),
-        "intervals",
-    )
-    box = intervals.select("block", "lo", "hi", "own", "near")
-    left = box.select(F.col("block").alias("a"), "lo", "hi", F.explode("near").alias("cell"))
-    right = box.select(
-        F.col("block").alias("b"),
-        F.col("lo").alias("lo2"),
-        F.col("hi").alias("hi2"),
-        F.explode("own").alias("cell"),
+    most = max(LEAF, INTERVAL_BYTES // (dims * np.dtype(first).itemsize))
+    n = reps.count()
+    parts = max(1, -(-n // most), min(FEW, -(-n // INTERVAL)))
+    with lean(reps.sparkSession, min(10_000, most)):
+        return stored(
+            celled.repartitionByRange(parts, *cells, "rep")
+            .sortWithinPartitions(*cells, "rep")
+            .mapInArrow(
+                _intervals(axes, most + most // 4, first),  # partitions by range are not quite even
+                "block long, lo array<double>, hi array<double>, ids array<long>, copies array<long>, "
+                "vectors binary",
+            ),
+            "intervals",
+        )
+
+
+def _links(intervals: DataFrame, dims: int, axes: np.ndarray, eps: float, cosine: float, first: str) -> DataFrame:
+    """Links of different vectors of one length: a, n (vectors linked within a pair), b (a star).
+
+    Each task reads two parts of the stored intervals and joins those whose boxes are near enough, so
+    no vector is shuffled or written for its neighbours, however many they are.
+    """
+    side = lambda x: intervals.select(
+        F.col("block").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("lo", "hi", "ids", "copies", "vectors")]
     )
     gaps = F.aggregate(
         F.zip_with(
-            F.zip_with("lo", "hi2", lambda x, y: F.greatest(x - y, F.lit(0.0))),
-            F.zip_with("lo2", "hi", lambda x, y: F.greatest(x - y, F.lit(0.0))),
+            F.zip_with("a_lo", "b_hi", lambda x, y: F.greatest(x - y, F.lit(0.0))),
+            F.zip_with("b_lo", "a_hi", lambda x, y: F.greatest(x - y, F.lit(0.0))),
             lambda x, y: x * x + y * y,
         ),
         F.lit(0.0),
         lambda s, x: s + x,
     )
-    pairs = (
-        left.join(right, "cell").where("a <= b").where(gaps <= eps * eps + 1e-9).select("a", "b").distinct()
-    )
-    side = lambda x: intervals.select(
-        F.col("block").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("ids", "copies", "vectors")]
-    )
-    tasks = spark.conf.get("spark.sql.shuffle.partitions")
     return (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .withColumn("dims", F.lit(dims))
-        .repartition(int(tasks))
+        side("a")
+        .join(side("b").hint("shuffle_replicate_nl"), (F.col("a") <= F.col("b")) & (gaps <= eps * eps + 1e-9))
+        .select(*[f"{x}{c}" for x in "ab" for c in ("", "_ids", "_copies", "_vectors")], F.lit(dims).alias("dims"))
         .mapInArrow(_joined(axes, eps, cosine, first), "a long, n long, b long")
     )
 
@@ -297,8 +282,9 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     ``vectors`` has vec_id and embedding (array of float or double); other columns are ignored.
     Equal vectors become one with a count. The others are sorted in epsilon grid order: by the cells
     of a grid as wide as the largest distance of a link, on the leading principal axes. Intervals
-    of that sequence whose cells touch and whose boxes are near enough are joined, each pair in one
-    task, by recursion. A task returns counts and star edges, so a dense group stays linear.
+    of that sequence whose boxes are near enough are joined, each pair in one task, by recursion; a
+    task reads both from where they are stored. It returns counts and star edges, so a dense group
+    stays linear.
 
     Returns vec_id, n_links (other vectors linked directly), component_id (least id reachable),
     kept (component_id is the own id); a row for each row. Vectors that are NULL, empty, zero or
@@ -314,32 +300,44 @@ def embedding_links(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
         & F.forall("embedding", fine)
         & F.exists("embedding", lambda x: x != 0)
     )
-    reps = stored(
-        good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")),
-        "vectors",
-    )
+    spark = rows.sparkSession
+    with lean(spark):
+        reps = stored(
+            good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")),
+            "vectors",
+        )
     lengths = [r[0] for r in reps.select(F.size("embedding")).distinct().collect()]
-    links = rows.sparkSession.createDataFrame([], "a long, n long, b long")
+    eps = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
+    first = "<f4" if reps.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
+    links = spark.createDataFrame([], "a long, n long, b long")
+    intervals = []
     for n in sorted(lengths):
-        links = links.unionByName(_links(reps.where(F.size("embedding") == n), n, cosine))
-    links = stored(links, "links")
-    counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    classes = components(links.select("a", "b")).withColumnRenamed("id", "rep")
-    marked = (
-        reps.join(counts, "rep", "left")
-        .join(classes, "rep", "left")
-        .select(
-            F.col("embedding").alias("e"),
-            (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component_id", "rep").alias("component_id"),
+        of_length = reps.where(F.size("embedding") == n)
+        axes = principal_axes(of_length)
+        intervals.append(_stored_intervals(of_length, n, axes, eps, first))
+        links = links.unionByName(_links(intervals[-1], n, axes, eps, cosine, first))
+    with lean(spark, 1):  # a row is a pair of intervals
+        links = stored(links, "links")
+    for x in intervals:
+        dropped(x)
+    # Vectors find their first one here, for the last time: what follows are numbers.
+    firsts = reps.select(F.col("embedding").alias("e"), F.xxhash64("embedding").alias("h"), "rep", "copies")
+    same = (F.xxhash64(rows["embedding"]) == F.col("h")) & (rows["embedding"] == F.col("e"))
+    with lean(spark):
+        members = stored(
+            rows.join(firsts, same & F.col("vec_id").isNotNull(), "left").select("vec_id", "rep", "copies"),
+            "members",
         )
-    )
+        dropped(reps)
+        counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
+        classes = components(links.select("a", "b")).withColumnRenamed("id", "rep")
+        marked = stored(counts.join(classes, "rep", "left"), "classes")
     return (
-        rows.join(marked, (F.col("embedding") == F.col("e")) & F.col("vec_id").isNotNull(), "left")
+        members.join(marked, "rep", "left")
         .select(
             "vec_id",
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component_id", "vec_id").alias("component_id"),
+            F.coalesce(F.coalesce("n", F.lit(0)) + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
+            F.coalesce("component_id", "rep", "vec_id").alias("component_id"),
         )
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
     )

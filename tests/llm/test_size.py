@@ -2,13 +2,15 @@
 
 import os
 import random
+import threading
 import time
 
 import numpy as np
 import pyarrow.compute as pc
 import pytest
 
-from spendlake.llm import markov
+from spendlake.llm import grid_order, markov
+from spendlake.llm.common import lean
 
 
 def shuffled(spark):
@@ -29,6 +31,24 @@ def left_by(spark, build):
     return found, left
 
 
+def most_by(spark, build):
+    """The result of ``build``, and the most bytes of shuffle files that it had beside those before."""
+    before, ended, most = shuffled(spark), threading.Event(), [0]
+
+    def watch():
+        while not ended.wait(0.05):
+            most[0] = max(most[0], shuffled(spark) - before)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        found = build()
+        return found, most[0]
+    finally:
+        ended.set()
+        watcher.join()
+
+
 def odd_docs(spark, n=600, words=3000):
     r = random.Random(3)
     vocabulary = [f"w{i}{r.choice(['ing', 'ed', 's', ''])}" for i in range(words)]
@@ -81,3 +101,35 @@ def test_numbers_come_back_from_their_planes(shape):
     for kind in ("i2", "i4", "i8"):
         values = r.integers(np.iinfo(kind).min, np.iinfo(kind).max, shape).astype(kind)
         assert (markov._numbers(markov._planes(values), kind) == values).all()
+
+
+def test_embedding_links_shuffle_no_vector_for_its_neighbours(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    base = r.normal(size=(2500, 24))
+    v = np.vstack([base, base[:400] + 0.02 * r.normal(size=(400, 24)), base[:50], 2 * base[:20], [[0.0] * 24]])
+    v[7, 3] = v[2907, 3] = 0.0  # a copy of the other sign of 0
+    v[2907, 3] *= -1
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    table = table.repartition(4).localCheckpoint()
+    monkeypatch.setattr(grid_order, "INTERVAL", 100)
+    monkeypatch.setattr(grid_order, "INTERVAL_BYTES", 700 * 24 * 8)
+    found, most = most_by(spark, lambda: grid_order.embedding_links(table))
+    assert most < 4 * v.nbytes
+    unit = v[:-1] / np.linalg.norm(v[:-1], axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    found = {x.vec_id: x for x in found.collect()}
+    assert len(found) == len(v) and found[len(v) - 1].n_links == 0 and found[len(v) - 1].kept
+    assert [found[i].n_links for i in range(len(unit))] == (linked.sum(axis=1) - 1).tolist()
+    reach = linked.astype(np.float32)
+    for _ in range(4):
+        reach = (reach @ reach > 0).astype(np.float32)
+    assert [found[i].component_id for i in range(len(unit))] == reach.argmax(axis=1).tolist()
+
+
+def test_lean_puts_the_options_back(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError, match="within"), lean(spark, 7):
+        assert spark.conf.get(key) == "7"
+        raise ValueError("within")
+    assert spark.conf.get(key) == before
